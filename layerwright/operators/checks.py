@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from layerwright.functions.predicates import outside
 
-ONE = F.lit(1)
 
 
 @dataclass(frozen=True)
@@ -55,7 +54,7 @@ def _offends(test: TableTest) -> Column:
 def _repeated(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their row count."""
     counts = df.filter(F.col(f"`{column}`").isNotNull()).groupBy(F.col(f"`{column}`").alias("value"))
-    return counts.agg(F.count(ONE).alias("n_records")).filter("n_records > 1")
+    return counts.agg(F.count("*").alias("n_records")).filter("n_records > 1")
 
 
 def offending(df: DataFrame, test: TableTest) -> DataFrame:
@@ -66,7 +65,7 @@ def offending(df: DataFrame, test: TableTest) -> DataFrame:
     rows = df.filter(_offends(test))
     column = F.col(f"`{test.column}`")
     if test.kind == "accepted_values":
-        return rows.groupBy(column.alias("value")).agg(F.count(ONE).alias("n_records"))
+        return rows.groupBy(column.alias("value")).agg(F.count("*").alias("n_records"))
     return rows.select(column) if test.kind == "not_null" else rows
 
 
@@ -92,7 +91,7 @@ def run_table_tests(df: DataFrame, table: str, tests) -> DataFrame:
         frames.append(counts.select(F.inline(results)))
     for test in tests:
         if test.kind == "unique":
-            counts = _repeated(df, test.column).agg(F.count(ONE).alias("failures"))
+            counts = _repeated(df, test.column).agg(F.count("*").alias("failures"))
             frames.append(counts.select(F.inline(F.array(_result(table, test, F.col("failures"))))))
     return reduce(DataFrame.unionByName, frames)
 
@@ -109,16 +108,16 @@ def run_invariants(df: DataFrame, table: str, invariants: dict[str, Column]) ->
     counts = df.agg(
         F.count_if(F.lit(True)).alias("rows"), *(F.count_if(bad).alias(name) for name, bad in invariants.items())
     )
-    broken = {"not_empty": F.when(F.col("rows") == 0, ONE.cast("long")).otherwise(F.lit(0).cast("long"))}
+    broken = {"not_empty": F.when(F.col("rows") == 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))}
     broken |= {name: F.col(name) for name in names}
     return counts.select(F.inline(F.array(*(_invariant(table, name, n) for name, n in broken.items()))))
 
 
 def conservation(whole: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
     """No row lost, none doubled: the parts together have as many rows as the whole."""
-    counts = whole.agg(F.count(ONE).alias("missing"))
+    counts = whole.agg(F.count("*").alias("missing"))
     for part in parts.values():
-        counts = counts.unionByName(part.agg((-F.count(ONE)).alias("missing")))
+        counts = counts.unionByName(part.agg((-F.count("*")).alias("missing")))
     missing = F.abs(F.sum("missing"))
     named = f"whole = {' + '.join(parts)}"
     return counts.agg(missing.alias("missing")).select(F.inline(F.array(_invariant("all", named, F.col("missing")))))

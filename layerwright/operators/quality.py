@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from layerwright.functions.predicates import outside
 from layerwright.functions.scalars import percent
 
-ONE = F.lit(1)
 
 
 @dataclass(frozen=True)
@@ -59,7 +58,7 @@ def positive_check(column: str, description: str) -> Check:
 
 def error_counts(df: DataFrame, checks) -> DataFrame:
     """One row: ``total_records`` and one error count per check, all from a single pass."""
-    return df.agg(F.count(ONE).alias("total_records"), *(F.count_if(c.bad()).alias(c.name) for c in checks))
+    return df.agg(F.count("*").alias("total_records"), *(F.count_if(c.bad()).alias(c.name) for c in checks))
 
 
 def duplicate_counts(df: DataFrame, keys) -> DataFrame:
@@ -67,7 +66,7 @@ def duplicate_counts(df: DataFrame, keys) -> DataFrame:
 
     It has its own pass over the key columns only: inside ``error_counts`` a distinct count would carry every
     other counter along with each distinct key through the shuffle. Copies merge before the shuffle."""
-    per_key = df.groupBy(*keys).agg(F.count(ONE).alias("copies"))
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("copies"))
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total_records"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("error_count"),
@@ -145,14 +144,14 @@ def clean_report(df: DataFrame, checks, report_timestamp: str | None = None) ->
 
 def row_total(df: DataFrame) -> Column:
     """The row count as a scalar subquery: one number, read from file footers where the format has them."""
-    return df.agg(F.count(ONE).alias("rows")).scalar()
+    return df.agg(F.count("*").alias("rows")).scalar()
 
 
 def distribution(df: DataFrame, value: Column, name: str) -> DataFrame:
     """Rows and share per value, ordered by value."""
     return (
         df.groupBy(value.alias(name))
-        .agg(F.count(ONE).alias("count"))
+        .agg(F.count("*").alias("count"))
         .withColumn("pct", percent(F.col("count"), row_total(df), empty=0.0))
         .orderBy(name)
     )
@@ -171,7 +170,7 @@ def value_counts(df: DataFrame, dimensions: dict[str, Column], null_label: str |
     return (
         wide.unpivot([], list(dimensions), "dimension", "dim_value")
         .groupBy("dimension", "dim_value")
-        .agg(F.count(ONE).alias("record_count"))
+        .agg(F.count("*").alias("record_count"))
     )
 
 
@@ -268,7 +267,7 @@ def report_document(
         ).alias("distributions")
     )
 
-    reasons = rejected.groupBy(c(reason_column).alias("reason")).agg(F.count(ONE).alias("n"))
+    reasons = rejected.groupBy(c(reason_column).alias("reason")).agg(F.count("*").alias("n"))
     reasons = reasons.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rejected"),
         F.collect_list(F.struct((-c("n")).alias("key"), "reason", "n")).alias("list"),

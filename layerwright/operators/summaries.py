@@ -49,7 +49,7 @@ def _ordered(df: DataFrame, summary: Summary) -> DataFrame:
 def _direct(measure: Measure) -> Column:
     match measure.kind:
         case "rows":
-            return F.count(F.lit(1))
+            return F.count("*")
         case "rows_where":
             return F.count_if(F.expr(measure.where))
         case "sum" | "avg" | "min" | "max":
@@ -68,7 +68,7 @@ def _parts(measure: Measure) -> dict[str, Column]:
     c = measure.column
     match measure.kind:
         case "rows":
-            return {"rows": F.count(F.lit(1))}
+            return {"rows": F.count("*")}
         case "rows_where":
             return {f"rows where {measure.where}": F.count_if(F.expr(measure.where))}
         case "sum":

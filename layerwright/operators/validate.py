@@ -71,7 +71,7 @@ def split_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Sizes of input and both sides in one pass."""
     valid = holds(valid_mask(spec, df.schema))
     return df.agg(
-        F.count(F.lit(1)).alias("input_rows"),
+        F.count("*").alias("input_rows"),
         F.count_if(valid).alias("valid_rows"),
         F.count_if(~valid).alias("rejected_rows"),
     )
@@ -81,7 +81,7 @@ def reject_counts(rejected: DataFrame, spec: TableSpec, input_total: Column) ->
     """Rejected rows per reason with their share of all input rows, most frequent first."""
     return (
         rejected.groupBy(F.col(spec.rejects.reason_column).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.count("*").alias("count"))
         .withColumn("pct", percent(F.col("count"), input_total, empty=0.0))
         .orderBy(F.desc("count"), "reason")
     )

@@ -57,7 +57,7 @@ def replace_table(
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     written = Observation()
-    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    df = df.observe(written, F.count("*").alias("rows"))
 
     if _has_own_catalog(spark, name):
         writer = df.writeTo(_quoted(name)).using(source_format)
