@@ -294,6 +294,10 @@ def _refresh_counts() -> str:
     )
 
 
+def _avg_of(risk_class: str) -> str:
+    return f"avg(avg_risk_score) FILTER (WHERE anomaly = '{risk_class}')"
+
+
 LISTING = """SELECT transaction_datetime, location_region, transaction_type, amount, risk_score, anomaly, age_group,
   purchase_pattern, is_fraudulent
 FROM high_risk_transactions
@@ -401,17 +405,17 @@ WHERE "timestamp" IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""),
 FROM fraud_by_region GROUP BY 1""",
             "anomaly_distribution": """SELECT anomaly, CAST(sum(transaction_count) AS BIGINT) AS "Count"
 FROM fraud_by_region GROUP BY 1""",
-            "avg_risk_by_region": """SELECT location_region, avg(avg_risk_score) AS "Avg Risk Score" FROM fraud_by_region GROUP BY 1""",
-            "amount_by_type": """SELECT transaction_type, sum(total_amount) AS "Total Amount" FROM fraud_by_type GROUP BY 1""",
+            "avg_risk_by_region": f"""SELECT location_region, {rnd('avg(avg_risk_score)', 4)} AS "Avg Risk Score" FROM fraud_by_region GROUP BY 1""",
+            "amount_by_type": f"""SELECT transaction_type, {rnd('sum(total_amount)', 4)} AS "Total Amount" FROM fraud_by_type GROUP BY 1""",
             "count_by_type_and_anomaly": """SELECT transaction_type, anomaly, CAST(sum(transaction_count) AS BIGINT) AS "Count"
 FROM fraud_by_type GROUP BY 1, 2""",
             "daily_volume": """SELECT transaction_date, location_region, CAST(sum(total_transactions) AS BIGINT) AS "Total Transactions"
 FROM daily_fraud_metrics GROUP BY 1, 2""",
             "daily_high_risk": """SELECT transaction_date, CAST(sum(high_risk_count) AS BIGINT) AS "High Risk"
 FROM daily_fraud_metrics GROUP BY 1""",
-            "risk_heatmap": """SELECT location_region, anomaly, avg(avg_risk_score) AS "Avg Risk Score"
+            "risk_heatmap": f"""SELECT location_region, anomaly, {rnd('avg(avg_risk_score)', 4)} AS "Avg Risk Score"
 FROM fraud_by_region GROUP BY 1, 2""",
-            "risk_by_segment": """SELECT age_group, purchase_pattern, avg(avg_risk_score) AS "Avg Risk Score"
+            "risk_by_segment": f"""SELECT age_group, purchase_pattern, {rnd('avg(avg_risk_score)', 4)} AS "Avg Risk Score"
 FROM risk_profile GROUP BY 1, 2""",
             "count_matrix": "SELECT transaction_type, "
             + ", ".join(
@@ -419,7 +423,7 @@ FROM risk_profile GROUP BY 1, 2""",
             )
             + " FROM fraud_by_type GROUP BY 1",
             "risk_matrix": "SELECT location_region, "
-            + ", ".join(f"avg(avg_risk_score) FILTER (WHERE anomaly = '{c}') AS {c}" for c in t.RISK_CLASSES)
+            + ", ".join(f"{rnd(_avg_of(c), 4)} AS {c}" for c in t.RISK_CLASSES)
             + " FROM fraud_by_region GROUP BY 1",
             "detail_page": f"{LISTING} LIMIT 25",
             "detail_second_page": f"{LISTING} LIMIT 25 OFFSET 25",

@@ -117,13 +117,15 @@ def validate_split_counts(spark, sf):
 
 @query
 def silver_enriched(spark, sf):
-    rows = tx.silver(spark, sf).drop("_processing_time")
+    valid = split(tx.bronze(spark, sf), t.SPEC).valid
+    rows = enrich(valid, t.SPEC.derivations).drop("_processing_time")
     return tx.as_text(rows, "timestamp", "transaction_datetime", "transaction_date")
 
 
 @query
 def quarantine_reasons(spark, sf):
-    rows = tx.rejected(spark, sf).drop("_quarantine_time").withColumn("amount", F.col("amount").cast("double"))
+    rows = split(tx.bronze(spark, sf), t.SPEC).rejected.drop("_quarantine_time")
+    rows = rows.withColumn("amount", F.col("amount").cast("double"))
     # NaN has no common text form; the validity checks count it
     return tx.as_text(rows, "timestamp").withColumn("risk_score", F.nanvl("risk_score", F.lit(-1.0)))
 
@@ -241,15 +243,13 @@ def clean_report_on_raw_rows(spark, sf):
 
 @query
 def quality_summary(spark, sf):
-    parts = split(tx.bronze(spark, sf), t.SPEC)
-    return quality.report_summary(parts.valid, parts.rejected, t.CLEAN_CHECKS)
+    return quality.report_summary(tx.silver(spark, sf), tx.rejected(spark, sf), t.CLEAN_CHECKS)
 
 
 @query
 def quality_summary_on_raw_rows(spark, sf):
     """Errors are added over the checks; over unvalidated rows they are many."""
-    source = tx.bronze(spark, sf)
-    return quality.report_summary(source, split(source, t.SPEC).rejected, t.CLEAN_CHECKS)
+    return quality.report_summary(tx.bronze(spark, sf), tx.rejected(spark, sf), t.CLEAN_CHECKS)
 
 
 @query
@@ -286,8 +286,7 @@ def distributions_all_dimensions(spark, sf):
 @query
 def report_document(spark, sf):
     """The nested report, written as JSON, read back and flattened to one row per entry."""
-    parts = split(tx.bronze(spark, sf), t.SPEC)
-    document = refresh.report_document(parts.valid, parts.rejected, "2024-01-01T00:00:00+00:00")
+    document = refresh.report_document(tx.silver(spark, sf), tx.rejected(spark, sf), "2024-01-01T00:00:00+00:00")
     path = new_path(spark, "report")
     tables.write_json_document(document, path)
     report = spark.read.schema(document.schema).json(path, multiLine=True)
@@ -377,32 +376,32 @@ def offending_null_rows(spark, sf):
     return checks.offending(tx.bronze(spark, sf), test).agg(F.count("*").alias("row_count"))
 
 
-def _written_layers(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The first layers as written tables, for the queries that read them many times."""
-    source = write_once(tx.bronze(spark, sf), "bronze")
-    parts = split(source, t.SPEC)
-    return source, write_once(enrich(parts.valid, t.SPEC.derivations), "silver"), write_once(parts.rejected, "rejected")
-
-
 @query
 def table_tests_all(spark, sf):
     """All declared tests over the validated table, the summaries and the raw reports."""
-    source, clean, _ = _written_layers(spark, sf)
-    frames = {"silver": clean, **refresh.gold_frames(clean, write_once(refresh.shared_rollup(clean), "rollup"))}
-    frames |= refresh.report_frames(source, clean, "now")
+    clean = tx.silver(spark, sf)
+    rolled = write_once(refresh.shared_rollup(clean), "rollup")
+    frames = {"silver": clean, **refresh.gold_frames(clean, rolled)}
+    frames |= refresh.report_frames(tx.bronze(spark, sf), clean, "now")
     return checks.run_all_tests(frames, t.TABLE_TESTS)
 
 
 @query
 def invariants(spark, sf):
-    source, clean, rejected = _written_layers(spark, sf)
-    return refresh.invariants(source, clean, rejected, refresh.gold_frames(clean))
+    clean = tx.silver(spark, sf)
+    return refresh.invariants(tx.bronze(spark, sf), clean, tx.rejected(spark, sf), refresh.gold_frames(clean))
 
 
 # --- Charts -------------------------------------------------------------------------------------------------
 def _chart(name: str, spark, sf) -> DataFrame:
     chart = t.CHARTS[name]
-    return charts.chart_data(_summary(chart.table, spark, sf), chart)
+    rows = charts.chart_data(_summary(chart.table, spark, sf), chart)
+    return _rounded(rows, chart.label) if chart.aggregate == "avg" or "amount" in chart.column else rows
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """The order in which a group-by adds doubles shows in their last digits."""
+    return df.withColumns({c: F.round(c, 4) for c in columns})
 
 
 for _name in t.CHARTS:
@@ -418,7 +417,8 @@ def chart_count_matrix(spark, sf):
 @query
 def chart_risk_matrix(spark, sf):
     chart = t.CHARTS["risk_heatmap"]
-    return charts.chart_matrix(_summary(chart.table, spark, sf), chart, t.RISK_CLASSES)
+    rows = charts.chart_matrix(_summary(chart.table, spark, sf), chart, t.RISK_CLASSES)
+    return _rounded(rows, *t.RISK_CLASSES)
 
 
 @query
@@ -465,7 +465,7 @@ def partitioned_table(spark, sf):
     layout = _fresh_layout(spark)
     layout.create(spark)
     name = layout.table("silver", t.SPEC.table)
-    clean = write_once(tx.silver(spark, sf).drop("_processing_time"), "silver")
+    clean = tx.silver(spark, sf).drop("_processing_time")
     tables.replace_table(clean.filter("amount_tier = 'micro'"), name, partition_by=["location_region"])
     rows = tables.replace_table(clean, name, partition_by=["location_region"], sort_by=["transaction_date"])
     stored = tables.read_table(spark, name).filter(F.col("location_region").isin("Asia", "Europe"))

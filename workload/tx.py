@@ -7,6 +7,8 @@ each, so that every requirement and every reject rule has rows. The value lists
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from layerwright.operators.columns import apply_column_ops
 from layerwright.operators.enrich import enrich
 from layerwright.operators.validate import split
 from layerwright.plans.transactions import SPEC
+from layerwright.sources.scratch import write_once
 
 TYPE_OF_PRIORITY = {
     "1-URGENT": "phishing", "2-HIGH": "sale", "3-MEDIUM": "purchase", "4-NOT SPECIFIED": "transfer", "5-LOW": "scam",
@@ -79,7 +82,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 13 source columns, ``timestamp`` as epoch seconds. No join is hinted: Spark broadcasts what its size
     statistics allow and lets adaptive execution split skewed partitions of the other joins."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     senders = (
         read(spark, sf_dir, "customer")
         .join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -100,16 +102,32 @@ def _kind(name: str) -> str:
     return kinds.get(name, "int" if name in ("login_frequency", "session_duration") else "string")
 
 
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _layer(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """A layer is a table: it is written once per application, on first use, into the shared folder, and every
+    query over it is a scan that prunes columns and pushes filters down. Feeding the source expressions straight
+    into the row rules would also fuse both into methods too large for the JIT compiler."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = write_once(rows(), name)
+    return _WRITTEN[key]
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_column_ops(source_rows(spark, sf_dir), SPEC)
+    return _layer(spark, sf_dir, "bronze", lambda: apply_column_ops(source_rows(spark, sf_dir), SPEC))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(split(bronze(spark, sf_dir), SPEC).valid, SPEC.derivations)
+    return _layer(
+        spark, sf_dir, "silver", lambda: enrich(split(bronze(spark, sf_dir), SPEC).valid, SPEC.derivations)
+    )
 
 
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split(bronze(spark, sf_dir), SPEC).rejected
+    return _layer(spark, sf_dir, "rejected", lambda: split(bronze(spark, sf_dir), SPEC).rejected)
 
 
 def as_text(df: DataFrame, *columns: str) -> DataFrame:
