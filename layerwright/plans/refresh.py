@@ -6,8 +6,12 @@ and a second run replaces every table with the same content.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import partial
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +22,13 @@ from layerwright.operators.validate import split
 from layerwright.plans import transactions as tx
 from layerwright.sources.files import read_csv
 from layerwright.sources.scratch import write_once
-from layerwright.sources.tables import ensure_namespace, read_table, replace_table, write_json_document
+from layerwright.sources.tables import (
+    ensure_namespace,
+    read_table,
+    read_table_or_empty,
+    replace_table,
+    write_json_document,
+)
 from layerwright.spec import TableSpec
 
 LAYERS = ("bronze", "silver", "quarantine", "gold", "quality")  # fixed values: namespaces
@@ -40,10 +50,12 @@ class Layout:
     def table(self, layer: str, table: str) -> str:
         return f"{self.namespace(layer)}.{table}"
 
+    def location(self, layer: str) -> str | None:
+        return f"{self.root}/{self.prefix}{layer}" if self.root else None
+
     def create(self, spark: SparkSession) -> None:
         for layer in LAYERS:
-            location = f"{self.root}/{self.prefix}{layer}" if self.root else None
-            ensure_namespace(spark, self.namespace(layer), location)
+            ensure_namespace(spark, self.namespace(layer), self.location(layer))
 
 
 def ingest(spark: SparkSession, path: str, spec: TableSpec, batch_id: str | None = None) -> DataFrame:
@@ -70,69 +82,97 @@ def gold_frames(silver: DataFrame, rolled: DataFrame | None = None) -> dict[str,
     return frames
 
 
-def report_frames(bronze: DataFrame, silver: DataFrame, generated_at: str) -> dict[str, DataFrame]:
+def report_frames(
+    bronze: DataFrame, silver: DataFrame, generated_at: str, spec: TableSpec = tx.SPEC
+) -> dict[str, DataFrame]:
     return {
-        "silver_report": quality.clean_report(silver, tx.CLEAN_CHECKS, generated_at),
-        "bronze_quality_report": quality.raw_report(bronze, tx.RAW_CHECKS),
+        "silver_report": quality.clean_report(silver, tx.clean_checks(spec), generated_at),
+        "bronze_quality_report": quality.raw_report(bronze, tx.raw_checks(spec)),
         "bronze_quality_distributions": quality.distributions(bronze, tx.raw_dimensions(), tx.NULL_LABEL),
     }
 
 
-def report_document(silver: DataFrame, rejected: DataFrame, generated_at: str) -> DataFrame:
+def report_document(
+    silver: DataFrame, rejected: DataFrame, generated_at: str, spec: TableSpec = tx.SPEC
+) -> DataFrame:
     return quality.report_document(
         silver,
         rejected,
-        tx.CLEAN_CHECKS,
+        tx.clean_checks(spec),
         tx.clean_dimensions(),
         tx.clean_bands(),
-        tx.SPEC.rejects.reason_column,
+        spec.rejects.reason_column,
         generated_at,
     )
 
 
-def refresh(
-    spark: SparkSession,
-    path: str,
-    layout: Layout = Layout(),
-    spec: TableSpec = tx.SPEC,
-    report_path: str | None = None,
-) -> dict[str, int]:
-    """Rebuild every table from the raw file(s) at ``path``; returns the row count of each table written."""
-    layout.create(spark)
-    written: dict[str, int] = {}
-
-    def put(layer: str, table: str, df: DataFrame, **how) -> DataFrame:
-        name = layout.table(layer, table)
-        written[f"{layer}.{table}"] = replace_table(df, name, **how)
-        return read_table(spark, name)
-
-    raw = ingest(spark, path, spec)
-    bronze = put("bronze", spec.table, raw, partition_by=spec.partition_by, sort_by=spec.sort_by)
-    parts = split(bronze, spec)
-    silver = put("silver", spec.table, enrich(parts.valid, spec.derivations))
-    rejected = put("quarantine", spec.table, parts.rejected)
-
-    rolled = write_once(shared_rollup(silver), "rollup")
-    for table, frame in gold_frames(silver, rolled).items():
-        put("gold", table, summaries.stamped(frame))
-
-    generated_at = datetime.now(UTC).isoformat()
-    for table, frame in report_frames(bronze, silver, generated_at).items():
-        put("quality", table, frame)
-    if report_path:
-        write_json_document(report_document(silver, rejected, generated_at), report_path)
-    return written
-
-
-def table_tests(spark: SparkSession, layout: Layout = Layout(), spec: TableSpec = tx.SPEC) -> DataFrame:
-    """All declared tests over the tables of a finished refresh."""
-
-    def frame(table: str) -> DataFrame:
-        if table == "silver":
-            return read_table(spark, layout.table("silver", spec.table))
-        return read_table(spark, layout.table("quality" if table.startswith("bronze_") else "gold", table))
-
-    return checks.run_all_tests({table: frame(table) for table in tx.TABLE_TESTS}, tx.TABLE_TESTS)
+def _write_all(jobs: list[Callable[[], Any]]) -> list:
+    """Run writes that do not depend on each other side by side: the last, slow tasks of one leave executors idle
+    that the next can use."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+@dataclass(frozen=True)
+class Refresh:
+    """The steps of a refresh. Each reads the tables of the step before and replaces its own, so steps can be run
+    one by one, in separate applications, or again. They return the row counts of the tables they wrote."""
+
+    spark: SparkSession
+    layout: Layout = Layout()
+    spec: TableSpec = tx.SPEC
+
+    def _put(self, layer: str, frames: dict[str, DataFrame], **how) -> dict[str, int]:
+        ensure_namespace(self.spark, self.layout.namespace(layer), self.layout.location(layer))
+        names = [self.layout.table(layer, table) for table in frames]
+        jobs = [partial(replace_table, df, name, **how) for name, df in zip(names, frames.values())]
+        return dict(zip((f"{layer}.{table}" for table in frames), _write_all(jobs)))
+
+    def table(self, layer: str, table: str | None = None) -> DataFrame:
+        return read_table(self.spark, self.layout.table(layer, table or self.spec.table))
+
+    def rejected(self, like: DataFrame) -> DataFrame:
+        """The rejected rows; none where that table was never written."""
+        schema = split(like, self.spec).rejected.schema
+        return read_table_or_empty(self.spark, self.layout.table("quarantine", self.spec.table), schema)
+
+    def write_raw(self, path: str, batch_id: str | None = None) -> dict[str, int]:
+        rows = ingest(self.spark, path, self.spec, batch_id)
+        how = {"partition_by": self.spec.partition_by, "sort_by": self.spec.sort_by}
+        return self._put("bronze", {self.spec.table: rows}, **how)
+
+    def write_clean(self) -> dict[str, int]:
+        valid, rejected = split(self.table("bronze"), self.spec)
+        valid = enrich(valid, self.spec.derivations)
+        return self._put("silver", {self.spec.table: valid}) | self._put("quarantine", {self.spec.table: rejected})
+
+    def write_summaries(self) -> dict[str, int]:
+        silver = self.table("silver")
+        rolled = write_once(shared_rollup(silver), "rollup")
+        return self._put("gold", {t: summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
+
+    def write_reports(self, document_path: str | None = None) -> dict[str, int]:
+        bronze, silver = self.table("bronze"), self.table("silver")
+        now = datetime.now(UTC).isoformat()
+        written = self._put("quality", report_frames(bronze, silver, now, self.spec))
+        if document_path:
+            write_json_document(report_document(silver, self.rejected(bronze), now, self.spec), document_path)
+        return written
+
+    def run(self, path: str, document_path: str | None = None) -> dict[str, int]:
+        """Rebuild every table from the raw file or folder at ``path``."""
+        return self.write_raw(path) | self.write_clean() | self.write_summaries() | self.write_reports(document_path)
+
+    def tests(self) -> DataFrame:
+        """All declared tests over the tables of a finished refresh."""
+        layer = {name: "quality" if name.startswith("bronze_") else "gold" for name in tx.TABLE_TESTS}
+        frames = {name: self.table(layer[name], name) for name in tx.TABLE_TESTS if name != "silver"}
+        return checks.run_all_tests({"silver": self.table("silver"), **frames}, tx.TABLE_TESTS)
+
+    def invariants(self) -> DataFrame:
+        bronze = self.table("bronze")
+        gold = {name: self.table("gold", name) for name in (*tx.SUMMARIES, "high_risk_transactions", "top_sale_receivers")}
+        return invariants(bronze, self.table("silver"), self.rejected(bronze), gold)
 
 
 def invariants(

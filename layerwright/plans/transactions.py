@@ -13,6 +13,7 @@ from layerwright.functions.scalars import bands
 from layerwright.operators.charts import Chart
 from layerwright.operators.checks import accepted_range, accepted_values, not_null, unique
 from layerwright.operators.quality import (
+    Check,
     DuplicateCheck,
     domain_check,
     null_check,
@@ -183,28 +184,37 @@ REQUIRED_COLUMNS = (
 )
 OPTIONAL_COLUMNS = ("login_frequency", "session_duration", "purchase_pattern", "age_group", "ip_prefix")
 
-_DOMAIN_CHECKS = (
-    domain_check("transaction_type", TRANSACTION_TYPES),
-    domain_check("location_region", REGIONS),
-    domain_check("anomaly", RISK_CLASSES),
-)
-_RISK_CHECK = range_check("risk_score", 0, 100)
 _KEY_TEXT = f"({', '.join(DUPLICATE_KEYS)})"
 
-CLEAN_CHECKS = (
-    *(null_check(c, "NULL check on {column}") for c in REQUIRED_COLUMNS),
-    *_DOMAIN_CHECKS,
-    _RISK_CHECK,
-    positive_check("amount", "{column} must be greater than 0"),
-    DuplicateCheck("validity", "duplicate_records", f"No duplicate {_KEY_TEXT} combinations", DUPLICATE_KEYS),
-)
-RAW_CHECKS = (
-    *(null_check(c, "{column} IS NULL") for c in REQUIRED_COLUMNS + OPTIONAL_COLUMNS),
-    positive_check("amount", "{column} must be > 0"),
-    *_DOMAIN_CHECKS,
-    _RISK_CHECK,
-    DuplicateCheck("validity", "no_duplicates", f"no duplicate {_KEY_TEXT} rows", DUPLICATE_KEYS),
-)
+
+def _rule_checks(spec: TableSpec) -> list[Check]:
+    return [
+        domain_check("transaction_type", spec.domain("valid_transaction_types")),
+        domain_check("location_region", spec.domain("valid_regions")),
+        domain_check("anomaly", spec.domain("valid_anomalies")),
+        range_check("risk_score", 0, 100),
+    ]
+
+
+def clean_checks(spec: TableSpec = SPEC) -> list[Check | DuplicateCheck]:
+    """Checks on validated rows."""
+    return [
+        *(null_check(c, "NULL check on {column}") for c in REQUIRED_COLUMNS),
+        *_rule_checks(spec),
+        positive_check("amount", "{column} must be greater than 0"),
+        DuplicateCheck("validity", "duplicate_records", f"No duplicate {_KEY_TEXT} combinations", DUPLICATE_KEYS),
+    ]
+
+
+def raw_checks(spec: TableSpec = SPEC) -> list[Check | DuplicateCheck]:
+    """Checks on unvalidated rows."""
+    return [
+        *(null_check(c, "{column} IS NULL") for c in REQUIRED_COLUMNS + OPTIONAL_COLUMNS),
+        positive_check("amount", "{column} must be > 0"),
+        *_rule_checks(spec),
+        DuplicateCheck("validity", "no_duplicates", f"no duplicate {_KEY_TEXT} rows", DUPLICATE_KEYS),
+    ]
+
 
 BAND_UPPERS = (25, 50, 75)
 CLEAN_BAND_LABELS = ("0–25", "26–50", "51–75", "76–100")  # en dash

@@ -210,13 +210,13 @@ def distinct_values(spark, sf):
 # --- Quality ------------------------------------------------------------------------------------------------
 @query
 def quality_null_counts(spark, sf):
-    nulls = [c for c in t.RAW_CHECKS if c.type == "completeness"]
+    nulls = [c for c in t.raw_checks() if c.type == "completeness"]
     return quality.error_counts(tx.bronze(spark, sf), nulls)
 
 
 @query
 def quality_violations(spark, sf):
-    rules = [c for c in t.RAW_CHECKS if isinstance(c, quality.Check) and c.type == "validity"]
+    rules = [c for c in t.raw_checks() if isinstance(c, quality.Check) and c.type == "validity"]
     return quality.error_counts(tx.bronze(spark, sf), rules)
 
 
@@ -227,29 +227,29 @@ def quality_duplicates(spark, sf):
 
 @query
 def bronze_quality_report(spark, sf):
-    return quality.raw_report(tx.bronze(spark, sf), t.RAW_CHECKS)
+    return quality.raw_report(tx.bronze(spark, sf), t.raw_checks())
 
 
 @query
 def silver_quality_report(spark, sf):
-    return quality.clean_report(tx.silver(spark, sf), t.CLEAN_CHECKS, "2024-01-01T00:00:00+00:00")
+    return quality.clean_report(tx.silver(spark, sf), t.clean_checks(), "2024-01-01T00:00:00+00:00")
 
 
 @query
 def clean_report_on_raw_rows(spark, sf):
     """The report for validated rows, put over unvalidated ones so that its checks find errors."""
-    return quality.clean_report(tx.bronze(spark, sf), t.CLEAN_CHECKS)
+    return quality.clean_report(tx.bronze(spark, sf), t.clean_checks())
 
 
 @query
 def quality_summary(spark, sf):
-    return quality.report_summary(tx.silver(spark, sf), tx.rejected(spark, sf), t.CLEAN_CHECKS)
+    return quality.report_summary(tx.silver(spark, sf), tx.rejected(spark, sf), t.clean_checks())
 
 
 @query
 def quality_summary_on_raw_rows(spark, sf):
     """Errors are added over the checks; over unvalidated rows they are many."""
-    return quality.report_summary(tx.bronze(spark, sf), tx.rejected(spark, sf), t.CLEAN_CHECKS)
+    return quality.report_summary(tx.bronze(spark, sf), tx.rejected(spark, sf), t.clean_checks())
 
 
 @query
@@ -510,7 +510,7 @@ def optional_table(spark, sf):
 def full_refresh_counts(spark, sf):
     """The whole refresh from CSV files; row counts of the tables it wrote, counted by reading them."""
     layout = _fresh_layout(spark)
-    written = refresh.refresh(spark, _csv_file(spark, sf), layout)
+    written = refresh.Refresh(spark, layout).run(_csv_file(spark, sf))
     frames = []
     for name in written:
         layer, table = name.split(".")
