@@ -273,7 +273,7 @@ def report_document(
         F.collect_list(F.struct((-c("n")).alias("key"), "reason", "n")).alias("list"),
     )
 
-    one_row = clean.sparkSession.range(1).select(
+    one_row = clean.sparkSession.range(0, 1, 1, numPartitions=1).select(
         results.select(F.struct("*")).scalar().alias("r"),
         spread.scalar().alias("distributions"),
         reasons.select(F.struct("*")).scalar().alias("q"),

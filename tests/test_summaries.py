@@ -1,0 +1,190 @@
+import datetime
+import math
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerwright.operators.charts import Chart, chart_data, chart_matrix, listing_page
+from layerwright.operators.enrich import enrich
+from layerwright.operators.summaries import (
+    Measure,
+    Summary,
+    latest_per_key,
+    rollup,
+    summarise,
+    summarise_rollup,
+    top_latest,
+)
+from layerwright.plans import transactions as t
+from layerwright.plans.refresh import gold_frames, shared_rollup
+
+
+@pytest.fixture(scope="module")
+def changes():
+    """A third of all rows in one region, from one sender to one receiver."""
+    pick = random.Random(7)
+    made = []
+    for i in range(400):
+        hot = pick.random() < 0.35
+        made.append(
+            {
+                "timestamp": 1_700_000_000 + 3600 * pick.randrange(100),
+                "sending_address": "hot" if hot else f"s{pick.randrange(20)}",
+                "receiving_address": "hot" if hot else f"r{pick.randrange(20)}",
+                "amount": pick.randrange(1, 6_000_000) / 100,
+                "transaction_type": "sale" if hot else pick.choice(t.TRANSACTION_TYPES),
+                "location_region": "Asia" if hot else pick.choice(t.REGIONS),
+                "purchase_pattern": pick.choice([None, "focused", "random"]),
+                "age_group": pick.choice(["new", "veteran"]),
+                "risk_score": float(pick.randrange(101)),
+                "anomaly": pick.choice(t.RISK_CLASSES),
+                "login_frequency": pick.choice([None, 1, 2, 3]),
+                "session_duration": i,
+            }
+        )
+    return made
+
+
+@pytest.fixture(scope="module")
+def silver(rows, changes):
+    return enrich(rows(*changes), t.SPEC.derivations).cache()
+
+
+def half_up(value, digits=2):
+    return math.floor(round(value * 10**digits, 6) + 0.5) / 10**digits
+
+
+def test_region_summary_against_brute_force(silver, changes):
+    groups = defaultdict(list)
+    for c in changes:
+        groups[c["location_region"], c["anomaly"]].append(c)
+    found = summarise(silver, t.SUMMARIES["fraud_by_region"]).collect()
+    assert len(found) == len(groups)
+    for row in found:
+        group = groups[row["location_region"], row["anomaly"]]
+        amounts = [c["amount"] for c in group]
+        assert row["transaction_count"] == len(group)
+        assert row["total_amount"] == pytest.approx(sum(amounts), abs=0.006)
+        assert row["avg_amount"] == pytest.approx(sum(amounts) / len(group), abs=0.006)
+        assert row["avg_risk_score"] == pytest.approx(sum(c["risk_score"] for c in group) / len(group), abs=0.006)
+        assert row["max_amount"] == max(amounts)
+        assert row["fraudulent_count"] == sum(c["transaction_type"] in ("phishing", "scam") for c in group)
+
+
+def test_ranking_is_ordered(silver):
+    scores = [r["avg_risk_score"] for r in summarise(silver, t.SUMMARIES["region_risk_ranking"]).collect()]
+    assert scores == sorted(scores, reverse=True) and len(scores) == 5
+
+
+def test_daily_counts_add_up(silver, changes):
+    days = summarise(silver, t.SUMMARIES["daily_fraud_metrics"]).collect()
+    assert sum(r["total_transactions"] for r in days) == len(changes)
+    for row in days:
+        classes = row["high_risk_count"] + row["moderate_risk_count"] + row["low_risk_count"]
+        assert classes == row["total_transactions"]
+    assert {r["transaction_date"] for r in days} <= {datetime.date(2023, 11, d) for d in range(14, 20)}
+
+
+@pytest.mark.parametrize("name", list(t.SUMMARIES))
+def test_rollup_gives_the_same_summary(silver, name):
+    summary = t.SUMMARIES[name]
+    rolled = rollup(silver, [summary, t.SUMMARIES["risk_profile"]])
+    direct = sorted(map(str, summarise(silver, summary).collect()))
+    assert sorted(map(str, summarise_rollup(rolled, summary).collect())) == direct
+
+
+def test_gold_frames_from_rollup_and_directly(silver):
+    direct, derived = gold_frames(silver), gold_frames(silver, shared_rollup(silver))
+    assert list(direct) == list(derived) and len(direct) == 7
+    for name in direct:
+        assert direct[name].columns == derived[name].columns
+        assert sorted(map(str, direct[name].collect())) == sorted(map(str, derived[name].collect()))
+
+
+def test_average_of_nulls_only_is_null(spark):
+    summary = Summary(("k",), (Measure("m", "avg", "x"),))
+    df = spark.createDataFrame([("a", None), ("b", 4)], "k string, x int")
+    expected = {"a": None, "b": 4.0}
+    assert dict(summarise(df, summary).collect()) == expected
+    assert dict(summarise_rollup(rollup(df, [summary]), summary).collect()) == expected
+
+
+def test_unknown_measure(spark):
+    summary = Summary(("id",), (Measure("m", "median", "id"),))
+    with pytest.raises(ValueError):
+        summarise(spark.range(1), summary)
+    with pytest.raises(ValueError):
+        rollup(spark.range(1), [summary])
+
+
+def test_high_risk_rows(silver, changes):
+    found = gold_frames(silver)["high_risk_transactions"]
+    assert tuple(found.columns) == t.HIGH_RISK_COLUMNS
+    assert found.count() == sum(c["anomaly"] == "high_risk" or c["risk_score"] >= 75 for c in changes)
+
+
+def test_top_receivers_against_brute_force(silver, changes):
+    latest = {}
+    for c in changes:
+        if c["transaction_type"] == "sale":
+            key, rank = c["receiving_address"], (c["timestamp"], c["amount"])
+            latest[key] = max(latest.get(key, (0, 0)), rank)
+    best = sorted(((amount, key) for key, (_, amount) in latest.items()), key=lambda p: (-p[0], p[1]))[:3]
+    found = top_latest(silver, **t.top_receivers_args()).collect()
+    assert [(r["amount"], r["receiving_address"]) for r in found] == best
+
+
+def test_ties_have_one_answer(rows):
+    df = rows(
+        {"transaction_type": "sale", "receiving_address": "b", "amount": 5.0},
+        {"transaction_type": "sale", "receiving_address": "b", "amount": 9.0},
+        {"transaction_type": "sale", "receiving_address": "a", "amount": 9.0},
+        {"transaction_type": "sale", "receiving_address": "c", "amount": 1.0, "timestamp": 2_000_000_000},
+        {"transaction_type": "sale", "receiving_address": "c", "amount": 99.0},
+    )
+    found = top_latest(df, **t.top_receivers_args()).collect()
+    assert [(r["receiving_address"], r["amount"]) for r in found] == [("a", 9.0), ("b", 9.0), ("c", 1.0)]
+
+
+def test_latest_row_of_each_key(silver, changes):
+    latest = latest_per_key(silver, "receiving_address", [F.desc("timestamp"), F.desc("session_duration")])
+    expected = {}
+    for c in changes:
+        rank = (c["timestamp"], c["session_duration"])
+        expected[c["receiving_address"]] = max(expected.get(c["receiving_address"], (0, 0)), rank)
+    assert {r["receiving_address"]: r["session_duration"] for r in latest.collect()} == {
+        key: session for key, (_, session) in expected.items()
+    }
+
+
+# --- charts ---
+def test_chart_long_and_wide(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 3), ("b", "x", 4)], "k string, s string, n int")
+    chart = Chart("t", ("k",), "sum", "n", "Count", series="s")
+    assert sorted(map(tuple, chart_data(df, chart).collect())) == [("a", "x", 1), ("a", "y", 2), ("b", "x", 7)]
+    wide = chart_matrix(df, chart, ["x", "y", "z"])
+    assert wide.columns == ["k", "x", "y", "z"]
+    assert sorted(map(tuple, wide.collect())) == [("a", 1, 2, None), ("b", 7, None, None)]
+
+
+def test_mean_of_means_is_unweighted(spark):
+    df = spark.createDataFrame([("a", 10.0, 1), ("a", 20.0, 99)], "k string, m double, n int")
+    assert chart_data(df, Chart("t", ("k",), "avg", "m", "Avg")).first()["Avg"] == 15.0
+
+
+def test_every_chart_runs_on_its_table(silver):
+    gold = gold_frames(silver)
+    for name, chart in t.CHARTS.items():
+        assert chart_data(gold[chart.table], chart).count() > 0, name
+
+
+def test_pages_cover_the_listing_once(silver):
+    rows = gold_frames(silver)["high_risk_transactions"].withColumn("n", F.col("session_duration"))
+    columns = [*t.LISTING_COLUMNS, "n"]
+    total = rows.count()
+    seen = []
+    for page in range(total // 25 + 1):
+        seen += [r["n"] for r in listing_page(rows, columns, "transaction_datetime", page=page).collect()]
+    assert len(seen) == total and len(set(seen)) == total

@@ -442,6 +442,12 @@ def _csv_file(spark, sf) -> str:
     return path
 
 
+def refresh_from_csv(spark, sf) -> Callable[[], dict[str, int]]:
+    """The CSV files are written now; the refresh from them runs when the result is called."""
+    path = _csv_file(spark, sf)
+    return lambda: refresh.Refresh(spark, _fresh_layout(spark)).run(path, new_path(spark, "document"))
+
+
 def _fresh_layout(spark) -> refresh.Layout:
     return refresh.Layout(prefix=f"lw_{uuid4().hex[:12]}_", root=new_path(spark, "layers"))
 
