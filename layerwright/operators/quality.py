@@ -213,6 +213,7 @@ def _listed(kept: Column, sort_key: Column, **fields: Column) -> Column:
 
 
 def report_document(
+    results: DataFrame,
     clean: DataFrame,
     rejected: DataFrame,
     checks,
@@ -223,17 +224,21 @@ def report_document(
 ) -> DataFrame:
     """The whole report as one row of nested columns, ready for ``write_json_document``.
 
+    ``results`` are the ``check_results`` of the checks, or the table that holds the ``clean_report`` of them: the
+    checks, above all the one for duplicates, need not run again for the document.
+
     The arrays are as long as the list of checks, the declared value lists of validated columns and the list of
     reject rules, none of which grows with the data. The dimensions must therefore be validated columns."""
     c = F.col
     is_null_check = c("check_type") == "completeness"
+    position = F.array_position(F.lit([check.name for check in checks]), c("check_name"))
     conformance = percent(c("total_records") - c("error_count"), c("total_records"), empty=0.0)
-    results = check_results(clean, checks).agg(
+    counted_errors = results.agg(
         F.max("total_records").alias("silver"),
         F.sum("error_count").alias("errors"),
         _listed(
             is_null_check,
-            c("position"),
+            position,
             column=c("check_name"),
             null_count=c("error_count"),
             null_pct=percent(c("error_count"), c("total_records"), empty=0.0),
@@ -241,7 +246,7 @@ def report_document(
         ).alias("completeness"),
         _listed(
             ~is_null_check,
-            c("position"),
+            position,
             rule=c("check_name"),
             description=c("description"),
             error_count=c("error_count"),
@@ -274,7 +279,7 @@ def report_document(
     )
 
     one_row = clean.sparkSession.range(0, 1, 1, numPartitions=1).select(
-        results.select(F.struct("*")).scalar().alias("r"),
+        counted_errors.select(F.struct("*")).scalar().alias("r"),
         spread.scalar().alias("distributions"),
         reasons.select(F.struct("*")).scalar().alias("q"),
     )

@@ -113,8 +113,8 @@ def extract(df: DataFrame, condition: Column, columns) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str, newest_first) -> DataFrame:
     """The first row of each key under an ordering that leaves no ties open.
 
-    Spark keeps one row per key and task before the shuffle (window group limit), so a hot key moves as many
-    rows as there are tasks, not as many as it owns.
+    This returns whole rows. Spark keeps one row per key and task before the shuffle (window group limit), so a
+    hot key moves as many rows as there are tasks, not as many as it owns.
     """
     window = Window.partitionBy(key).orderBy(*newest_first)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
@@ -124,10 +124,12 @@ def top_latest(
     df: DataFrame, *, where: Column, key: str, time: str, measure: str, k: int, digits: int | None = None
 ) -> DataFrame:
     """Of each key's latest row, the ``k`` with the largest measure. Of several rows at the latest moment the
-    one with the largest measure counts; equal measures are listed by key."""
-    latest = latest_per_key(
-        df.filter(where).select(key, measure, time), key, [F.desc(time), F.desc(measure)]
-    )
+    one with the largest measure counts; equal measures are listed by key.
+
+    Only time and measure of the latest row are wanted, so the largest (time, measure) pair per key is an
+    aggregate that merges within each task. It sorts by key alone, where a window sorts by all three."""
+    pair = F.max(F.struct(F.col(time), F.col(measure))).alias("latest")
+    latest = df.filter(where).groupBy(key).agg(pair).select(key, "latest.*")
     shown = F.col(measure) if digits is None else F.round(measure, digits)
     return latest.orderBy(F.desc(measure), key).limit(k).select(key, shown.alias(measure), time)
 

@@ -93,9 +93,15 @@ def report_frames(
 
 
 def report_document(
-    silver: DataFrame, rejected: DataFrame, generated_at: str, spec: TableSpec = tx.SPEC
+    silver: DataFrame,
+    rejected: DataFrame,
+    generated_at: str,
+    spec: TableSpec = tx.SPEC,
+    results: DataFrame | None = None,
 ) -> DataFrame:
+    """The nested report. With ``results``, the written report of the valid rows, no check runs again."""
     return quality.report_document(
+        quality.check_results(silver, tx.clean_checks(spec)) if results is None else results,
         silver,
         rejected,
         tx.clean_checks(spec),
@@ -122,11 +128,11 @@ class Refresh:
     layout: Layout = Layout()
     spec: TableSpec = tx.SPEC
 
-    def _put(self, layer: str, frames: dict[str, DataFrame], **how) -> dict[str, int]:
-        ensure_namespace(self.spark, self.layout.namespace(layer), self.layout.location(layer))
-        names = [self.layout.table(layer, table) for table in frames]
-        jobs = [partial(replace_table, df, name, **how) for name, df in zip(names, frames.values())]
-        return dict(zip((f"{layer}.{table}" for table in frames), _write_all(jobs)))
+    def _put(self, frames: dict[tuple[str, str], DataFrame], **how) -> dict[str, int]:
+        for layer in dict.fromkeys(layer for layer, _ in frames):
+            ensure_namespace(self.spark, self.layout.namespace(layer), self.layout.location(layer))
+        jobs = [partial(replace_table, df, self.layout.table(*name), **how) for name, df in frames.items()]
+        return dict(zip(map(".".join, frames), _write_all(jobs)))
 
     def table(self, layer: str, table: str | None = None) -> DataFrame:
         return read_table(self.spark, self.layout.table(layer, table or self.spec.table))
@@ -139,24 +145,27 @@ class Refresh:
     def write_raw(self, path: str, batch_id: str | None = None) -> dict[str, int]:
         rows = ingest(self.spark, path, self.spec, batch_id)
         how = {"partition_by": self.spec.partition_by, "sort_by": self.spec.sort_by}
-        return self._put("bronze", {self.spec.table: rows}, **how)
+        return self._put({("bronze", self.spec.table): rows}, **how)
 
     def write_clean(self) -> dict[str, int]:
         valid, rejected = split(self.table("bronze"), self.spec)
-        valid = enrich(valid, self.spec.derivations)
-        return self._put("silver", {self.spec.table: valid}) | self._put("quarantine", {self.spec.table: rejected})
+        silver = enrich(valid, self.spec.derivations)
+        return self._put({("silver", self.spec.table): silver, ("quarantine", self.spec.table): rejected})
 
     def write_summaries(self) -> dict[str, int]:
         silver = self.table("silver")
         rolled = write_once(shared_rollup(silver), "rollup")
-        return self._put("gold", {t: summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
+        return self._put({("gold", t): summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
 
     def write_reports(self, document_path: str | None = None) -> dict[str, int]:
         bronze, silver = self.table("bronze"), self.table("silver")
         now = datetime.now(UTC).isoformat()
-        written = self._put("quality", report_frames(bronze, silver, now, self.spec))
+        frames = report_frames(bronze, silver, now, self.spec)
+        written = self._put({("quality", table): df for table, df in frames.items()})
         if document_path:
-            write_json_document(report_document(silver, self.rejected(bronze), now, self.spec), document_path)
+            results = self.table("quality", "silver_report")
+            document = report_document(silver, self.rejected(bronze), now, self.spec, results)
+            write_json_document(document, document_path)
         return written
 
     def run(self, path: str, document_path: str | None = None) -> dict[str, int]:

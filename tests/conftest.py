@@ -70,11 +70,3 @@ def rows(spark):
         return spark.createDataFrame(data, SOURCE_SCHEMA)
 
     return make
-
-
-@pytest.fixture
-def plan_of():
-    def text(df):
-        return df._jdf.queryExecution().executedPlan().toString()
-
-    return text

@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwright.operators import quality, summaries
+from layerwright.operators.charts import listing_page
 from layerwright.operators.checks import run_table_tests
 from layerwright.operators.enrich import enrich
 from layerwright.operators.validate import split
 from layerwright.plans import transactions as t
+from layerwright.plans.refresh import report_document
 from layerwright.sources.scratch import write_once
 from workload import tx
 
@@ -75,10 +77,27 @@ def test_extract_pushes_its_condition(silver):
 
 
 def test_latest_rows_are_limited_before_the_shuffle(silver):
+    latest = summaries.latest_per_key(silver, "receiving_address", [F.desc("timestamp"), F.desc("amount")])
+    plan = full_plan(latest)
+    assert plan.count("WindowGroupLimit") == 2 and "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[1]
+
+
+def test_top_list_merges_before_the_shuffle(silver):
     plan = full_plan(summaries.top_latest(silver, **t.top_receivers_args()))
-    assert "TakeOrderedAndProject(limit=3" in plan and plan.count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject(limit=3" in plan and plan.count("Exchange hashpartitioning") == 1
     below = plan.split("Exchange hashpartitioning")[1]
-    assert "WindowGroupLimit" in below and "EqualTo(transaction_type,sale)" in below
+    assert "partial_max" in below and "EqualTo(transaction_type,sale)" in below
+
+
+def test_a_page_is_a_bounded_top_list(silver):
+    plan = full_plan(listing_page(silver, t.LISTING_COLUMNS, "transaction_datetime", page=2))
+    assert "TakeOrderedAndProject(limit=75" in plan and "rangepartitioning" not in plan
+
+
+def test_document_does_not_repeat_the_checks(silver, bronze):
+    results = write_once(quality.clean_report(silver, t.clean_checks()), "results")
+    plan = full_plan(report_document(silver, split(bronze, t.SPEC).rejected, "now", results=results))
+    assert "sending_address, receiving_address, timestamp" not in plan
 
 
 def test_report_reads_the_table_once_per_kind_of_check(bronze):
