@@ -1,6 +1,7 @@
-"""``spark-submit`` entry: run one step of a refresh, or all of them.
+"""Command line: run one step of a refresh, or all of them.
 
-    spark-submit -m layerwright all /data/df_fraud_credit.csv --document /reports/quality
+    python -m layerwright all /data/df_fraud_credit.csv --document /reports/quality
+    spark-submit --py-files layerwright.zip submit.py all /data/df_fraud_credit.csv
 
 The session, its catalog, its time zone and ``spark.checkpoint.dir`` come from the submit configuration.
 """

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
-from layerwright.functions.predicates import compare
+from layerwright.functions.predicates import compare, number
 from layerwright.functions.scalars import soft_cast, tiers
 from layerwright.spec import Derivation
 
@@ -32,9 +32,9 @@ def derived(rule: Derivation, schema: StructType) -> Column:
         case "isin":
             return F.col(rule.source).isin(list(rule.values))
         case "threshold":
-            return compare(F.col(rule.source), rule.operator, rule.value)
+            return compare(number(rule.source, schema), rule.operator, rule.value)
         case "buckets":
-            return tiers(F.col(rule.source), rule.buckets)
+            return tiers(number(rule.source, schema), rule.buckets)
         case "current_timestamp":
             return F.current_timestamp()
 

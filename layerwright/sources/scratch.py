@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="layerwright-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="layerwright-")
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
 

@@ -185,6 +185,25 @@ def test_tier_limits(rows, amount, tier):
     assert enrich(rows({"amount": amount}), SPEC.derivations).first()["amount_tier"] == tier
 
 
+def test_text_is_compared_as_a_number(spark):
+    rules = [
+        Derivation("big", "threshold", "n", operator=">", value=9.0),
+        Derivation("size", "buckets", "n", buckets=(Bucket("s", 10), Bucket("l"))),
+    ]
+    found = enrich(spark.createDataFrame([("10",), ("9",), ("junk",)], ["n"]), rules).collect()
+    assert [(r["big"], r["size"]) for r in found] == [(True, "l"), (False, "s"), (None, "l")]
+
+
+def test_dates_follow_the_session_time_zone(spark, rows):
+    rules = [Derivation("day", "to_date", "timestamp", source_cast="long")]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert enrich(rows({"timestamp": 1609459200 - 3600}), rules).first()["day"] == datetime.date(2021, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert enrich(rows({"timestamp": 1609459200 - 3600}), rules).first()["day"] == datetime.date(2020, 12, 31)
+
+
 def test_null_sources_give_null_flags(rows):
     row = enrich(rows({"transaction_type": None, "risk_score": None, "timestamp": None}), SPEC.derivations).first()
     assert row["is_fraudulent"] is None and row["is_high_risk"] is None and row["transaction_date"] is None

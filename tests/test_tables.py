@@ -162,6 +162,37 @@ def test_empty_result_is_a_table_too(spark, layout):
     name = layout.table("gold", "none")
     assert tables.replace_table(spark.range(0), name) == 0
     assert tables.read_table(spark, name).count() == 0
+    empty = spark.range(0).withColumn("k", F.col("id") % 2)
+    assert tables.replace_table(empty, layout.table("gold", "none_either"), partition_by=["k"], sort_by=["id"]) == 0
+
+
+def test_configured_catalogs_create_or_replace(spark, monkeypatch):
+    """No such catalog is at hand, so the calls to its writer are recorded."""
+    calls = []
+
+    class Writer:
+        def __init__(self, df, name):
+            self.df = df
+            calls.append(("name", name))
+
+        def __getattr__(self, call):
+            return lambda *args: calls.append((call, *args)) or self
+
+        def createOrReplace(self):  # noqa: N802
+            self.df.write.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(type(spark.range(1)), "writeTo", lambda df, name: Writer(df, name))
+    spark.conf.set("spark.sql.catalog.lake", "some.Catalog")
+    try:
+        rows = tables.replace_table(
+            spark.range(7), "lake.gold.tb", partition_by=["id"], source_format="tableformat", properties={"p": "1"}
+        )
+    finally:
+        spark.conf.unset("spark.sql.catalog.lake")
+    assert rows == 7
+    assert [c[0] for c in calls] == ["name", "using", "tableProperty", "partitionedBy"]
+    assert calls[0] == ("name", "`lake`.`gold`.`tb`") and calls[2] == ("tableProperty", "p", "1")
+    assert Layout(catalog="lake").table("gold", "tb") == "lake.gold.tb"
 
 
 def test_scratch_uses_the_shared_folder(spark):
@@ -171,15 +202,22 @@ def test_scratch_uses_the_shared_folder(spark):
     assert stored.count() == 5 and all(base in f for f in stored.inputFiles())
 
 
-def test_a_cluster_without_shared_folder_is_refused(spark):
-    class Conf:
-        values = {"spark.master": "yarn"}
+class WithoutSharedFolder:
+    """A session whose settings are given and whose checkpoint folder is not."""
+
+    def __init__(self, spark, master):
+        self.settings = {"spark.master": master}
+        self.conf, self.sparkContext = self, spark.sparkContext
 
-        def get(self, key, default=None):
-            return self.values.get(key, default)
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
 
-    class Session:
-        conf = Conf()
 
+def test_a_cluster_without_shared_folder_is_refused(spark):
     with pytest.raises(ValueError):
-        shared_folder(Session())
+        shared_folder(WithoutSharedFolder(spark, "yarn"))
+
+
+def test_a_local_session_may_go_without(spark):
+    local = WithoutSharedFolder(spark, "local[2]")
+    assert shared_folder(local) == shared_folder(local)
