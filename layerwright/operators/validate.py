@@ -62,7 +62,10 @@ def label_rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def split(df: DataFrame, spec: TableSpec) -> Split:
-    """Every row lands on exactly one side: a row whose mask is NULL counts as rejected."""
+    """Every row lands on exactly one side: a row whose mask is NULL counts as rejected.
+
+    The valid side's filter is pushed into the scan. The rejected side's is not, on purpose: file statistics may
+    leave NaN out, and a row group skipped by them could hide a row that is rejected for its NaN."""
     mask = valid_mask(spec, df.schema)
     return Split(df.filter(mask), label_rejects(df.filter(~holds(mask)), spec))
 

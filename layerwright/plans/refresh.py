@@ -131,7 +131,10 @@ class Refresh:
     def _put(self, frames: dict[tuple[str, str], DataFrame], **how) -> dict[str, int]:
         for layer in dict.fromkeys(layer for layer, _ in frames):
             ensure_namespace(self.spark, self.layout.namespace(layer), self.layout.location(layer))
-        jobs = [partial(replace_table, df, self.layout.table(*name), **how) for name, df in frames.items()]
+        jobs = [
+            partial(replace_table, df, self.layout.table(layer, table), compact=layer == "quarantine", **how)
+            for (layer, table), df in frames.items()
+        ]
         return dict(zip(map(".".join, frames), _write_all(jobs)))
 
     def table(self, layer: str, table: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         base = _local_folder()
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    return f"{base.rstrip('/')}/{spark.conf.get('spark.app.id')}"
 
 
 @cache

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,12 +33,22 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quoted(name)}{where}")
 
 
+def _order(terms) -> list[Column]:
+    """Columns to sort by, from terms such as ``day``, ``day desc`` or ``region, day desc``."""
+    order = []
+    for term in ",".join(terms).split(",") if terms else []:
+        name, *direction = term.split()
+        order.append(F.desc(name) if [d.lower() for d in direction] == ["desc"] else F.asc(name))
+    return order
+
+
 def replace_table(
     df: DataFrame,
     name: str,
     *,
     partition_by=(),
     sort_by=(),
+    compact: bool = False,
     source_format: str = "parquet",
     codec: str = "snappy",
     properties: dict[str, str] | None = None,
@@ -47,15 +57,16 @@ def replace_table(
 
     Partition columns may be skewed (one value with a third of all rows) or rare. The rebalance hint lets
     adaptive execution split the first kind over many tasks and merge the second kind, so neither one huge
-    task nor a flood of small files appears. Without partition columns there is no shuffle at all. The rows
-    are counted while they are written; the count sits above every shuffle, so a stage that is run again
-    after a lost executor does not count twice.
+    task nor a flood of small files appears. ``compact`` does the same without columns, for rows that are few
+    compared with the scan they come from and would else leave one tiny file per scan task. Other writes do
+    not shuffle. The rows are counted while they are written; the count sits above every shuffle, so a stage
+    that is run again after a lost executor does not count twice.
     """
     spark = df.sparkSession
-    if partition_by:
+    if partition_by or compact:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     if partition_by or sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
+        df = df.sortWithinPartitions(*partition_by, *_order(sort_by))
     written = Observation()
     df = df.observe(written, F.count("*").alias("rows"))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
@@ -25,6 +25,11 @@ def _known(word: str | None, allowed, what: str) -> None:
         raise ValueError(f"unknown {what} {word!r}; expected one of {', '.join(allowed)}")
 
 
+def _known_parts(cls: type, raw: Mapping) -> dict:
+    """Those entries that the class has fields for; notes and other extras in a spec file do no harm."""
+    return {f.name: raw[f.name] for f in fields(cls) if f.name in raw}
+
+
 def _names(value: Any) -> tuple[str, ...]:
     """One name, a list of names or nothing, as a tuple."""
     if value is None:
@@ -77,9 +82,9 @@ class Derivation:
 
     @classmethod
     def from_dict(cls, raw: Mapping) -> Derivation:
-        parts = dict(raw)
+        parts = _known_parts(cls, raw)
         parts["values"] = tuple(parts.get("values") or ())
-        parts["buckets"] = tuple(Bucket(**b) for b in parts.get("buckets") or ())
+        parts["buckets"] = tuple(Bucket(**_known_parts(Bucket, b)) for b in parts.get("buckets") or ())
         return cls(**parts)
 
 
@@ -178,7 +183,7 @@ class TableSpec:
         return cls(
             key=key,
             table=raw["table"],
-            fields=tuple(Field(**f) for f in raw.get("schema") or ()),
+            fields=tuple(Field(**_known_parts(Field, f)) for f in raw.get("schema") or ()),
             rename=dict(raw.get("rename_columns") or {}),
             drop=_names(raw.get("drop_columns")),
             cast=dict(raw.get("cast_columns") or {}),

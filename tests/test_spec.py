@@ -12,7 +12,7 @@ files:
   a.csv:
     table: tb_a
     schema:
-      - {name: id, type: BIGINT, nullable: false}
+      - {name: id, type: BIGINT, nullable: false, description: a note}
       - {name: price, type: decimal, precision: 10, scale: 0}
       - {name: cost, type: Decimal}
       - {name: blob, type: geometry}

@@ -122,6 +122,15 @@ def test_partitioned_table_splits_a_hot_value(spark, layout):
     assert stored.filter("region = 'r1'").select("id").rdd.isEmpty() is False
 
 
+def test_few_rows_of_many_tasks_make_few_files(spark, layout):
+    tables.ensure_namespace(spark, layout.namespace("quarantine"))
+    few = spark.range(0, 100_000, 1, 40).filter("id % 100 = 0")
+    for compact, files in ((False, 40), (True, 1)):
+        name = layout.table("quarantine", f"tb_{compact}")
+        assert tables.replace_table(few, name, compact=compact) == 1000
+        assert len(tables.read_table(spark, name).inputFiles()) == files
+
+
 def test_rows_are_sorted_within_files(spark, layout):
     tables.ensure_namespace(spark, layout.namespace("bronze"))
     name = layout.table("bronze", "tb")
@@ -133,6 +142,14 @@ def test_rows_are_sorted_within_files(spark, layout):
     assert all(numbers == sorted(numbers) for numbers in by_file.values())
 
 
+def test_sort_terms(spark, layout):
+    tables.ensure_namespace(spark, layout.namespace("bronze"))
+    name = layout.table("bronze", "tb")
+    df = spark.range(0, 6, 1, 1).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"))
+    tables.replace_table(df, name, sort_by=["a, b desc"])
+    assert [tuple(r) for r in tables.read_table(spark, name).collect()] == [(0, 4), (0, 2), (0, 0), (1, 5), (1, 3), (1, 1)]
+
+
 def test_codec(spark, layout):
     tables.ensure_namespace(spark, layout.namespace("bronze"))
     name = layout.table("bronze", "tb")
@@ -206,8 +223,8 @@ class WithoutSharedFolder:
     """A session whose settings are given and whose checkpoint folder is not."""
 
     def __init__(self, spark, master):
-        self.settings = {"spark.master": master}
-        self.conf, self.sparkContext = self, spark.sparkContext
+        self.settings = {"spark.master": master, "spark.app.id": spark.conf.get("spark.app.id")}
+        self.conf = self
 
     def get(self, key, default=None):
         return self.settings.get(key, default)

@@ -110,7 +110,7 @@ def _layer(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataF
     query over it is a scan that prunes columns and pushes filters down. Feeding the source expressions straight
     into the row rules would also fuse both into methods too large for the JIT compiler."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.conf.get("spark.app.id"), sf_dir, name)
     if key not in _WRITTEN:
         _WRITTEN[key] = write_once(rows(), name)
     return _WRITTEN[key]
