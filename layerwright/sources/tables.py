@@ -35,10 +35,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 def _order(terms) -> list[Column]:
     """Columns to sort by, from terms such as ``day``, ``day desc`` or ``region, day desc``."""
+    directions = {"": F.asc, "asc": F.asc, "desc": F.desc}
     order = []
     for term in ",".join(terms).split(",") if terms else []:
-        name, *direction = term.split()
-        order.append(F.desc(name) if [d.lower() for d in direction] == ["desc"] else F.asc(name))
+        name, _, direction = term.strip().partition(" ")
+        if direction.strip().lower() not in directions:
+            raise ValueError(f"cannot sort by {term.strip()!r}")
+        order.append(directions[direction.strip().lower()](name))
     return order
 
 

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+import yaml
 from pyspark.sql import types as T
 
 from layerwright.plans.transactions import SPEC
@@ -112,3 +113,45 @@ def test_shipped_spec():
     assert len(SPEC.fields) == 13 and len(SPEC.derivations) == 10 and len(SPEC.rejects.rules) == 5
     assert spark_schema(SPEC)["amount"].dataType == T.DecimalType(18, 2)
     assert not any(f.nullable for f in spark_schema(SPEC))
+
+
+def as_file_entry(spec):
+    """A spec in the layout of a spec file."""
+
+    def plain(part):
+        return {k: list(v) if isinstance(v, tuple) else v for k, v in vars(part).items() if v not in (None, ())}
+
+    derivations = [{**plain(d), "buckets": [plain(b) for b in d.buckets]} for d in spec.derivations]
+    rules = [{"reason": r.reason, "condition": plain(r.condition)} for r in spec.rejects.rules]
+    return {
+        "table": spec.table,
+        "schema": [plain(f) for f in spec.fields],
+        "validation": {name: list(values) for name, values in spec.domains.items()},
+        "silver": {
+            "enrichment": derivations,
+            "quarantine": {
+                "rejection_column": spec.rejects.reason_column,
+                "timestamp_column": spec.rejects.time_column,
+                "rules": rules,
+            },
+        },
+        "rename_columns": {},
+        "partition_by": [],
+        "sort_order": spec.sort_by[0],
+        "drop_columns": None,
+        "cast_columns": dict(spec.cast),
+    }
+
+
+def test_a_spec_file_gives_the_shipped_spec(tmp_path):
+    path = tmp_path / "tables.yml"
+    path.write_text(yaml.safe_dump({"files": {SPEC.key: as_file_entry(SPEC)}}, sort_keys=False))
+    assert load_spec(path, SPEC.key) == SPEC
+
+
+def test_default_rules_can_be_replaced(tmp_path):
+    entry = as_file_entry(SPEC)
+    entry["validation"]["rules"] = [{"column": "anomaly", "test": "in", "values_ref": "valid_anomalies"}]
+    spec = TableSpec.from_dict(SPEC.key, entry)
+    assert spec.requirements == (Requirement("anomaly", "in", values_ref="valid_anomalies"),)
+    assert spec.domains == SPEC.domains

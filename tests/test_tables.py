@@ -1,6 +1,7 @@
 """Sources, sinks and the whole refresh on files and tables."""
 
 import datetime
+import json
 from uuid import uuid4
 
 import pytest
@@ -12,6 +13,7 @@ from layerwright.plans.refresh import Layout, Refresh, ingest
 from layerwright.sources import tables
 from layerwright.sources.files import read_csv
 from layerwright.sources.scratch import new_path, shared_folder, write_once
+from test_spec import as_file_entry
 
 HEADER = (
     "timestamp,sending_address,receiving_address,amount,transaction_type,location_region,ip_prefix,"
@@ -92,6 +94,18 @@ def test_steps_one_by_one(spark, csv, layout):
     assert len(written) == 13
 
 
+def test_command_line_with_a_spec_file(spark, csv, tmp_path, capsys):
+    entry = as_file_entry(t.SPEC) | {"table": "tb_other", "partition_by": "anomaly"}
+    path = tmp_path / "tables.json"
+    path.write_text(json.dumps({"files": {"mine.csv": entry}}))
+    given = ["--spec", str(path), "--key", "mine.csv"]
+    assert main(["raw", csv, *given]) == 0 and main(["clean", *given]) == 0
+    assert "quarantine.tb_other: 4 rows" in capsys.readouterr().out
+    stored = tables.read_table(spark, "bronze.tb_other")
+    assert stored.count() == 7 and stored.first()["_source_file"] == "mine.csv"
+    assert any("anomaly=low_risk" in f for f in stored.inputFiles())
+
+
 def test_command_line(spark, csv, tmp_path, capsys):
     assert main(["all", csv, "--document", str(tmp_path / "doc")]) == 0
     assert "silver.tb_fraud_credit: 3 rows" in capsys.readouterr().out
@@ -148,6 +162,8 @@ def test_sort_terms(spark, layout):
     df = spark.range(0, 6, 1, 1).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"))
     tables.replace_table(df, name, sort_by=["a, b desc"])
     assert [tuple(r) for r in tables.read_table(spark, name).collect()] == [(0, 4), (0, 2), (0, 0), (1, 5), (1, 3), (1, 1)]
+    with pytest.raises(ValueError):
+        tables.replace_table(df, name, sort_by=["a sideways"])
 
 
 def test_codec(spark, layout):
