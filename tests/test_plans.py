@@ -55,6 +55,16 @@ def test_validity_reaches_the_scan(bronze):
         assert part in found
 
 
+def test_row_steps_stay_small_enough_for_the_jit(spark, bronze):
+    """HotSpot does not compile methods over 8000 bytes; a fused stage beyond that runs ten times slower."""
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    valid, rejected = split(bronze, t.SPEC)
+    for df in (enrich(valid, t.SPEC.derivations), rejected):
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        assert stages.size() == 1
+        assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
+
+
 def test_rejects_are_a_narrow_filter(bronze):
     assert "Exchange" not in full_plan(split(bronze, t.SPEC).rejected)
 
