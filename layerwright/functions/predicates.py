@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import NumericType, StringType, StructType
 
 # Comparison operators a spec may name.
 COMPARISONS = {
@@ -33,6 +33,15 @@ def number(name: str, schema: StructType) -> Column:
     return column if isinstance(schema[name].dataType, NumericType) else column.try_cast("double")
 
 
+def member(name: str, values, schema: StructType) -> Column:
+    """Membership in a list. Where either side is text, both are compared as text, so no value has to be read as a
+    number; an empty list has no members. NULL stays NULL unless the list is empty."""
+    column, values = F.col(name), list(values)
+    if isinstance(schema[name].dataType, StringType) or any(isinstance(v, str) for v in values):
+        column, values = column.cast("string"), [str(v) for v in values]
+    return column.isin(values)
+
+
 def compare(column: Column, op: str, value) -> Column:
     if op not in COMPARISONS:
         raise ValueError(f"unknown operator {op!r}")

@@ -6,19 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
-from layerwright.functions.predicates import compare, number
+from layerwright.functions.predicates import compare, member, number
 from layerwright.functions.scalars import soft_cast, tiers
 from layerwright.spec import Derivation
 
 
 def _moment(rule: Derivation, schema: StructType) -> Column:
-    """The source as a timestamp; with a numeric pre-cast it holds seconds since the epoch."""
+    """The source as a timestamp, NULL where it is none; with a numeric pre-cast it holds epoch seconds."""
     source, kind = F.col(rule.source), schema[rule.source].dataType
     if rule.source_cast:
         if isinstance(kind, TimestampNTZType):
             source = source.cast("timestamp")  # a timestamp without zone has no epoch seconds of its own
         source = soft_cast(source, kind, rule.source_cast)
-    return F.to_timestamp(source)
+    return source.try_cast("timestamp")
 
 
 def derived(rule: Derivation, schema: StructType) -> Column:
@@ -30,7 +30,7 @@ def derived(rule: Derivation, schema: StructType) -> Column:
         case "to_date":
             return F.to_date(_moment(rule, schema))
         case "isin":
-            return F.col(rule.source).isin(list(rule.values))
+            return member(rule.source, rule.values, schema)
         case "threshold":
             return compare(number(rule.source, schema), rule.operator, rule.value)
         case "buckets":

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from layerwright.functions.predicates import compare, every, first_match, holds, number, outside
+from layerwright.functions.predicates import compare, every, first_match, holds, member, number, outside
 from layerwright.functions.scalars import percent
 from layerwright.spec import Condition, Requirement, TableSpec
 
@@ -26,7 +26,7 @@ def _required(requirement: Requirement, spec: TableSpec, schema: StructType) ->
     if requirement.test == "not_null":
         return F.col(name).isNotNull()
     if requirement.test == "in":
-        return F.col(name).isin(spec.domain(requirement.values_ref))
+        return member(name, spec.domain(requirement.values_ref), schema)
     if requirement.test == "above":
         return compare(number(name, schema), ">", requirement.value)
     return ~outside(number(name, schema), requirement.min, requirement.max)
@@ -39,7 +39,7 @@ def valid_mask(spec: TableSpec, schema: StructType) -> Column:
 
 def _matches(condition: Condition, spec: TableSpec, schema: StructType) -> Column:
     if condition.type == "not_in":
-        return ~F.col(condition.column).isin(spec.domain(condition.values_ref))
+        return ~member(condition.column, spec.domain(condition.values_ref), schema)
     value = number(condition.column, schema)
     if condition.type == "null_or_range":
         return value.isNull() | outside(value, condition.min, condition.max)

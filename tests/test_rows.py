@@ -194,6 +194,26 @@ def test_text_is_compared_as_a_number(spark):
     assert [(r["big"], r["size"]) for r in found] == [(True, "l"), (False, "s"), (None, "l")]
 
 
+def test_text_that_is_no_moment_gives_null(spark):
+    rules = [
+        Derivation("at", "to_timestamp", "text"),
+        Derivation("day", "to_date", "text"),
+        Derivation("from_seconds", "to_timestamp", "text", source_cast="long"),
+    ]
+    found = enrich(spark.createDataFrame([("2021-01-02 03:04:05",), ("junk",)], ["text"]), rules).collect()
+    assert found[0]["at"] == datetime.datetime(2021, 1, 2, 3, 4, 5) and found[0]["day"] == datetime.date(2021, 1, 2)
+    assert found[1]["at"] is None and found[1]["day"] is None and found[1]["from_seconds"] is None
+    seconds = enrich(spark.createDataFrame([("86400",)], ["text"]), rules[2:]).first()
+    assert seconds["from_seconds"] == datetime.datetime(1970, 1, 2)
+
+
+@pytest.mark.parametrize("values", [(1, 2), ("1", "2", "x")])
+def test_lists_and_columns_of_unlike_types(spark, values):
+    rules = [Derivation("a", "isin", "text", values=values), Derivation("b", "isin", "n", values=values)]
+    found = enrich(spark.createDataFrame([("1", 2), ("junk", 3), (None, None)], "text string, n int"), rules).collect()
+    assert [(r["a"], r["b"]) for r in found] == [(True, True), (False, False), (None, None)]
+
+
 def test_dates_follow_the_session_time_zone(spark, rows):
     rules = [Derivation("day", "to_date", "timestamp", source_cast="long")]
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
