@@ -89,7 +89,9 @@ def replace_table(
     return written.get["rows"]
 
 
-def replace_table_from_sql(spark: SparkSession, name: str, query: str, sources: dict[str, DataFrame] | None = None, **how) -> int:
+def replace_table_from_sql(
+    spark: SparkSession, name: str, query: str, sources: dict[str, DataFrame] | None = None, **how
+) -> int:
     """Materialise the result of a SQL text. ``{word}`` in it stands for the frame ``sources[word]``."""
     return replace_table(spark.sql(query, **(sources or {})), name, **how)
 

@@ -478,7 +478,7 @@ def partitioned_table(spark, sf):
     return stored.groupBy("location_region").agg(
         F.count("*").alias("row_count"),
         F.round(F.sum("amount"), 2).alias("total_amount"),
-        F.lit(rows).alias("written_rows"),
+        F.lit(rows).cast("long").alias("written_rows"),
     )
 
 
