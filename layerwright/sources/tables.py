@@ -33,6 +33,12 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quoted(name)}{where}")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    namespace, _, table = name.rpartition(".")
+    found = spark.catalog.getDatabase(_quoted(namespace or spark.catalog.currentDatabase()))
+    return f"{found.locationUri.rstrip('/')}/{table}"
+
+
 def _order(terms) -> list[Column]:
     """Columns to sort by, from terms such as ``day``, ``day desc`` or ``region, day desc``."""
     directions = {"": F.asc, "asc": F.asc, "desc": F.desc}
@@ -81,8 +87,10 @@ def replace_table(
             writer = writer.partitionedBy(*(F.col(c) for c in partition_by))
         writer.createOrReplace()
     else:
-        # The built-in session catalog has no create-or-replace for file tables; overwriting does the same.
+        # The built-in session catalog has no create-or-replace for file tables; overwriting does the same. With
+        # its folder given, it also replaces what a catalog that lives in memory has forgotten since the last run.
         writer = df.write.mode("overwrite").format(source_format).option("compression", codec)
+        writer = writer.option("path", _folder(spark, name))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(_quoted(name))

@@ -86,6 +86,24 @@ def test_second_refresh_replaces_the_first(spark, csv, layout):
     assert refresh.run(csv) == first
 
 
+def test_a_forgotten_table_is_replaced_too(spark, layout):
+    """A catalog in memory starts empty in the next application, while the folders of its tables are still there."""
+    tables.ensure_namespace(spark, layout.namespace("gold"))
+    name = layout.table("gold", "tb")
+    tables.replace_table(spark.range(5), name)
+    spark.sql(f"DROP TABLE {name}")
+    assert tables.replace_table(spark.range(3), name) == 3
+    assert tables.read_table(spark, name).count() == 3
+    assert tables.replace_table(spark.range(4).withColumn("k", F.lit("x")), name, partition_by=["k"]) == 4
+    assert tables.read_table(spark, name).count() == 4 and tables.replace_table(spark.range(2), name) == 2
+    assert tables.read_table(spark, name).columns == ["id"] and tables.read_table(spark, name).count() == 2
+
+
+def test_a_table_without_namespace(spark):
+    name = f"tb_{uuid4().hex[:8]}"
+    assert tables.replace_table(spark.range(3), name) == 3 and tables.read_table(spark, name).count() == 3
+
+
 def test_steps_one_by_one(spark, csv, layout):
     written = Refresh(spark, layout).write_raw(csv, "b1")
     written |= Refresh(spark, layout).write_clean()
