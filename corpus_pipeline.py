@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.llm import language, packing, quality, simhash
+from layerwright.llm import language, packing, quality, simhash, substrings
 from layerwright.llm.spark import read, stage_table
 
 
@@ -21,6 +21,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.deduplicated(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(docs)
+
+
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -29,6 +33,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("language_id", language_id),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
     ("sequence_packing", sequence_packing),
 ]
 

@@ -106,6 +106,7 @@ def _gather(rows: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Recor
     schema = arrow_schema(PARTIAL)
     classes: dict[str, np.ndarray] = {}
     documents: dict[str, int] = {}
+    totals: dict[str, int] = {}
     found: dict[str, list] = {}
     size = 0
 
@@ -129,6 +130,7 @@ def _gather(rows: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Recor
                 mine = fit & np.array([x == lang for x in langs])
                 classes[lang] = classes.get(lang, 0) + got["classes"][mine].sum(0)
                 documents[lang] = documents.get(lang, 0) + int(mine.sum())
+                totals[lang] = totals.get(lang, 0) + int(words.counts[mine].sum())
                 at = np.flatnonzero(np.repeat(mine, words.counts))
                 keys, first, n = np.unique(words.keys[at], return_index=True, return_counts=True)
                 spans = zip(words.starts[at[first]].tolist(), words.ends[at[first]].tolist(), strict=True)
@@ -137,16 +139,15 @@ def _gather(rows: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Recor
                 names[:] = [whole[a:b] for a, b in spans]
                 found.setdefault(lang, []).append((keys, n, names))
                 size += len(keys)
-            if size > 1_000_000:
+            if size > 600_000:
                 yield from flush()
                 size = 0
     yield from flush()
     for lang, n in classes.items():
-        items = [name.encode() for name in CLASSES] + [b""]
-        kinds = ["class"] * len(CLASSES) + ["documents"]
-        yield from batches(
-            {"lang": [lang] * len(items), "kind": kinds, "item": items, "n": [*n.tolist(), documents[lang]]}, schema
-        )
+        items = [name.encode() for name in CLASSES] + [b"", b""]
+        kinds = ["class"] * len(CLASSES) + ["documents", "words"]
+        counts = [*n.tolist(), documents[lang], totals[lang]]
+        yield from batches({"lang": [lang] * len(items), "kind": kinds, "item": items, "n": counts}, schema)
 
 
 def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -154,10 +155,8 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     counts of the common words of each language, over all documents that pass the count rules."""
     found = map_batches(docs.select("text", "lang"), partial(_gather, limits=limits), PARTIAL)
     totals = found.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
-    sums = totals.filter("kind = 'word'").groupBy("lang").agg(F.lit("words").alias("kind"), F.lit(b"").alias("item"), F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
-    common = totals.withColumn("_rank", rank).filter(F.col("_rank") <= limits.common_words).drop("_rank")
-    return common.unionByName(sums)
+    return totals.withColumn("_rank", rank).filter(F.col("_rank") <= limits.common_words).drop("_rank")
 
 
 @dataclass(frozen=True)

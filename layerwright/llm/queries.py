@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import language, packing, quality, simhash
+from layerwright.llm import bpe, language, packing, quality, simhash, substrings
 from layerwright.llm.spark import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op6_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.passages(read(spark, sf_dir, "documents"))
+
+
+def op8_byte_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
+
+
 def op9_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.linked(read(spark, sf_dir, "documents"), most=4, shingle=4)
     return found.select("doc_id", simhash.hex_code().alias("fingerprint"), "component_id")
@@ -33,6 +42,8 @@ def op10_language_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_quality_divergence": op3_quality_divergence,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_collinear_chaining": op6_collinear_chaining,
+    "op8_byte_bpe_segment_tree": op8_byte_bpe_segment_tree,
     "op9_simhash_gray_index": op9_simhash_gray_index,
     "op10_language_kneser_ney": op10_language_kneser_ney,
 }
