@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import bpe, language, packing, quality, simhash, substrings
+from layerwright.llm import bpe, chat, language, packing, quality, simhash, substrings, vectors
 from layerwright.llm.spark import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -21,10 +21,26 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op5_binary_code_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(read(spark, sf_dir, "embeddings"), limit=0.98)
+
+
 def op6_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(read(spark, sf_dir, "documents"))
 
 
+def op7_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row is the opening event of a message of its own; conversation -7 has control strings for text."""
+    own = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    planted = spark.createDataFrame(own, "conv_id long, turn int, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    events = rows.select(
+        "conv_id", F.col("turn").alias("seq"), F.monotonically_increasing_id().alias("message_id"),
+        F.lit("message").alias("kind"), "role", "text",
+    )
+    return chat.digests(chat.render(chat.fold(events)))
+
+
 def op8_byte_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
@@ -42,7 +58,9 @@ def op10_language_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_quality_divergence": op3_quality_divergence,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_binary_code_embeddings": op5_binary_code_embeddings,
     "op6_collinear_chaining": op6_collinear_chaining,
+    "op7_event_sourced_chat": op7_event_sourced_chat,
     "op8_byte_bpe_segment_tree": op8_byte_bpe_segment_tree,
     "op9_simhash_gray_index": op9_simhash_gray_index,
     "op10_language_kneser_ney": op10_language_kneser_ney,
