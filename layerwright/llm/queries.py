@@ -6,13 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import bpe, chat, language, packing, quality, simhash, substrings, vectors
+from layerwright.llm import bpe, chat, html, language, packing, quality, simhash, substrings, toxicity, vectors
 from layerwright.llm.spark import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(read(spark, sf_dir, "pages"))
+
+
+def op2_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents found toxic, with the probabilities of the chain. The chain follows the columns of ``labels``:
+    low quality first, which feeds toxicity."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    found = toxicity.classified(read(spark, sf_dir, "documents"), labels, ("low_quality", "toxic"))
+    return found.filter("toxic").select("doc_id", "toxic", "p_toxic", "p_low_quality")
+
+
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
@@ -56,6 +68,8 @@ def op10_language_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_wrapper_induction": op1_wrapper_induction,
+    "op2_classifier_chain": op2_classifier_chain,
     "op3_quality_divergence": op3_quality_divergence,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_binary_code_embeddings": op5_binary_code_embeddings,

@@ -63,8 +63,13 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Keys of spans that are in order and do not overlap, in slices that end between spans."""
-    keys = np.zeros(len(starts), np.uint64)
+    """Keys of spans that are in order and do not overlap."""
+    return prefix_keys(data, starts, ends, [ends])[0]
+
+
+def prefix_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, cuts: list[np.ndarray]) -> list[np.ndarray]:
+    """Keys of the spans' beginnings, up to each of the cuts, in slices that end between spans."""
+    keys = [np.zeros(len(starts), np.uint64) for _ in cuts]
     i = 0
     while i < len(starts):
         base = int(starts[i])
@@ -73,8 +78,9 @@ def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         forward, back = _powers(SLICE + 1) if size <= SLICE else _powers.__wrapped__(size + 1)
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum((data[base : base + size].astype(np.uint64) + np.uint64(1)) * forward[:size], out=sums[1:])
-        low, high = starts[i:j] - base, ends[i:j] - base
-        keys[i:j] = mix((sums[high] - sums[low]) * back[low])
+        low = starts[i:j] - base
+        for key, cut in zip(keys, cuts, strict=True):
+            key[i:j] = mix((sums[cut[i:j] - base] - sums[low]) * back[low])
         i = j
     return keys
 
