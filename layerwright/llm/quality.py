@@ -46,6 +46,7 @@ class Limits:
     char_chance: float = 1.2  # over the root of the length is added, as histograms of short texts vary more
     word_distance: float = 0.50
     word_chance: float = 0.6
+    beyond_chance: float = 0.08  # a text drawn from the reference itself is this far within the limit on average
     languages: int = 256  # the languages with most documents get references; others are judged against these
 
 
@@ -166,6 +167,7 @@ class Model:
     keys: np.ndarray  # of all common words, sorted
     columns: list[np.ndarray]  # per language, where its words are in keys
     shares: list[np.ndarray]  # per language, of its words and of all others
+    chance: list[np.ndarray]  # per language, the distance by chance at LENGTHS
 
 
 def read_model(refs: DataFrame, limits: Limits = Limits()) -> Model:
@@ -186,7 +188,7 @@ def read_model(refs: DataFrame, limits: Limits = Limits()) -> Model:
         n = np.array([n for _, n in words], float)
         shares.append(np.append(n, total - n.sum()) / total)
     every = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
-    return Model(langs, np.array(classes), every, [np.searchsorted(every, k) for k in keys], shares)
+    return Model(langs, np.array(classes), every, [np.searchsorted(every, k) for k in keys], shares, [by_chance(s) for s in shares])
 
 
 def distance(counts: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -199,6 +201,30 @@ def distance(counts: np.ndarray, share: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0, 1))
 
 
+LENGTHS = np.array([50, 70, 100, 140, 200, 280, 400, 800, 1600, 6400])
+
+
+def by_chance(share: np.ndarray) -> np.ndarray:
+    """The usual distance from the shares of texts of LENGTHS words that are drawn from them."""
+    out = []
+    for n in LENGTHS:
+        total = 0.0
+        for s, times in zip(*np.unique(np.round(share[share > 0], 6), return_counts=True), strict=True):
+            s, mean = max(s, 1e-6), n * max(s, 1e-6)
+            k = np.arange(max(0, int(mean - 8 * mean**0.5)), int(mean + 8 * mean**0.5 + 12))
+            log_p = k * np.log(mean) - mean - np.cumsum(np.r_[_log_factorial(k[0]), np.log(k[1:])])
+            x, m = k / n, (k / n + s) / 2
+            with np.errstate(divide="ignore", invalid="ignore"):
+                part = np.where(x > 0, x * np.log2(x / m), 0) + s * np.log2(s / m)
+            total += times * float((np.exp(log_p) * part).sum()) / 2
+        out.append(max(total, 0.0) ** 0.5)
+    return np.array(out)
+
+
+def _log_factorial(k: int) -> float:
+    return float(np.log(np.arange(1, k + 1)).sum())
+
+
 def _judge(rows: Iterator[pa.RecordBatch], model: Model, limits: Limits) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(JUDGED)
     for batch in rows:
@@ -222,6 +248,8 @@ def _judge(rows: Iterator[pa.RecordBatch], model: Model, limits: Limits) -> Iter
                 enough_chars, enough_words = n_chars >= limits.min_chars, got["n_words"] >= limits.min_common
                 most_char = limits.char_distance + limits.char_chance / np.sqrt(np.maximum(n_chars, 1))
                 most_word = limits.word_distance + limits.word_chance / np.sqrt(np.maximum(got["n_words"], 1))
+                usual = np.array([np.interp(got["n_words"], LENGTHS, c) for c in model.chance])
+                most_word = np.maximum(most_word, usual + limits.beyond_chance)
                 excess = np.maximum(
                     np.where(enough_chars, by_class / most_char, 0), np.where(enough_words, by_word / most_word, 0)
                 )
