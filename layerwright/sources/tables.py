@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from layerwright.sources.scratch import remove
+
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -51,6 +55,23 @@ def _order(terms) -> list[Column]:
     return order
 
 
+#: Table properties that hold the codec and the write order where a configured catalog keeps the files.
+CODEC_PROPERTY, ORDER_PROPERTY = "write.parquet.compression-codec", "write.sort-by"
+
+
+def _old_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders of earlier contents of a table, also those that a catalog in memory has forgotten."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}--*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [str(status.getPath().toString()) for status in found or ()]
+
+
+def _swap(spark: SparkSession, name: str, fresh: str) -> None:
+    """Give the table ``fresh`` the name; what had it before goes. Metadata only."""
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {_quoted(fresh)} RENAME TO {_quoted(name)}")
+
+
 def replace_table(
     df: DataFrame,
     name: str,
@@ -64,6 +85,11 @@ def replace_table(
 ) -> int:
     """Write ``df`` as the whole new content of a table and return its row count.
 
+    A configured catalog replaces the table in one commit; codec and write order become table properties there. The
+    session catalog gets a new table in a new folder, which takes over the name once it is complete, and then the
+    files of the old content are removed: a write that fails leaves the old content as it was, and nothing of
+    it can shine through, whatever the session's partition overwrite mode.
+
     Partition columns may be skewed (one value with a third of all rows) or rare. The rebalance hint lets
     adaptive execution split the first kind over many tasks and merge the second kind, so neither one huge
     task nor a flood of small files appears. ``compact`` does the same without columns, for rows that are few
@@ -81,19 +107,32 @@ def replace_table(
 
     if _has_own_catalog(spark, name):
         writer = df.writeTo(_quoted(name)).using(source_format)
-        for key, value in (properties or {}).items():
+        recorded = {CODEC_PROPERTY: codec} | ({ORDER_PROPERTY: ", ".join(sort_by)} if sort_by else {})
+        for key, value in (recorded | (properties or {})).items():
             writer = writer.tableProperty(key, value)
         if partition_by:
             writer = writer.partitionedBy(*(F.col(c) for c in partition_by))
         writer.createOrReplace()
     else:
-        # The built-in session catalog has no create-or-replace for file tables; overwriting does the same. With
-        # its folder given, it also replaces what a catalog that lives in memory has forgotten since the last run.
-        writer = df.write.mode("overwrite").format(source_format).option("compression", codec)
-        writer = writer.option("path", _folder(spark, name))
+        mark = uuid4().hex
+        folder, fresh = _folder(spark, name), f"{name}__{mark}"
+        path = f"{folder}--{mark}"
+        writer = df.write.format(source_format).option("compression", codec).option("path", path)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(_quoted(name))
+        try:
+            writer.saveAsTable(_quoted(fresh))
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {_quoted(fresh)}")
+            remove(spark, path)
+            raise
+        _swap(spark, name, fresh)
+        if properties:
+            listed = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())
+            spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ({listed})")
+        for old in _old_folders(spark, folder):
+            if not old.endswith(f"--{mark}"):
+                remove(spark, old)
     return written.get["rows"]
 
 
