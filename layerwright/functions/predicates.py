@@ -29,14 +29,14 @@ def bound(value):
 
 def number(name: str, schema: StructType) -> Column:
     """The column as a number. Numeric columns stay as they are; text that is no number becomes NULL."""
-    column = F.col(name)
+    column = F.col(f"`{name}`")
     return column if isinstance(schema[name].dataType, NumericType) else column.try_cast("double")
 
 
 def member(name: str, values, schema: StructType) -> Column:
     """Membership in a list. Where either side is text, both are compared as text, so no value has to be read as a
     number; an empty list has no members. NULL stays NULL unless the list is empty."""
-    column, values = F.col(name), list(values)
+    column, values = F.col(f"`{name}`"), list(values)
     if isinstance(schema[name].dataType, StringType) or any(isinstance(v, str) for v in values):
         column, values = column.cast("string"), [str(v) for v in values]
     return column.isin(values)

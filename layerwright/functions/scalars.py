@@ -11,16 +11,23 @@ from layerwright.functions.predicates import bound, first_match
 _WHOLE_NUMBERS = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
 
 
+# A plain decimal number: sign, digits, point, digits; with digits on one side of the point at least.
+_DECIMAL_TEXT = r"^\s*([+-]?)(?:(\d+)\.\d*|\.\d+)\s*$"
+
+
 def soft_cast(column: Column, source: DataType, target: str) -> Column:
-    """Cast that yields NULL where the value does not fit. Text such as ``3.7`` becomes the whole number 3."""
+    """Cast that yields NULL where the value does not fit. Text such as ``3.7`` becomes the whole number 3: the
+    fraction is cut off as text, however long it is, so nothing is rounded up."""
     if isinstance(source, StringType) and target.lower() in _WHOLE_NUMBERS:
-        column = column.try_cast("decimal(38,10)")
+        whole = F.concat(F.regexp_extract(column, _DECIMAL_TEXT, 1), F.lit("0"), F.regexp_extract(column, _DECIMAL_TEXT, 2))
+        column = F.when(column.rlike(_DECIMAL_TEXT), whole).otherwise(column).try_cast("decimal(38,10)")
     return column.try_cast(target)
 
 
 def percent(part: Column, total: Column, empty: float | None = None) -> Column:
-    """``part`` in percent of ``total`` with two digits; ``empty`` is the answer for a total of zero."""
-    share = F.round(F.try_divide(part, total) * 100, 2)
+    """``part`` in percent of ``total`` with two digits, ties away from zero (1 of 800 is 0.13); ``empty`` is the
+    answer for a total of zero."""
+    share = F.round(F.try_divide(part * 100, total), 2)  # in this order a tie is one in binary, too
     return share if empty is None else F.coalesce(share, F.lit(float(empty)))
 
 

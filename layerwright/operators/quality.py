@@ -11,20 +11,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from layerwright.functions.predicates import outside
+from layerwright.functions.predicates import member, number, outside
 from layerwright.functions.scalars import percent
 
 
 
 @dataclass(frozen=True)
 class Check:
-    """Counts the rows where ``bad`` is true; NULL is no error."""
+    """Counts the rows where ``bad``, made for the frame's schema, is true; NULL is no error. Text that is no number
+    is NULL to a check of numbers."""
 
     type: str
     name: str
     description: str
-    bad: Callable[[], Column]
+    bad: Callable[[StructType], Column]
 
 
 @dataclass(frozen=True)
@@ -38,27 +40,28 @@ class DuplicateCheck:
 
 
 def null_check(column: str, description: str) -> Check:
-    return Check("completeness", column, description.format(column=column), lambda: F.col(column).isNull())
+    return Check("completeness", column, description.format(column=column), lambda schema: F.col(column).isNull())
 
 
 def domain_check(column: str, values) -> Check:
     values = list(values)
     text = f"{column} must be one of: {', '.join(map(str, values))}"
-    return Check("validity", f"{column}_valid", text, lambda: ~F.col(column).isin(values))
+    return Check("validity", f"{column}_valid", text, lambda schema: ~member(column, values, schema))
 
 
 def range_check(column: str, low, high) -> Check:
     text = f"{column} must be between {low} and {high}"
-    return Check("validity", f"{column}_range", text, lambda: outside(F.col(column), low, high))
+    return Check("validity", f"{column}_range", text, lambda schema: outside(number(column, schema), low, high))
 
 
 def positive_check(column: str, description: str) -> Check:
-    return Check("validity", f"{column}_positive", description.format(column=column), lambda: F.col(column) <= 0)
+    text = description.format(column=column)
+    return Check("validity", f"{column}_positive", text, lambda schema: number(column, schema) <= 0)
 
 
 def error_counts(df: DataFrame, checks) -> DataFrame:
     """One row: ``total_records`` and one error count per check, all from a single pass."""
-    return df.agg(F.count("*").alias("total_records"), *(F.count_if(c.bad()).alias(c.name) for c in checks))
+    return df.agg(F.count("*").alias("total_records"), *(F.count_if(c.bad(df.schema)).alias(c.name) for c in checks))
 
 
 def duplicate_counts(df: DataFrame, keys) -> DataFrame:
@@ -228,7 +231,7 @@ def report_document(
     checks, above all the one for duplicates, need not run again for the document.
 
     The arrays are as long as the list of checks, the declared value lists of validated columns and the list of
-    reject rules, none of which grows with the data. The dimensions must therefore be validated columns."""
+    reject rules, none of which grows with the data. ``document_dimensions`` of the plan makes sure of it."""
     c = F.col
     is_null_check = c("check_type") == "completeness"
     position = F.array_position(F.lit([check.name for check in checks]), c("check_name"))
