@@ -6,9 +6,9 @@ and a second run replaces every table with the same content.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import partial
 from typing import Any
@@ -21,7 +21,7 @@ from layerwright.operators.enrich import enrich
 from layerwright.operators.validate import split
 from layerwright.plans import transactions as tx
 from layerwright.sources.files import read_csv
-from layerwright.sources.scratch import write_once
+from layerwright.sources.scratch import written
 from layerwright.sources.tables import (
     ensure_namespace,
     read_table,
@@ -37,11 +37,14 @@ LAYERS = ("bronze", "silver", "quarantine", "gold", "quality")  # fixed values:
 @dataclass(frozen=True)
 class Layout:
     """Where the layers live: an optional configured catalog, a prefix for the namespaces, an optional root
-    folder for them."""
+    folder for them; format, codec and properties of the tables."""
 
     catalog: str | None = None
     prefix: str = ""
     root: str | None = None
+    source_format: str = "parquet"
+    codec: str = "snappy"
+    properties: Mapping[str, str] = field(default_factory=dict)
 
     def namespace(self, layer: str) -> str:
         name = f"{self.prefix}{layer}"
@@ -105,7 +108,7 @@ def report_document(
         silver,
         rejected,
         tx.clean_checks(spec),
-        tx.clean_dimensions(),
+        tx.document_dimensions(spec),
         tx.clean_bands(),
         spec.rejects.reason_column,
         generated_at,
@@ -128,9 +131,16 @@ class Refresh:
     layout: Layout = Layout()
     spec: TableSpec = tx.SPEC
 
+    def __post_init__(self):
+        zone = self.spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+            raise ValueError(f"dates of a refresh are UTC dates: set spark.sql.session.timeZone to UTC, not {zone}")
+
     def _put(self, frames: dict[tuple[str, str], DataFrame], **how) -> dict[str, int]:
         for layer in dict.fromkeys(layer for layer, _ in frames):
             ensure_namespace(self.spark, self.layout.namespace(layer), self.layout.location(layer))
+        how |= {"source_format": self.layout.source_format, "codec": self.layout.codec}
+        how["properties"] = dict(self.layout.properties)
         jobs = [
             partial(replace_table, df, self.layout.table(layer, table), compact=layer == "quarantine", **how)
             for (layer, table), df in frames.items()
@@ -157,19 +167,19 @@ class Refresh:
 
     def write_summaries(self) -> dict[str, int]:
         silver = self.table("silver")
-        rolled = write_once(shared_rollup(silver), "rollup")
-        return self._put({("gold", t): summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
+        with written(shared_rollup(silver), "rollup") as rolled:
+            return self._put({("gold", t): summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
 
     def write_reports(self, document_path: str | None = None) -> dict[str, int]:
         bronze, silver = self.table("bronze"), self.table("silver")
         now = datetime.now(UTC).isoformat()
         frames = report_frames(bronze, silver, now, self.spec)
-        written = self._put({("quality", table): df for table, df in frames.items()})
+        counts = self._put({("quality", table): df for table, df in frames.items()})
         if document_path:
             results = self.table("quality", "silver_report")
             document = report_document(silver, self.rejected(bronze), now, self.spec, results)
             write_json_document(document, document_path)
-        return written
+        return counts
 
     def run(self, path: str, document_path: str | None = None) -> dict[str, int]:
         """Rebuild every table from the raw file or folder at ``path``."""
@@ -177,25 +187,34 @@ class Refresh:
 
     def tests(self) -> DataFrame:
         """All declared tests over the tables of a finished refresh."""
-        layer = {name: "quality" if name.startswith("bronze_") else "gold" for name in tx.TABLE_TESTS}
-        frames = {name: self.table(layer[name], name) for name in tx.TABLE_TESTS if name != "silver"}
-        return checks.run_all_tests({"silver": self.table("silver"), **frames}, tx.TABLE_TESTS)
+        plan = tx.table_tests(self.spec)
+        layer = {name: "quality" if name.startswith("bronze_") else "gold" for name in plan}
+        frames = {name: self.table(layer[name], name) for name in plan if name != "silver"}
+        return checks.run_all_tests({"silver": self.table("silver"), **frames}, plan)
 
     def invariants(self) -> DataFrame:
         bronze = self.table("bronze")
         gold = {name: self.table("gold", name) for name in (*tx.SUMMARIES, "high_risk_transactions", "top_sale_receivers")}
-        return invariants(bronze, self.table("silver"), self.rejected(bronze), gold)
+        return invariants(bronze, self.table("silver"), self.rejected(bronze), gold, self.spec)
+
+    def write_tests(self) -> dict[str, int]:
+        """The results of all tests and invariants as tables ``table_tests`` and ``invariants`` of the quality layer."""
+        return self._put({("quality", "table_tests"): self.tests(), ("quality", "invariants"): self.invariants()})
 
 
 def invariants(
-    bronze: DataFrame, silver: DataFrame, rejected: DataFrame, gold: dict[str, DataFrame] | None = None
+    bronze: DataFrame,
+    silver: DataFrame,
+    rejected: DataFrame,
+    gold: dict[str, DataFrame] | None = None,
+    spec: TableSpec = tx.SPEC,
 ) -> DataFrame:
     """Row conservation, the row-level truths of both sides of the split, and that no table is empty."""
     result = (
         checks.conservation(bronze, {"silver": silver, "quarantine": rejected})
         .unionByName(checks.run_invariants(bronze, "bronze", {}))
-        .unionByName(checks.run_invariants(silver, "silver", tx.clean_invariants()))
-        .unionByName(checks.run_invariants(rejected, "quarantine", tx.reject_invariants()))
+        .unionByName(checks.run_invariants(silver, "silver", tx.clean_invariants(spec)))
+        .unionByName(checks.run_invariants(rejected, "quarantine", tx.reject_invariants(spec)))
     )
     for table, frame in (gold or {}).items():
         result = result.unionByName(checks.run_invariants(frame, table, {}))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from layerwright.functions.scalars import bands
 from layerwright.operators.charts import Chart
-from layerwright.operators.checks import accepted_range, accepted_values, not_null, unique
+from layerwright.operators.checks import TableTest, accepted_range, accepted_values, not_null, unique
 from layerwright.operators.quality import (
     Check,
     DuplicateCheck,
@@ -228,6 +228,15 @@ def clean_dimensions() -> dict[str, Column]:
     return {name: F.col(name) for name in CLEAN_DIMENSIONS}
 
 
+def document_dimensions(spec: TableSpec = SPEC) -> dict[str, Column]:
+    """The dimensions of the report document, whose arrays hold one entry per value: each must be a column with
+    a value list that valid rows meet."""
+    listed = {r.column for r in spec.requirements if r.test == "in" and spec.domain(r.values_ref)}
+    if missing := [name for name in CLEAN_DIMENSIONS if name not in listed]:
+        raise ValueError(f"no value list bounds the report's dimensions {', '.join(missing)}")
+    return clean_dimensions()
+
+
 def clean_bands() -> Column:
     """Risk bands of validated rows; a NULL score would count in the last band."""
     return bands(F.col("risk_score"), BAND_UPPERS, CLEAN_BAND_LABELS)
@@ -255,70 +264,83 @@ def _one_of(column: str, values):
     return [*not_null(column), *accepted_values(column, values)]
 
 
-_REGION, _CLASS, _TYPE = (
-    _one_of("location_region", REGIONS),
-    _one_of("anomaly", RISK_CLASSES),
-    _one_of("transaction_type", TRANSACTION_TYPES),
-)
-
-TABLE_TESTS = {
-    "silver": [
-        *not_null("timestamp", "sending_address", "receiving_address", "amount"),
-        *_TYPE, *_REGION, *_CLASS, *not_null("risk_score"),
-    ],
-    "fraud_by_region": [
-        *_REGION, *_CLASS, *_at_least(0, "transaction_count", "fraudulent_count"), *_percentages("avg_risk_score"),
-    ],
-    "fraud_by_type": [*_TYPE, *_CLASS, *_at_least(0, "transaction_count"), *_percentages("avg_risk_score")],
-    "daily_fraud_metrics": [
-        *not_null("transaction_date"), *_REGION, *_at_least(1, "total_transactions"),
-        *_at_least(0, "high_risk_count"), *_percentages("avg_risk_score"),
-    ],
-    "high_risk_transactions": [
-        *not_null("transaction_datetime", "sending_address", "amount"), *_percentages("risk_score"),
-        # low_risk rows with a high score do occur; the test is meant to show them
-        *_one_of("anomaly", ("high_risk", "moderate_risk")),
-    ],
-    "risk_profile": [
-        *not_null("age_group", "purchase_pattern"), *_CLASS, *_at_least(0, "transaction_count"),
-        *_percentages("avg_risk_score"),
-    ],
-    "region_risk_ranking": [
-        *_REGION, *_at_least(1, "transaction_count"),
-        *_percentages("avg_risk_score", "min_risk_score", "max_risk_score"),
-    ],
-    "top_sale_receivers": [*not_null("receiving_address", "timestamp"), *_at_least(0, "amount")],
-    "bronze_quality_report": [
-        *not_null("check_type", "check_name", "description"), *unique("check_name"), *_at_least(0, "error_count"),
-        *_at_least(1, "total_records"), *_percentages("error_pct", "conformance_pct"),
-        *_one_of("status", ("PASS", "FAIL")),
-    ],
-    "bronze_quality_distributions": [
-        *not_null("dimension", "dim_value"), *_at_least(1, "record_count"), *_percentages("pct"),
-    ],
-}
+def table_tests(spec: TableSpec = SPEC) -> dict[str, list[TableTest]]:
+    """The declared tests of each table, with the value lists of the spec."""
+    region = _one_of("location_region", spec.domain("valid_regions"))
+    risk_class = _one_of("anomaly", spec.domain("valid_anomalies"))
+    kind = _one_of("transaction_type", spec.domain("valid_transaction_types"))
+    return _table_tests(region, risk_class, kind)
 
 
-def clean_invariants() -> dict[str, Column]:
+def _table_tests(region, risk_class, kind) -> dict[str, list[TableTest]]:
+    return {
+        "silver": [
+            *not_null("timestamp", "sending_address", "receiving_address", "amount"),
+            *kind, *region, *risk_class, *not_null("risk_score"),
+        ],
+        "fraud_by_region": [
+            *region, *risk_class, *_at_least(0, "transaction_count", "fraudulent_count"), *_percentages("avg_risk_score"),
+        ],
+        "fraud_by_type": [*kind, *risk_class, *_at_least(0, "transaction_count"), *_percentages("avg_risk_score")],
+        "daily_fraud_metrics": [
+            *not_null("transaction_date"), *region, *_at_least(1, "total_transactions"),
+            *_at_least(0, "high_risk_count"), *_percentages("avg_risk_score"),
+        ],
+        "high_risk_transactions": [
+            *not_null("transaction_datetime", "sending_address", "amount"), *_percentages("risk_score"),
+            # low_risk rows with a high score do occur; the test is meant to show them
+            *_one_of("anomaly", ("high_risk", "moderate_risk")),
+        ],
+        "risk_profile": [
+            *not_null("age_group", "purchase_pattern"), *risk_class, *_at_least(0, "transaction_count"),
+            *_percentages("avg_risk_score"),
+        ],
+        "region_risk_ranking": [
+            *region, *_at_least(1, "transaction_count"),
+            *_percentages("avg_risk_score", "min_risk_score", "max_risk_score"),
+        ],
+        "top_sale_receivers": [*not_null("receiving_address", "timestamp"), *_at_least(0, "amount")],
+        "bronze_quality_report": [
+            *not_null("check_type", "check_name", "description"), *unique("check_name"), *_at_least(0, "error_count"),
+            *_at_least(1, "total_records"), *_percentages("error_pct", "conformance_pct"),
+            *_one_of("status", ("PASS", "FAIL")),
+        ],
+        "bronze_quality_distributions": [
+            *not_null("dimension", "dim_value"), *_at_least(1, "record_count"), *_percentages("pct"),
+        ],
+    }
+
+
+def _derived(spec: TableSpec, column: str, default) -> list:
+    """The values or labels that the spec gives for a derived column."""
+    for rule in spec.derivations:
+        if rule.column == column:
+            return list(rule.values or (bucket.label for bucket in rule.buckets))
+    return list(default)
+
+
+def clean_invariants(spec: TableSpec = SPEC) -> dict[str, Column]:
     """Violations that a validated table must not show."""
-    c = F.col
+    c, regions = F.col, spec.domain("valid_regions")
     return {
         "amount_not_null": c("amount").isNull(),
         "amount_positive": c("amount") <= 0,
         "risk_score_in_range": (c("risk_score") < 0) | (c("risk_score") > 100),
-        "amount_tier_known": ~F.coalesce(c("amount_tier").isin(list(TIERS)), F.lit(False)),
-        "fraud_flag_only_for_fraud_types": c("is_fraudulent") & ~c("transaction_type").isin(list(FRAUD_TYPES)),
-        "location_region_known": ~F.coalesce(c("location_region").isin(list(REGIONS)), F.lit(False)),
+        "amount_tier_known": ~F.coalesce(c("amount_tier").isin(_derived(spec, "amount_tier", TIERS)), F.lit(False)),
+        "fraud_flag_only_for_fraud_types": c("is_fraudulent")
+        & ~c("transaction_type").isin(_derived(spec, "is_fraudulent", FRAUD_TYPES)),
+        "location_region_known": ~F.coalesce(c("location_region").isin(regions), F.lit(False)),
     }
 
 
-def reject_invariants() -> dict[str, Column]:
+def reject_invariants(spec: TableSpec = SPEC) -> dict[str, Column]:
     """Violations that a table of rejected rows must not show."""
-    reason = F.col(SPEC.rejects.reason_column)
+    reason = F.col(spec.rejects.reason_column)
+    reasons = [*(rule.reason for rule in spec.rejects.rules), "other"]
     return {
         "reason_not_null": reason.isNull(),
-        "reason_known": ~reason.isin(list(REASONS)),
-        "reject_time_not_null": F.col(SPEC.rejects.time_column).isNull(),
+        "reason_known": ~reason.isin(reasons),
+        "reject_time_not_null": F.col(spec.rejects.time_column).isNull(),
     }
 
 

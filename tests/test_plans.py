@@ -12,6 +12,7 @@ from layerwright.plans import transactions as t
 from layerwright.plans.refresh import report_document
 from layerwright.sources.scratch import write_once
 from workload import tx
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,6 +31,21 @@ def pushed(plan):
     return plan.split("PushedFilters:")[1].split("], ReadSchema")[0]
 
 
+def shuffled_records(df) -> int:
+    """Rows that the exchanges of a collected frame wrote."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
 def full_plan(df, width=100_000):
     spark = df.sparkSession
     spark.conf.set("spark.sql.maxMetadataStringLength", str(width))
@@ -39,9 +55,10 @@ def full_plan(df, width=100_000):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-def test_no_query_uses_python_workers(bronze, silver):
-    for df in (split(bronze, t.SPEC).rejected, enrich(bronze, t.SPEC.derivations)):
-        assert "Python" not in full_plan(df) and "Arrow" not in full_plan(df)
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_query_uses_python_workers(spark, name):
+    plan = full_plan(QUERIES[name](spark, SF))
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
 def test_validity_reaches_the_scan(bronze):
@@ -100,8 +117,11 @@ def test_top_list_merges_before_the_shuffle(silver):
 
 
 def test_a_page_is_a_bounded_top_list(silver):
-    plan = full_plan(listing_page(silver, t.LISTING_COLUMNS, "transaction_datetime", page=2))
-    assert "TakeOrderedAndProject(limit=75" in plan and "rangepartitioning" not in plan
+    """The limit is that of one page, however deep the page is."""
+    first = listing_page(silver, t.LISTING_COLUMNS, "transaction_datetime")
+    last = first.tail(1)[0]
+    plan = full_plan(listing_page(silver, t.LISTING_COLUMNS, "transaction_datetime", after=last))
+    assert f"TakeOrderedAndProject(limit={25 + last.row_number}" in plan and "transaction_datetime" in pushed(plan)
 
 
 def test_document_does_not_repeat_the_checks(silver, bronze):
@@ -124,7 +144,7 @@ def test_distributions_count_before_the_shuffle(bronze):
 
 
 def test_table_tests_are_one_scan(silver):
-    plan = full_plan(run_table_tests(silver, "silver", t.TABLE_TESTS["silver"]))
+    plan = full_plan(run_table_tests(silver, "silver", t.table_tests()["silver"]))
     assert plan.count("FileScan") == 1 and "hashpartitioning" not in plan
 
 
@@ -135,8 +155,11 @@ def test_skewed_groups_do_not_grow_the_shuffle(spark):
     )
     rows = write_once(skewed, "skewed")
     summary = summaries.Summary(("k",), (summaries.Measure("n", "rows"), summaries.Measure("s", "sum", "id")))
-    found = {r["k"]: r["n"] for r in summaries.summarise(rows, summary).collect()}
+    summed = summaries.summarise(rows, summary)
+    found = {r["k"]: r["n"] for r in summed.collect()}
     assert sum(found.values()) == 300_000 and found["hot"] == 240_000
+    # 8 groups from each of 6 files at most
+    assert 0 < shuffled_records(summed) <= 8 * 6
 
 
 def test_joins_of_the_workload_broadcast_by_size_only(spark):
@@ -144,6 +167,6 @@ def test_joins_of_the_workload_broadcast_by_size_only(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = full_plan(tx.source_rows(spark, SF))
-        assert plan.count("SortMergeJoin") == 4 and "Broadcast" not in plan and "Cartesian" not in plan
+        assert plan.count("SortMergeJoin") == 6 and "Broadcast" not in plan and "Cartesian" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -169,13 +169,13 @@ def test_offending_rows(spark):
 
 
 def test_declared_plan():
-    counts = {table: len(tests) for table, tests in t.TABLE_TESTS.items()}
+    counts = {table: len(tests) for table, tests in t.table_tests().items()}
     assert counts == {
         "silver": 11, "fraud_by_region": 10, "fraud_by_type": 8, "daily_fraud_metrics": 9,
         "high_risk_transactions": 7, "risk_profile": 8, "region_risk_ranking": 10, "top_sale_receivers": 4,
         "bronze_quality_report": 14, "bronze_quality_distributions": 6,
     }
-    kinds = [test.kind for tests in t.TABLE_TESTS.values() for test in tests]
+    kinds = [test.kind for tests in t.table_tests().values() for test in tests]
     assert {k: kinds.count(k) for k in set(kinds)} == {
         "not_null": 52, "accepted_values": 12, "accepted_range": 22, "unique": 1,
     }

@@ -165,8 +165,12 @@ def test_chart_long_and_wide(spark):
     chart = Chart("t", ("k",), "sum", "n", "Count", series="s")
     assert sorted(map(tuple, chart_data(df, chart).collect())) == [("a", "x", 1), ("a", "y", 2), ("b", "x", 7)]
     wide = chart_matrix(df, chart, ["x", "y", "z"])
-    assert wide.columns == ["k", "x", "y", "z"]
-    assert sorted(map(tuple, wide.collect())) == [("a", 1, 2, None), ("b", 7, None, None)]
+    assert wide.columns == ["k", "x", "y", "z", "other"]
+    assert sorted(map(tuple, wide.collect())) == [("a", 1, 2, None, None), ("b", 7, None, None, None)]
+    more = df.unionByName(spark.createDataFrame([("a", "new", 5), ("b", None, 6), ("c", "new", 8)], df.schema))
+    assert sorted(map(tuple, chart_matrix(more, chart, ["x"]).collect())) == [("a", 1, 7), ("b", 7, 6), ("c", None, 8)]
+    with pytest.raises(ValueError):
+        chart_matrix(df, chart, ["x", "other"])
 
 
 def test_mean_of_means_is_unweighted(spark):
@@ -185,6 +189,20 @@ def test_pages_cover_the_listing_once(silver):
     columns = [*t.LISTING_COLUMNS, "n"]
     total = rows.count()
     seen = []
-    for page in range(total // 25 + 1):
-        seen += [r["n"] for r in listing_page(rows, columns, "transaction_datetime", page=page).collect()]
+    after = None
+    while page := listing_page(rows, columns, "transaction_datetime", after).collect():
+        seen += [r["n"] for r in page]
+        after = page[-1]
     assert len(seen) == total and len(set(seen)) == total
+
+
+def test_pages_with_nulls_and_equal_rows(spark):
+    rows = [(None, "b"), (3, None), (3, None), (3, "a"), (2, "x"), (2, "x"), (2, "x"), (None, None), (1, "z"), (None, "b")]
+    df = spark.createDataFrame(rows, "t int, s string")
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    for size in (1, 2, 3, 20):
+        seen, after = [], None
+        while page := listing_page(df, ("t", "s"), "t", after, size).collect():
+            seen += [(r.t, r.s) for r in page]
+            after = page[-1]
+        assert seen == want

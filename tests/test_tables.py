@@ -2,6 +2,8 @@
 
 import datetime
 import json
+from dataclasses import replace
+from pathlib import Path
 from uuid import uuid4
 
 import pytest
@@ -12,7 +14,7 @@ from layerwright.plans import transactions as t
 from layerwright.plans.refresh import Layout, Refresh, ingest
 from layerwright.sources import tables
 from layerwright.sources.files import read_csv
-from layerwright.sources.scratch import new_path, shared_folder, write_once
+from layerwright.sources.scratch import written, new_path, shared_folder, write_once
 from test_spec import as_file_entry
 
 HEADER = (
@@ -236,13 +238,15 @@ def test_configured_catalogs_create_or_replace(spark, monkeypatch):
     spark.conf.set("spark.sql.catalog.lake", "some.Catalog")
     try:
         rows = tables.replace_table(
-            spark.range(7), "lake.gold.tb", partition_by=["id"], source_format="tableformat", properties={"p": "1"}
-        )
+            spark.range(7), "lake.gold.tb", partition_by=["id"], sort_by=["id"], source_format="tableformat",
+            codec="zstd", properties={"p": "1"},
+        )
     finally:
         spark.conf.unset("spark.sql.catalog.lake")
     assert rows == 7
-    assert [c[0] for c in calls] == ["name", "using", "tableProperty", "partitionedBy"]
-    assert calls[0] == ("name", "`lake`.`gold`.`tb`") and calls[2] == ("tableProperty", "p", "1")
+    assert [c[0] for c in calls] == ["name", "using", *["tableProperty"] * 3, "partitionedBy"]
+    assert calls[0] == ("name", "`lake`.`gold`.`tb`") and calls[1] == ("using", "tableformat")
+    assert [c[1:] for c in calls[2:5]] == [(tables.CODEC_PROPERTY, "zstd"), (tables.ORDER_PROPERTY, "id"), ("p", "1")]
     assert Layout(catalog="lake").table("gold", "tb") == "lake.gold.tb"
 
 
@@ -257,18 +261,87 @@ class WithoutSharedFolder:
     """A session whose settings are given and whose checkpoint folder is not."""
 
     def __init__(self, spark, master):
-        self.settings = {"spark.master": master, "spark.app.id": spark.conf.get("spark.app.id")}
+        self.settings = {"spark.master": master, "spark.app.id": "app-1", "spark.sql.warehouse.dir": "/w/house"}
         self.conf = self
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
 
 
-def test_a_cluster_without_shared_folder_is_refused(spark):
-    with pytest.raises(ValueError):
-        shared_folder(WithoutSharedFolder(spark, "yarn"))
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_without_the_setting_scratch_is_in_the_warehouse(spark, master):
+    assert shared_folder(WithoutSharedFolder(spark, master)) == "/w/house/_scratch/app-1"
+
+
+def test_written_goes_with_its_block(spark):
+    with written(spark.range(4), "four") as df:
+        (folder,) = {Path(f.removeprefix("file://")).parent for f in df.inputFiles()}
+        assert df.count() == 4 and folder.exists()
+    assert not folder.exists()
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, layout):
+    tables.ensure_namespace(spark, layout.namespace("gold"))
+    name = layout.table("gold", "kept")
+    tables.replace_table(spark.range(5), name)
+    bad = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.replace_table(bad, name)
+    assert tables.read_table(spark, name).count() == 5
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {layout.namespace('gold')}").collect()] == ["kept"]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_nothing_of_the_old_content_stays(spark, layout, mode):
+    tables.ensure_namespace(spark, layout.namespace("gold"))
+    name = layout.table("gold", "parts")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        both = spark.createDataFrame([(1, "x"), (2, "y")], "n int, k string")
+        assert tables.replace_table(both, name, partition_by=["k"]) == 2
+        assert tables.replace_table(both.filter("k = 'x'"), name, partition_by=["k"]) == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    stored = tables.read_table(spark, name)
+    assert stored.count() == 1 and len(stored.inputFiles()) == 1
+    folder = Path(stored.inputFiles()[0].removeprefix("file://")).parents[1]
+    assert [p.name for p in folder.parent.glob("parts--*")] == [folder.name]
+
+
+def test_a_table_can_be_replaced_from_itself(spark, layout):
+    tables.ensure_namespace(spark, layout.namespace("gold"))
+    name = layout.table("gold", "self")
+    tables.replace_table(spark.range(5), name)
+    assert tables.replace_table(tables.read_table(spark, name).filter("id > 1"), name) == 3
+    assert tables.read_table(spark, name).count() == 3
+
+
+def test_layout_passes_format_codec_and_properties(spark, csv, layout):
+    own = replace(layout, codec="zstd", properties={"team": "me"})
+    Refresh(spark, own).write_raw(csv, "b1")
+    name = own.table("bronze", t.SPEC.table)
+    assert all(".zstd." in f for f in tables.read_table(spark, name).inputFiles())
+    assert "me" in [r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()]
+
+
+def test_test_results_are_tables(spark, csv, layout):
+    refresh = Refresh(spark, layout)
+    refresh.run(csv)
+    assert refresh.write_tests() == {"quality.table_tests": 87, "quality.invariants": 20}
+    assert refresh.table("quality", "table_tests").filter("status = 'FAIL'").count() == 1
+
+
+def test_another_zone_is_refused(spark, layout):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            Refresh(spark, layout)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_a_local_session_may_go_without(spark):
-    local = WithoutSharedFolder(spark, "local[2]")
-    assert shared_folder(local) == shared_folder(local)
+def test_report_dimensions_need_value_lists():
+    rules = tuple(r for r in t.SPEC.requirements if r.column != "location_region")
+    with pytest.raises(ValueError, match="location_region"):
+        t.document_dimensions(replace(t.SPEC, requirements=rules))
+    assert list(t.document_dimensions()) == list(t.CLEAN_DIMENSIONS)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from layerwright.plans import transactions as t
 from workload.tx import duckdb_source
 
 
@@ -23,7 +22,11 @@ def n_where(condition: str) -> str:
     return f"count(*) FILTER (WHERE {condition})"
 
 
-REGIONS, CLASSES, TYPES = _list(t.REGIONS), _list(t.RISK_CLASSES), _list(t.TRANSACTION_TYPES)
+# Fixed values, written out here again so that a slip in the plan shows.
+RISK_CLASSES = ("low_risk", "moderate_risk", "high_risk")
+REGIONS = _list(("Africa", "Asia", "Europe", "North America", "South America"))
+TYPES = _list(("purchase", "sale", "transfer", "phishing", "scam"))
+CLASSES = _list(RISK_CLASSES)
 
 SOURCE = f"source AS MATERIALIZED (\n  {duckdb_source()}\n)"
 BRONZE = """bronze AS MATERIALIZED (
@@ -212,23 +215,48 @@ def _tests(*parts: str) -> str:
     return f"SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({results})"
 
 
-def _declared_tests() -> list[str]:
-    """The declared tests are a plain list; this turns each of them into its counting SQL."""
+# The 87 declared tests. After a column: n not null, r region, c class, y type, v class without low
+# risk, s status, 0 and 1 the least value, p from 0 to 100, u unique.
+DECLARED_TESTS = {
+    "silver": """timestamp n, sending_address n, receiving_address n, amount n, transaction_type ny, location_region nr,
+        anomaly nc, risk_score n""",
+    "fraud_by_region": "location_region nr, anomaly nc, transaction_count n0, fraudulent_count n0, avg_risk_score np",
+    "fraud_by_type": "transaction_type ny, anomaly nc, transaction_count n0, avg_risk_score np",
+    "daily_fraud_metrics": """transaction_date n, location_region nr, total_transactions n1, high_risk_count n0,
+        avg_risk_score np""",
+    "high_risk_transactions": "transaction_datetime n, sending_address n, amount n, risk_score np, anomaly nv",
+    "risk_profile": "age_group n, purchase_pattern n, anomaly nc, transaction_count n0, avg_risk_score np",
+    "region_risk_ranking": """location_region nr, transaction_count n1, avg_risk_score np, min_risk_score np,
+        max_risk_score np""",
+    "top_sale_receivers": "receiving_address n, timestamp n, amount n0",
+    "bronze_quality_report": """check_type n, check_name nu, description n, error_count n0, total_records n1, error_pct np,
+        conformance_pct np, status ns""",
+    "bronze_quality_distributions": "dimension n, dim_value n, record_count n1, pct np",
+}
+
+
+def _declared_tests(regions: str = REGIONS, tables=tuple(DECLARED_TESTS)) -> list[str]:
+    """The counting SQL of each declared test."""
+    objections = {
+        "n": ("not_null", "{c} IS NULL"),
+        "r": ("accepted_values", f"{{c}} NOT IN {regions}"),
+        "c": ("accepted_values", f"{{c}} NOT IN {CLASSES}"),
+        "y": ("accepted_values", f"{{c}} NOT IN {TYPES}"),
+        "v": ("accepted_values", "{c} NOT IN ('high_risk', 'moderate_risk')"),
+        "s": ("accepted_values", "{c} NOT IN ('PASS', 'FAIL')"),
+        "0": ("accepted_range", "{c} < 0"),
+        "1": ("accepted_range", "{c} < 1"),
+        "p": ("accepted_range", "{c} < 0 OR {c} > 100"),
+    }
     parts = []
-    for table, tests in t.TABLE_TESTS.items():
-        for test in tests:
-            c = f'"{test.column}"'
-            low = "FALSE" if test.min is None else f"{c} < {test.min}"
-            high = "FALSE" if test.max is None else f"{c} > {test.max}"
-            conditions = {
-                "not_null": f"{c} IS NULL",
-                "accepted_values": f"{c} NOT IN {_list(test.values)}" if test.values else "FALSE",
-                "accepted_range": f"{low} OR {high}",
-            }
-            if test.kind == "unique":
-                parts.append(_unique(table, test.column))
-            else:
-                parts.append(_test(table, test.column, test.kind, conditions[test.kind]))
+    for table in tables:
+        for column, marks in (item.split() for item in DECLARED_TESTS[table].split(",")):
+            for mark in marks:
+                if mark == "u":
+                    parts.append(_unique(table, column))
+                else:
+                    kind, condition = objections[mark]
+                    parts.append(_test(table, column, kind, condition.format(c=f'"{column}"')))
     return parts
 
 
@@ -264,6 +292,31 @@ def _invariants() -> str:
     return f"SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({results})"
 
 
+TEXT_RISK = "TRY_CAST(risk_score AS DOUBLE) < 0 OR TRY_CAST(risk_score AS DOUBLE) > 100"
+TEXT_ROWS = """text_rows AS MATERIALIZED (
+  SELECT CASE WHEN login_frequency IN (6, 7) THEN 'junk ' || CAST(amount AS VARCHAR) ELSE CAST(amount AS VARCHAR) END AS amount,
+    CASE WHEN login_frequency IN (6, 7) THEN 'junk ' || CAST(risk_score AS VARCHAR) ELSE CAST(risk_score AS VARCHAR) END AS risk_score,
+    CASE WHEN login_frequency IN (6, 7) THEN 'junk ' || anomaly ELSE anomaly END AS anomaly,
+    location_region, CAST(login_frequency AS VARCHAR) AS login_frequency
+  FROM bronze
+)"""
+# rows that are valid by two regions of which one never occurs; of all others the first reason is the same
+SECOND_OK = "(ok AND location_region = 'Asia')"
+
+
+def _second_spec_invariants() -> str:
+    names = {
+        "silver": ("amount_not_null", "amount_positive", "risk_score_in_range", "amount_tier_known",
+                   "fraud_flag_only_for_fraud_types", "location_region_known"),
+        "quarantine": ("reason_not_null", "reason_known", "reject_time_not_null"),
+    }
+    parts = [f"SELECT '{table}' AS table_name, '{name}' AS invariant, CAST(0 AS BIGINT) AS violations" for table, own in names.items() for name in own]
+    for table, condition in (("bronze", "TRUE"), ("silver", SECOND_OK), ("quarantine", f"NOT {SECOND_OK}")):
+        parts.append(f"SELECT '{table}', 'not_empty', CAST(CASE WHEN {n_where(condition)} = 0 THEN 1 ELSE 0 END AS BIGINT) FROM marked")
+    parts.append("SELECT 'all', 'whole = silver + quarantine', CAST(0 AS BIGINT)")
+    return f"SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({' UNION ALL '.join(parts)})"
+
+
 def _document() -> str:
     clean = _clean_report("silver")
     parts = [
@@ -294,8 +347,14 @@ def _refresh_counts() -> str:
     )
 
 
-def _avg_of(risk_class: str) -> str:
-    return f"avg(avg_risk_score) FILTER (WHERE anomaly = '{risk_class}')"
+# the matrices have no column of their own for low risk, so that the one for all other values is used
+MATRIX_COLUMNS = {c: f"anomaly = '{c}'" for c in ("moderate_risk", "high_risk")} | {
+    "other": "anomaly IS NULL OR anomaly NOT IN ('moderate_risk', 'high_risk')"
+}
+
+
+def _avg_of(condition: str) -> str:
+    return f"avg(avg_risk_score) FILTER (WHERE {condition})"
 
 
 LISTING = """SELECT transaction_datetime, location_region, transaction_type, amount, risk_score, anomaly, age_group,
@@ -304,6 +363,10 @@ FROM high_risk_transactions
 ORDER BY transaction_datetime DESC, location_region, transaction_type, amount, risk_score, anomaly, age_group,
   purchase_pattern, is_fraudulent"""
 
+# the place on the page; equal rows are alike, so any of their orders will do
+PAGE_NUMBER = """row_number() OVER (ORDER BY transaction_datetime DESC, location_region, transaction_type, amount, risk_score,
+  anomaly, age_group, purchase_pattern, is_fraudulent) AS place"""
+
 PLAIN_BRONZE = """SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp", CAST(amount AS DOUBLE) AS amount) FROM bronze"""
 NAN_AS_MINUS_ONE = "CASE WHEN isnan(risk_score) THEN -1.0 ELSE risk_score END AS risk_score"
 
@@ -341,7 +404,7 @@ FROM events
 WHERE NOT coalesce(ts IS NOT NULL AND event_type IN ('view', 'click', 'purchase') AND value BETWEEN 1 AND 60, FALSE)
 GROUP BY 1""",
     **{name: q(body) for name, body in GOLD.items()},
-    **{f"{name}_from_rollup": q(GOLD[name]) for name in t.SHARED_ROLLUP},
+    **{f"{name}_from_rollup": q(GOLD[name]) for name in ("region_risk_ranking", "fraud_by_region", "fraud_by_type", "risk_profile")},
     "latest_sale_per_receiver": q("""SELECT receiving_address, max(amount) AS amount, CAST("timestamp" AS VARCHAR) AS "timestamp"
 FROM silver s
 WHERE transaction_type = 'sale' AND "timestamp" = (SELECT max("timestamp") FROM silver l
@@ -391,6 +454,33 @@ WHERE location_region NOT IN {REGIONS} GROUP BY 1"""),
 WHERE "timestamp" IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""),
     "offending_range_rows": q(f"SELECT * FROM ({PLAIN_BRONZE}) WHERE login_frequency > 6"),
     "offending_null_rows": q("SELECT count(*) AS row_count FROM bronze WHERE amount IS NULL"),
+    "quality_report_text_columns": q(f"""SELECT check_type, check_name, description, error_count, total_records,
+  {pct('error_count', 'total_records')} AS error_pct,
+  {rnd('((1 - CAST(error_count AS DOUBLE) / nullif(total_records, 0)) * 100)')} AS conformance_pct,
+  CASE WHEN error_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+  {_check('text_rows', 'validity', 'amount_positive', 'amount must be > 0', n_where('TRY_CAST(amount AS DOUBLE) <= 0'))}
+  UNION ALL {_check('text_rows', 'validity', 'location_region_valid', REGION_TEXT, n_where(f'location_region NOT IN {REGIONS}'))}
+  UNION ALL {_check('text_rows', 'validity', 'anomaly_valid', CLASS_TEXT, n_where(f'anomaly NOT IN {CLASSES}'))}
+  UNION ALL {_check('text_rows', 'validity', 'risk_score_range', RISK_TEXT, n_where(TEXT_RISK))})""", TEXT_ROWS),
+    "tests_on_text": q(_tests(
+        _test("text_rows", "risk_score", "accepted_range", TEXT_RISK).replace("'text_rows'", "'bronze'"),
+        _test("text_rows", "amount", "accepted_range", "TRY_CAST(amount AS DOUBLE) < 0").replace("'text_rows'", "'bronze'"),
+        _test("text_rows", "login_frequency", "accepted_range", "TRY_CAST(login_frequency AS DOUBLE) > 6").replace("'text_rows'", "'bronze'"),
+        _test("text_rows", "anomaly", "accepted_values", f"anomaly NOT IN {CLASSES}").replace("'text_rows'", "'bronze'"),
+        _test("text_rows", "login_frequency", "accepted_values", "login_frequency NOT IN ('1', '2', '3')").replace("'text_rows'", "'bronze'"),
+    ), TEXT_ROWS),
+    "percent_ties": """SELECT DISTINCT l_orderkey % 800 AS part,
+  CAST((l_orderkey % 800 * 25 + 1) // 2 AS DOUBLE) / 100 AS pct FROM lineitem""",
+    "whole_numbers_from_text": """SELECT l_linenumber, no,
+  CAST(CASE WHEN no < 5 THEN sign * l_linenumber WHEN no = 5 THEN sign * l_linenumber * 10 END AS INTEGER) AS whole
+FROM (SELECT DISTINCT l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END AS sign FROM lineitem)
+CROSS JOIN (SELECT CAST(unnest(range(7)) AS INTEGER) AS no)""",
+    "table_tests_second_spec": q(
+        _tests(*_declared_tests("('Asia', 'Mars')")), *GOLD_CTES,
+        f"bronze_quality_report AS MATERIALIZED ({RAW_REPORT})",
+        f"bronze_quality_distributions AS MATERIALIZED ({_all_distributions('bronze')})",
+    ),
+    "invariants_second_spec": q(_second_spec_invariants()),
     "table_tests_all": q(
         _tests(*_declared_tests()),
         *GOLD_CTES,
@@ -419,14 +509,14 @@ FROM fraud_by_region GROUP BY 1, 2""",
 FROM risk_profile GROUP BY 1, 2""",
             "count_matrix": "SELECT transaction_type, "
             + ", ".join(
-                f"CAST(sum(transaction_count) FILTER (WHERE anomaly = '{c}') AS BIGINT) AS {c}" for c in t.RISK_CLASSES
+                f"CAST(sum(transaction_count) FILTER (WHERE {of}) AS BIGINT) AS {c}" for c, of in MATRIX_COLUMNS.items()
             )
             + " FROM fraud_by_type GROUP BY 1",
             "risk_matrix": "SELECT location_region, "
-            + ", ".join(f"{rnd(_avg_of(c), 4)} AS {c}" for c in t.RISK_CLASSES)
+            + ", ".join(f"{rnd(_avg_of(of), 4)} AS {c}" for c, of in MATRIX_COLUMNS.items())
             + " FROM fraud_by_region GROUP BY 1",
-            "detail_page": f"{LISTING} LIMIT 25",
-            "detail_second_page": f"{LISTING} LIMIT 25 OFFSET 25",
+            "detail_page": f"SELECT *, {PAGE_NUMBER} FROM ({LISTING} LIMIT 25)",
+            "detail_second_page": f"SELECT *, {PAGE_NUMBER} FROM ({LISTING} LIMIT 25 OFFSET 25)",
         }.items()
     },
     "csv_roundtrip": q(f"""SELECT * REPLACE ({NAN_AS_MINUS_ONE}), 'df_fraud_credit.csv' AS _source_file, 'batch_1' AS _batch_id

@@ -6,13 +6,16 @@ Columns that hold the time of the run are left out; dates and timestamps are sho
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from layerwright.functions.predicates import COMPARISONS, compare
+from layerwright.functions.scalars import percent, soft_cast
 from layerwright.operators import charts, checks, quality, summaries
 from layerwright.operators.columns import apply_column_ops, with_audit
 from layerwright.operators.enrich import enrich
@@ -376,20 +379,87 @@ def offending_null_rows(spark, sf):
     return checks.offending(tx.bronze(spark, sf), test).agg(F.count("*").alias("row_count"))
 
 
+def _declared_tests(spark, sf, spec: TableSpec) -> DataFrame:
+    plan = t.table_tests(spec)
+    frames = {"silver": tx.silver(spark, sf), **tx.outputs(spark, sf)}
+    return checks.run_all_tests({name: frames[name] for name in plan}, plan)
+
+
 @query
 def table_tests_all(spark, sf):
-    """All declared tests over the validated table, the summaries and the raw reports."""
-    clean = tx.silver(spark, sf)
-    rolled = write_once(refresh.shared_rollup(clean), "rollup")
-    frames = {"silver": clean, **refresh.gold_frames(clean, rolled)}
-    frames |= refresh.report_frames(tx.bronze(spark, sf), clean, "now")
-    return checks.run_all_tests(frames, t.TABLE_TESTS)
+    """All declared tests over the written tables: validated rows, summaries and raw reports."""
+    return _declared_tests(spark, sf, t.SPEC)
+
+
+#: Another spec of the same table: two regions, of which one never occurs, and a reason column of its own.
+SECOND_SPEC = replace(
+    t.SPEC,
+    domains={**t.SPEC.domains, "valid_regions": ("Asia", "Mars")},
+    rejects=replace(t.SPEC.rejects, reason_column="why"),
+)
+
+
+@query
+def table_tests_second_spec(spark, sf):
+    """The declared tests by the lists of another spec."""
+    return _declared_tests(spark, sf, SECOND_SPEC)
+
+
+@query
+def invariants_second_spec(spark, sf):
+    """The invariants of a split by another spec."""
+    raw = tx.bronze(spark, sf)
+    valid, rejected = split(raw, SECOND_SPEC)
+    return refresh.invariants(raw, enrich(valid, SECOND_SPEC.derivations), rejected, spec=SECOND_SPEC)
 
 
 @query
 def invariants(spark, sf):
-    clean = tx.silver(spark, sf)
-    return refresh.invariants(tx.bronze(spark, sf), clean, tx.rejected(spark, sf), refresh.gold_frames(clean))
+    gold = {name: frame for name, frame in tx.outputs(spark, sf).items() if "bronze" not in name and name != "silver_report"}
+    return refresh.invariants(tx.bronze(spark, sf), tx.silver(spark, sf), tx.rejected(spark, sf), gold)
+
+
+def _text_rows(spark, sf) -> DataFrame:
+    """The raw rows as text, with cells that are no numbers and no known values."""
+    rows = tx.bronze(spark, sf).select("amount", "risk_score", "location_region", "anomaly", "login_frequency")
+    rows = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+    junk = F.col("login_frequency").isin("6", "7")
+    return rows.withColumns({c: F.when(junk, F.concat(F.lit("junk "), c)).otherwise(F.col(c)) for c in ("amount", "risk_score", "anomaly")})
+
+
+@query
+def quality_report_text_columns(spark, sf):
+    """Rule checks over text: what is no number breaks no rule of numbers, and fails no job."""
+    rules = [c for c in t.raw_checks() if isinstance(c, quality.Check) and c.name in ("amount_positive", "risk_score_range", "location_region_valid", "anomaly_valid")]
+    return quality.raw_report(_text_rows(spark, sf), rules)
+
+
+@query
+def tests_on_text(spark, sf):
+    tests = [
+        *checks.accepted_range(0, 100, "risk_score"),
+        *checks.accepted_range(0, None, "amount"),
+        *checks.accepted_range(None, 6, "login_frequency"),
+        *checks.accepted_values("anomaly", t.RISK_CLASSES),
+        *checks.accepted_values("login_frequency", (1, 2, 3)),
+    ]
+    return checks.run_table_tests(_text_rows(spark, sf), "bronze", tests)
+
+
+@query
+def percent_ties(spark, sf):
+    """Shares of 800, every other one of which lies on a tie of the second digit: 1 of 800 is 0.13, away from zero."""
+    parts = tx.read(spark, sf, "lineitem").select(F.pmod("l_orderkey", F.lit(800)).alias("part")).distinct()
+    return parts.select("part", percent(F.col("part"), F.lit(800)).alias("pct"))
+
+
+@query
+def whole_numbers_from_text(spark, sf):
+    """Text with fractions becomes the whole part, however long the fraction; what is no number becomes NULL."""
+    endings = F.array(*(F.lit(x) for x in ("", ".", ".5", ".99999999999", ".99999999999999999999", "e1", " x")))
+    rows = tx.read(spark, sf, "lineitem").select("l_linenumber", F.posexplode(endings).alias("no", "ending")).distinct()
+    text = F.concat(F.when(F.col("l_linenumber") % 2 == 0, "-").otherwise(""), F.col("l_linenumber"), "ending")
+    return rows.select("l_linenumber", "no", soft_cast(text, StringType(), "int").alias("whole"))
 
 
 # --- Charts -------------------------------------------------------------------------------------------------
@@ -408,35 +478,49 @@ for _name in t.CHARTS:
     QUERIES[f"chart_{_name}"] = partial(_chart, _name)
 
 
+#: Without low risk, which the column for all other values holds.
+MATRIX_CLASSES = ("moderate_risk", "high_risk")
+
+
 @query
 def chart_count_matrix(spark, sf):
     chart = t.CHARTS["count_by_type_and_anomaly"]
-    return charts.chart_matrix(_summary(chart.table, spark, sf), chart, t.RISK_CLASSES)
+    return charts.chart_matrix(_summary(chart.table, spark, sf), chart, MATRIX_CLASSES)
 
 
 @query
 def chart_risk_matrix(spark, sf):
     chart = t.CHARTS["risk_heatmap"]
-    rows = charts.chart_matrix(_summary(chart.table, spark, sf), chart, t.RISK_CLASSES)
-    return _rounded(rows, *t.RISK_CLASSES)
+    rows = charts.chart_matrix(_summary(chart.table, spark, sf), chart, MATRIX_CLASSES)
+    return _rounded(rows, *MATRIX_CLASSES, "other")
+
+
+def _detail(spark, sf, after=None) -> DataFrame:
+    rows = summaries.extract(tx.silver(spark, sf), t.is_high_risk_row(), t.HIGH_RISK_COLUMNS)
+    return charts.listing_page(rows, t.LISTING_COLUMNS, "transaction_datetime", after)
+
+
+def _placed(page: DataFrame) -> DataFrame:
+    """A page with the place of each row on it, so that the order can be compared."""
+    rest = [F.asc_nulls_first(c) for c in t.LISTING_COLUMNS[1:]]
+    place = F.row_number().over(Window.orderBy(F.desc_nulls_last("transaction_datetime"), *rest, "row_number"))
+    return tx.as_text(page.withColumn("place", place.cast("long")).drop("row_number"), "transaction_datetime")
 
 
 @query
 def chart_detail_page(spark, sf):
-    rows = summaries.extract(tx.silver(spark, sf), t.is_high_risk_row(), t.HIGH_RISK_COLUMNS)
-    page = charts.listing_page(rows, t.LISTING_COLUMNS, "transaction_datetime")
-    return tx.as_text(page, "transaction_datetime")
+    return _placed(_detail(spark, sf))
 
 
 @query
 def chart_detail_second_page(spark, sf):
-    rows = summaries.extract(tx.silver(spark, sf), t.is_high_risk_row(), t.HIGH_RISK_COLUMNS)
-    page = charts.listing_page(rows, t.LISTING_COLUMNS, "transaction_datetime", page=1)
-    return tx.as_text(page, "transaction_datetime")
+    """By key: the page behind the last row of the first one."""
+    return _placed(_detail(spark, sf, after=_detail(spark, sf).tail(1)[0]))
 
 
 # --- Files and tables ---------------------------------------------------------------------------------------
 def _csv_file(spark, sf) -> str:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = new_path(spark, "csv")
     tx.source_rows(spark, sf).write.csv(path, header=True)
     return path
@@ -467,14 +551,21 @@ def csv_roundtrip(spark, sf):
 
 @query
 def partitioned_table(spark, sf):
-    """A table partitioned by region and written twice; the second write replaces the first."""
+    """A table partitioned by region and written twice, where the session overwrites single partitions; the second
+    write replaces the first, also a region that only the first one had."""
     layout = _fresh_layout(spark)
     layout.create(spark)
     name = layout.table("silver", t.SPEC.table)
     clean = tx.silver(spark, sf).drop("_processing_time")
-    tables.replace_table(clean.filter("amount_tier = 'micro'"), name, partition_by=["location_region"])
-    rows = tables.replace_table(clean, name, partition_by=["location_region"], sort_by=["transaction_date"])
-    stored = tables.read_table(spark, name).filter(F.col("location_region").isin("Asia", "Europe"))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        mars = clean.filter("amount_tier = 'micro'").withColumn("location_region", F.lit("Mars"))
+        tables.replace_table(clean.unionByName(mars), name, partition_by=["location_region"])
+        rows = tables.replace_table(clean, name, partition_by=["location_region"], sort_by=["transaction_date"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    stored = tables.read_table(spark, name).filter(F.col("location_region").isin("Asia", "Europe", "Mars"))
     return stored.groupBy("location_region").agg(
         F.count("*").alias("row_count"),
         F.round(F.sum("amount"), 2).alias("total_amount"),

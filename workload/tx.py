@@ -1,13 +1,14 @@
 """Transaction rows made from the order tables, one per line item, and the same rows in DuckDB SQL.
 
-lineitem joins orders and customer for the sender with nation and region; every other column is already on one
-of the two big tables, so no further join is needed. Some (line number, discount) pairs carry a planted fault
+lineitem joins orders, customer with nation and region for the sender, supplier for the receiver, and part for the
+session. Some (line number, discount) pairs carry a planted fault
 each, so that every requirement and every reject rule has rows. The value lists are those of the shipped spec.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from layerwright.operators.columns import apply_column_ops
 from layerwright.operators.enrich import enrich
 from layerwright.operators.validate import split
+from layerwright.plans import refresh
 from layerwright.plans.transactions import SPEC
 from layerwright.sources.scratch import write_once
 
@@ -54,17 +56,17 @@ def _planted(column: str, sound: str) -> str:
     return f"CASE {faults}ELSE {sound} END" if faults else sound
 
 
-def _columns(seconds: str, days: str) -> dict[str, str]:
+def _columns(seconds: str) -> dict[str, str]:
     sound = {
         "timestamp": f"CAST({seconds} AS INT)",
-        "sending_address": "CAST(o_custkey AS VARCHAR(20))",
-        "receiving_address": "CAST(l_suppkey AS VARCHAR(20))",
+        "sending_address": "c_name",
+        "receiving_address": "s_name",
         "amount": "l_extendedprice",
         "transaction_type": _case("o_orderpriority", TYPE_OF_PRIORITY),
         "location_region": _case("r_name", REGION_OF),
         "ip_prefix": "n_name",
         "login_frequency": "l_linenumber",
-        "session_duration": f"CAST(abs({days}) AS INT)",
+        "session_duration": "CAST(p_size AS INT)",
         "purchase_pattern": _case("c_mktsegment", PATTERN_OF_SEGMENT, "'random'"),
         "age_group": _case("o_orderstatus", AGE_OF_STATUS),
         "risk_score": "l_quantity * 2",
@@ -89,11 +91,18 @@ def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "customer")
         .join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "c_mktsegment", "n_name", "r_name")
+        .select("c_custkey", "c_name", "c_mktsegment", "n_name", "r_name")
     )
+    receivers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_size")
     orders = read(spark, sf_dir, "orders").join(senders, F.col("o_custkey") == F.col("c_custkey"))
-    joined = read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    columns = _columns("unix_seconds(CAST(l_shipdate AS TIMESTAMP))", "datediff(l_shipdate, o_orderdate)")
+    joined = (
+        read(spark, sf_dir, "lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(receivers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    )
+    columns = _columns("unix_seconds(CAST(l_shipdate AS TIMESTAMP))")
     return joined.select(*(F.expr(e).cast(_kind(n)).alias(n) for n, e in columns.items()))
 
 
@@ -130,13 +139,23 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "rejected", lambda: split(bronze(spark, sf_dir), SPEC).rejected)
 
 
+def outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The written summaries and reports. Those that are not there yet are written side by side."""
+    clean, raw = silver(spark, sf_dir), bronze(spark, sf_dir)
+    frames = refresh.gold_frames(clean, _layer(spark, sf_dir, "rollup", lambda: refresh.shared_rollup(clean)))
+    frames |= refresh.report_frames(raw, clean, "now")
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        written = pool.map(lambda name: _layer(spark, sf_dir, name, lambda: frames[name]), frames)
+        return dict(zip(frames, written, strict=True))
+
+
 def as_text(df: DataFrame, *columns: str) -> DataFrame:
     """Dates and timestamps as text, so that both engines print them alike."""
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 def duckdb_source() -> str:
-    columns = _columns("epoch(l_shipdate)", "datediff('day', o_orderdate, l_shipdate)")
+    columns = _columns("epoch(l_shipdate)")
     selected = ",\n    ".join(f'{expression} AS "{name}"' for name, expression in columns.items())
     return f"""SELECT
     {selected}
@@ -144,4 +163,6 @@ def duckdb_source() -> str:
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey"""
+  JOIN region ON n_regionkey = r_regionkey
+  JOIN supplier ON l_suppkey = s_suppkey
+  JOIN part ON l_partkey = p_partkey"""
