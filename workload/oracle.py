@@ -525,6 +525,11 @@ FROM ({PLAIN_BRONZE})"""),
   (SELECT count(*) FROM silver) AS written_rows FROM silver WHERE location_region IN ('Asia', 'Europe') GROUP BY 1"""),
     "sql_model_table": q("""SELECT purchase_pattern, count(*) AS row_count, count(location_region) AS with_region
 FROM bronze GROUP BY 1"""),
+    "codec_table": q("SELECT count(*) AS row_count, count(*) AS zstd_rows FROM bronze"),
+    "bronze_quality_report_order": q(f"""SELECT check_type, check_name,
+  CAST(row_number() OVER (ORDER BY check_type, check_name) AS INTEGER) AS place FROM ({RAW_REPORT})"""),
+    "region_risk_ranking_order": q(f"""SELECT location_region,
+  CAST(row_number() OVER (ORDER BY avg_risk_score DESC, location_region) AS INTEGER) AS place FROM ({GOLD['region_risk_ranking']})"""),
     "optional_table": q("""SELECT 'tb_fraud_credit' AS table_name, count(*) AS row_count FROM rejected
 UNION ALL SELECT 'tb_missing', 0"""),
     "full_refresh_counts": q(_refresh_counts(), *GOLD_CTES),

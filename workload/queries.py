@@ -233,6 +233,21 @@ def bronze_quality_report(spark, sf):
     return quality.raw_report(tx.bronze(spark, sf), t.raw_checks())
 
 
+def _in_order(df: DataFrame) -> DataFrame:
+    """The few rows of a sorted report with their places."""
+    return df.coalesce(1).withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
+@query
+def bronze_quality_report_order(spark, sf):
+    return _in_order(quality.raw_report(tx.bronze(spark, sf), t.raw_checks())).select("check_type", "check_name", "place")
+
+
+@query
+def region_risk_ranking_order(spark, sf):
+    return _in_order(_summary("region_risk_ranking", spark, sf)).select("location_region", "place")
+
+
 @query
 def silver_quality_report(spark, sf):
     return quality.clean_report(tx.silver(spark, sf), t.clean_checks(), "2024-01-01T00:00:00+00:00")
@@ -589,6 +604,17 @@ def sql_model_table(spark, sf):
     return tables.read_table(spark, name)
 
 
+@query
+def codec_table(spark, sf):
+    """A table written with another codec; the file names tell it."""
+    layout = replace(_fresh_layout(spark), codec="zstd")
+    layout.create(spark)
+    name = layout.table("quality", "patterns")
+    tables.replace_table(tx.bronze(spark, sf).select("purchase_pattern"), name, codec=layout.codec)
+    stored = tables.read_table(spark, name).select(F.input_file_name().contains(".zstd.").alias("is_zstd"))
+    return stored.agg(F.count("*").alias("row_count"), F.count_if("is_zstd").alias("zstd_rows"))
+
+
 @query
 def optional_table(spark, sf):
     """Row counts of a table that is there and of one that is not."""
