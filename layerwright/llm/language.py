@@ -31,6 +31,7 @@ from layerwright.llm.words import code_points, text_bytes
 ORDER = 4
 LEAST_SHARE = 1e-6
 MOST = 20_000_000
+SLICE = 2 << 20  # bytes of text that are worked on at once
 SHARPNESS = 8.0
 UNKNOWN = "und"
 GRAMS = "lang string, key long, n long"
@@ -91,7 +92,7 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches({"lang": [lang] * len(keys), "key": keys.view(np.int64), "n": n}, schema)
 
     for batch in rows:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", SLICE):
             langs = part.column("lang").to_pylist()
             names = sorted(set(langs))
             number = np.array([names.index(x) for x in langs])
@@ -194,7 +195,7 @@ def _score(texts: pa.StringArray, models: dict[str, KneserNey]) -> tuple[list, l
 def _predict(rows: Iterator[pa.RecordBatch], models) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(SCORED)
     for batch in rows:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", SLICE):
             lang, score, bits, count = _score(strings(part.column("text")), models.value)
             doc_id = part.column("doc_id").to_pylist()
             yield from batches({"doc_id": doc_id, "lang_pred": lang, "score": score, "bits": bits, "n_letters": count}, schema)

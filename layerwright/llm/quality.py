@@ -27,6 +27,7 @@ from layerwright.llm.spark import arrow_schema, batches, map_batches, pieces_of,
 from layerwright.llm.words import find_words, inside, per_text, window_keys
 
 SYMBOLS = b"#*$%&|<>"
+SLICE = 2 << 20  # bytes of text that are worked on at once
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "stop", "mark", "beyond_ascii", "control")
 _PLAIN = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 JUDGED = (
@@ -123,7 +124,7 @@ def _gather(rows: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Recor
         found.clear()
 
     for batch in rows:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", SLICE):
             got = _measure(strings(part.column("text")), limits)
             words, langs = got["words"], part.column("lang").to_pylist()
             fit = ~got["base_failed"]
@@ -228,7 +229,7 @@ def _log_factorial(k: int) -> float:
 def _judge(rows: Iterator[pa.RecordBatch], model: Model, limits: Limits) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(JUDGED)
     for batch in rows:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", SLICE):
             got = _measure(strings(part.column("text")), limits)
             words, n = got["words"], part.num_rows
             columns = {k: got[k].tolist() for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
@@ -283,6 +284,6 @@ def passed(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def _keep(rows: Iterator[pa.RecordBatch], model: Model, limits: Limits) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", SLICE):
             verdicts = [x for out in _judge(iter([part]), model, limits) for x in out.column("kept").to_pylist()]
             yield part.filter(pa.array(verdicts, pa.bool_()))
