@@ -34,7 +34,7 @@ SAMPLE = 8000
 FOLDS = 5
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
-LEAST_Z = 3.0
+LEAST_Z = 4.0
 _CLOSING = np.zeros(256, bool)
 _CLOSING[list(b".,;:!?\"')]}")] = True
 
@@ -104,7 +104,7 @@ class Rows:
         return np.bincount(self.owner, dense[self.buckets], self.n)
 
 
-def fit(rows: Rows, label: np.ndarray, use: np.ndarray, earlier: np.ndarray, steps: int = 200, ridge: float = 1.0) -> Linear:
+def fit(rows: Rows, label: np.ndarray, use: np.ndarray, earlier: np.ndarray, steps: int = 100, ridge: float = 1.0) -> Linear:
     """A model of the rows in ``use``, by accelerated gradient steps."""
     positive = use & (label > 0)
     n, m = use.sum(), positive.sum()

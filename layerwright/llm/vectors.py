@@ -209,7 +209,8 @@ def linked(embeddings: DataFrame, limit: float = 0.98) -> DataFrame:
     edges = found.filter("other is not null").select(F.col("rep").alias("src"), F.col("other").alias("dst"))
     groups = components(edges)
     rooted = reps.join(groups, reps.rep == groups.node, "left").withColumn("root", F.coalesce("component", "rep"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # a table of its own, so that adaptive execution may split the join of a hot component
+    named = stage_table(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "vector-components")
     by_rep = rooted.join(counts, "rep", "left").join(named, "root").select(
         "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
