@@ -41,7 +41,7 @@ class WordIds(dict):
     Normaliser, splitter and model are those of the ``tokenizers`` library; the dictionaries only remember. They are
     emptied when full, so a worker's memory is bounded."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -51,6 +51,8 @@ class WordIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
             ids = self._part(chunk.lower())
+        elif chunk.isascii() and chunk.endswith((",", ".")) and chunk[:-1].isalpha():
+            ids = self._part(chunk[:-1].lower()) + self._part(chunk[-1])
         else:
             ids = b"".join([self._part(part) for part, _ in self.split(self.normalize(chunk))])
         if len(self) >= self.most:
@@ -61,7 +63,7 @@ class WordIds(dict):
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            ids = np.array([token.id for token in self.tokenize(part)], "<u4").tobytes()
+            ids = b"".join([token.id.to_bytes(4, "little") for token in self.tokenize(part)])
             if len(self.parts) >= self.most:
                 self.parts.clear()
             self.parts[part] = ids
