@@ -219,7 +219,8 @@ def linked(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
     rooted = first.join(groups, first.code == groups.node, "left").select(
         "code", "first", F.coalesce("component", "code").alias("root")
     )
-    roots = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # a table of its own, so that adaptive execution may split the join of a hot component
+    roots = stage_table(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     named = rooted.join(roots, "root").select("code", "component_id")
     return made.join(named, "code").select("doc_id", "code", "component_id")
 
