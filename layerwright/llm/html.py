@@ -1,11 +1,11 @@
 """Main text of web pages by wrapper induction.
 
 A page becomes a tree of block elements. Its skeleton is the tree of their distinct places, where neighbours with one
-label (tag and classes) share a place. The pages of a host are aligned with the host's template by simple tree matching, the
-dynamic programme over ordered children that maximises the number of matched nodes, and merged into it; the template counts
-how many pages have a node and which texts they show there. A node whose text is the same on most pages is template, one
-whose text varies is content. Templates grow inside tasks first, so a host with a third of all pages arrives as one
-template per task.
+label (tag and classes) share a place. The skeletons of a host are aligned with the host's template by simple tree matching,
+the dynamic programme over ordered children that maximises the number of matched nodes, and merged into it. Templates grow
+inside tasks first, so a host with a third of all pages arrives as one template per task. Then every page is aligned with
+the finished template, and Spark counts, exactly, on how many pages each node occurs and each of its texts. A text on most pages
+of a node is template, one that varies is content.
 
 The extraction aligns each page with its host's template and leaves out constant texts, and besides, whatever the
 host, elements that are no article by their tag, role or class: menus, headers, footers, sidebars, notices, adverts, forms,
@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -35,8 +36,7 @@ from layerwright.llm.spark import arrow_schema, batches, map_batches, pieces_of,
 
 MIN_PAGES = 8
 CONSTANT_SHARE = 0.7
-MAX_NODES = 2000  # of a template; nodes beyond are content
-MAX_TEXTS = 16  # remembered per node: a text on more than 1 / (MAX_TEXTS + 1) of its pages cannot be lost
+MAX_NODES = 2000  # of a template; nodes beyond are told by the labels on the way to them, and counted the same
 BROADCAST_BYTES = 32 << 20  # of all templates together
 
 _TAG = re.compile(
@@ -253,38 +253,32 @@ def alignment(left: list, right: list, memo: dict) -> list[tuple[int, int]]:
     return pairs[::-1]
 
 
+def size_of(node: list) -> int:
+    return 1 + sum(size_of(child) for child in node[1])
+
+
 class Template:
-    """A host's merged tree. A node is ``[label, children, pages, texts]``, texts by digest with Misra-Gries counts."""
+    """A host's merged tree of places ``[label, children]``."""
 
     def __init__(self, root: list | None = None):
-        self.root = root or ["", [], 0, {}]
-        self.size = self._count(self.root)
-
-    def _count(self, node: list) -> int:
-        return 1 + sum(self._count(child) for child in node[1])
+        self.root = root or ["", []]
+        self.size = size_of(self.root)
 
     def merge(self, tree: list) -> None:
         """Add a tree of the same kind of nodes."""
         if not self.root[0]:
-            self.root, self.size = tree, self._count(tree)
+            self.root, self.size = tree, size_of(tree)
         elif self.root[0] == tree[0]:
             self._merge(self.root, tree, {})
 
     def _merge(self, mine: list, other: list, memo: dict) -> None:
-        mine[2] += other[2]
-        texts = mine[3]
-        for digest, n in other[3].items():
-            texts[digest] = texts.get(digest, 0) + n
-        if len(texts) > MAX_TEXTS:  # the usual reduction: take the next largest count off all
-            off = sorted(texts.values(), reverse=True)[MAX_TEXTS]
-            mine[3] = {d: n - off for d, n in texts.items() if n > off}
         matched = dict(alignment(other[1], mine[1], memo))
         insert = []
         for i, child in enumerate(other[1]):
             if i in matched:
                 self._merge(mine[1][matched[i]], child, memo)
             else:
-                size = self._count(child)
+                size = size_of(child)
                 if self.size + size <= MAX_NODES:
                     self.size += size
                     insert.append((max([matched[k] + 1 for k in matched if k < i], default=0), child))
@@ -292,28 +286,19 @@ class Template:
             mine[1].insert(place, child)
 
 
-def counted(root: Node) -> list:
-    """The skeleton of a page with one page's texts, as a template node."""
-    tree = skeleton(root)
-    nodes: list[list] = []
-
-    def number(place):
-        node = [place[0], [], 1, {}]
-        nodes.append(node)
-        node[1] = [number(child) for child in place[1]]
-        return node
-
-    out = number(tree)
+def texts_of(root: Node, places: int) -> list[list[str]]:
+    """The digests of the distinct texts of each place; the skeleton has numbered the nodes."""
+    out: list[set[str]] = [set() for _ in range(places)]
 
     def fill(node):
         for child in node.children:
             if isinstance(child, Node):
                 fill(child)
             else:
-                nodes[node.place][3][digest(child)] = 1
+                out[node.place].add(digest(child))
 
     fill(root)
-    return out
+    return [sorted(x) for x in out]
 
 
 def digest(text: str) -> str:
@@ -321,24 +306,27 @@ def digest(text: str) -> str:
     return f"{zlib.crc32(raw):08x}{zlib.adler32(raw):08x}"
 
 
-def constants(template: list, page: list) -> dict[int, set[str]]:
-    """Per place of a page's skeleton, the constant texts of the template node that it is aligned with."""
-    out: dict[int, set[str]] = {}
-    number = [0]
+def node_keys(template: list, page: list) -> list[str]:
+    """Per place of a page's skeleton, its node: the number of the template node that it is aligned with, or else, without
+    one, a digest of its parent's node and its label."""
+    out: list[str] = []
+    numbers: dict[int, int] = {}
     memo: dict = {}
 
-    def walk(place, node):
-        own = number[0]
-        number[0] += 1
-        if node is not None and node[2] >= MIN_PAGES:
-            same = {d for d, n in node[3].items() if n >= CONSTANT_SHARE * node[2]}
-            if same:
-                out[own] = same
+    def enumerate_(node):
+        numbers[id(node)] = len(numbers)
+        for child in node[1]:
+            enumerate_(child)
+
+    def walk(place, node, parent):
+        own = str(numbers[id(node)]) if node is not None else blake2b(f"{parent}>{place[0]}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() + "+"
+        out.append(own)
         matched = dict(alignment(place[1], node[1], memo)) if node is not None else {}
         for i, child in enumerate(place[1]):
-            walk(child, node[1][matched[i]] if i in matched else None)
+            walk(child, node[1][matched[i]] if i in matched else None, own)
 
-    walk(page, template if template[0] == page[0] else None)
+    enumerate_(template)
+    walk(page, template if template[0] == page[0] else None, "")
     return out
 
 
@@ -385,22 +373,24 @@ def host(column: str = "url"):
     return F.coalesce(F.lower(F.expr(f"try_parse_url({column}, 'HOST')")), F.lit(""))
 
 
-SEEN = "host string, main long, tree string"
+SEEN = "host string, main long, places string, texts string"
 TREES = "host string, tree string"
+COUNTS = "host string, node string, digest string, n long"
 
 
 def _see(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(SEEN)
     for batch in rows:
         for part in pieces_of(batch, "html"):
-            out = {"host": [], "main": [], "tree": []}
+            out = {name: [] for name in schema.names}
             for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
                 if page:
                     root = parse(page)
-                    tree = counted(root)
+                    tree = skeleton(root)
                     out["host"].append(name)
                     out["main"].append(int(digest("\n".join(main_blocks(root, {}))), 16) - (1 << 63))
-                    out["tree"].append(json.dumps(tree, separators=(",", ":")))
+                    out["places"].append(json.dumps(tree))
+                    out["texts"].append(json.dumps(texts_of(root, size_of(tree)), separators=(",", ":")))
             yield from batches(out, schema)
 
 
@@ -415,20 +405,57 @@ def _grow(rows: Iterator[pa.RecordBatch], hosts: int = 2000) -> Iterator[pa.Reco
         held.clear()
 
     for batch in rows:
-        for name, tree in zip(batch.column("host").to_pylist(), batch.column("tree").to_pylist(), strict=True):
+        for name, tree in zip(batch.column("host").to_pylist(), batch.column("places").to_pylist(), strict=True):
             held.setdefault(name, Template()).merge(json.loads(tree))
         if len(held) > hosts:
             yield from flush()
     yield from flush()
 
 
+def _count(rows: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """On how many pages a node occurs (digest null), and each of its texts."""
+    schema = arrow_schema(COUNTS)
+    held: Counter = Counter()
+    keys_of = aligner()
+
+    def flush():
+        host_, node, text = zip(*held, strict=True) if held else ((), (), ())
+        yield from batches({"host": host_, "node": node, "digest": text, "n": list(held.values())}, schema)
+        held.clear()
+
+    for batch in rows:
+        columns = (batch.column(c).to_pylist() for c in ("host", "places", "texts", "tree"))
+        for name, places, texts, tree in zip(*columns, strict=True):
+            nodes = keys_of(tree, places)
+            held.update({(name, node, None) for node in nodes})
+            held.update({(name, node, text) for node, own in zip(nodes, json.loads(texts), strict=True) for text in own})
+            if len(held) > most:
+                yield from flush()
+    yield from flush()
+
+
+def aligner():
+    """``node_keys`` of a template and a skeleton as JSON, remembered."""
+    load = lru_cache(256)(json.loads)
+    return lru_cache(5000)(lambda tree, places: node_keys(load(tree), json.loads(places)))
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, tree``: the template of each host. Pages of a host with the same main text count once."""
+    """``host, tree, same``: the template of each host and, by its nodes, the texts that are constant there. Pages of a host
+    with the same main text count once."""
     ship(pages.sparkSession)
     seen = map_batches(pages.select(host().alias("host"), "html"), _see, SEEN)
-    once = seen.groupBy("host", "main").agg(F.min("tree").alias("tree"))
-    grown = map_batches(once.select("host", "tree"), _grow, TREES)
-    return grown.groupBy("host").applyInPandas(_merge_all, TREES)
+    page = F.min(F.struct("places", "texts")).alias("page")
+    once = stage_table(seen.groupBy("host", "main").agg(page).select("host", "main", "page.*"), "skeletons")
+    grown = map_batches(once.select("host", "places").distinct(), _grow, TREES)
+    trees = stage_table(grown.groupBy("host").applyInPandas(_merge_all, TREES), "trees")
+    counted = map_batches(with_templates(once, trees, "main").select("host", "places", "texts", "tree"), _count, COUNTS)
+    counts = stage_table(counted.groupBy("host", "node", "digest").agg(F.sum("n").alias("n")), "text-counts")
+    usual = counts.filter(f"digest is null and n >= {MIN_PAGES}").select("host", "node", F.col("n").alias("pages"))
+    often = counts.filter(f"digest is not null and n >= {CONSTANT_SHARE * MIN_PAGES}").join(usual, ["host", "node"])
+    constant = often.filter(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
+    same = F.to_json(F.sort_array(F.collect_list(F.struct("node", "digest")))).alias("same")
+    return trees.join(constant.groupBy("host").agg(same), "host", "left")
 
 
 def _merge_all(frame: pd.DataFrame) -> pd.DataFrame:
@@ -443,20 +470,29 @@ EXTRACTED = "page_id long, url string, text string, n_chars long"
 
 def _extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(EXTRACTED)
-    load = lru_cache(256)(json.loads)
-    aligned: dict[tuple[str, str], dict] = {}
+    @lru_cache(256)
+    def load(same):
+        out: dict[str, set[str]] = {}
+        for row in json.loads(same):
+            out.setdefault(row["node"], set()).add(row["digest"])
+        return out
+
+    keys_of = aligner()
+    aligned: dict[tuple[str, str, str], dict[int, set[str]]] = {}
     for batch in rows:
         for part in pieces_of(batch, "html"):
             texts = []
-            for page, tree in zip(part.column("html").to_pylist(), part.column("tree").to_pylist(), strict=True):
+            columns = (part.column(c).to_pylist() for c in ("html", "tree", "same"))
+            for page, tree, same in zip(*columns, strict=True):
                 root = parse(page or "")
-                places = skeleton(root)
-                key = (tree or "", json.dumps(places))
-                if key not in aligned:
+                places = json.dumps(skeleton(root))
+                key = (tree, same, places)
+                if same and key not in aligned:
                     if len(aligned) > 5000:
                         aligned.clear()
-                    aligned[key] = constants(load(tree), places) if tree else {}
-                texts.append("\n".join(main_blocks(root, aligned[key])))
+                    own = load(same)
+                    aligned[key] = {i: own[node] for i, node in enumerate(keys_of(tree, places)) if node in own}
+                texts.append("\n".join(main_blocks(root, aligned[key] if same else {})))
             columns = {"page_id": part.column("page_id").to_pylist(), "url": part.column("url").to_pylist()}
             yield from batches({**columns, "text": texts, "n_chars": [len(t) for t in texts]}, schema)
 
@@ -464,13 +500,19 @@ def _extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SALTS = 16
 
 
+def with_templates(rows: DataFrame, learnt: DataFrame, salt: str) -> DataFrame:
+    """The rows with their host's columns of ``learnt``, a written table."""
+    sizes = "+".join(f"coalesce(length({c}), 0)" for c in learnt.columns if c != "host")
+    if total_of(learnt, f"sum({sizes})") <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(learnt), "host", "left")
+    # more templates than may be broadcast: both sides are dealt by host, pages of one host over SALTS tasks
+    salted = learnt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(salt), SALTS).cast("int")).join(salted, ["host", "salt"], "left")
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of each page."""
     learnt = stage_table(templates(pages), "templates")
     rows = pages.select("page_id", "url", "html", host().alias("host"))
-    if total_of(learnt, "sum(length(tree))") <= BROADCAST_BYTES:
-        joined = rows.join(F.broadcast(learnt), "host", "left")
-    else:  # more templates than may be broadcast: both sides are dealt by host, pages of one host over SALTS tasks
-        salted = learnt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), SALTS).cast("int")).join(salted, ["host", "salt"], "left")
-    return map_batches(joined.select("page_id", "url", "html", "tree"), _extract, EXTRACTED)
+    joined = with_templates(rows, learnt, "page_id")
+    return map_batches(joined.select("page_id", "url", "html", "tree", "same"), _extract, EXTRACTED)

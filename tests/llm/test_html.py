@@ -89,6 +89,27 @@ def test_constant_texts_of_a_host_are_template(spark):
     assert all(r.n_chars == len(r.text) for r in out.values())
 
 
+def texts_by_page(spark, rows):
+    frame = spark.createDataFrame([(i, "http://a.example/x", p) for i, p in enumerate(rows)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html.extracted(frame).collect()}
+
+
+def test_constant_texts_beside_many_others(spark):
+    items = "".join(f"<li>entry {k}</li>" for k in range(30))  # a long constant list
+    varying = lambda i: "".join(f"<p>story {i} part {k}</p>" for k in range(20))
+    out = texts_by_page(spark, [f"<ul>{items}</ul><div><p>Read our terms</p>{varying(i)}</div>" for i in range(40)])
+    assert out == {i: "\n".join(f"story {i} part {k}" for k in range(20)) for i in range(40)}
+
+
+def test_constant_texts_of_nodes_beyond_the_template(spark, monkeypatch):
+    rows = [f"<div><p>Read our terms</p><p>story {i}</p></div>" for i in range(12)]
+    # pages whose places have other names each, so that the template is full; body classes that vary
+    rows = [f"<body class={'ab'[i % 2]}>" + "".join(f"<div class=c{'xyz'[k % 3]}{'q' * k}>{r}</div>" for k in range(30)) for i, r in enumerate(rows * 2)]
+    monkeypatch.setattr(html, "MAX_NODES", 10)
+    out = texts_by_page(spark, [r.replace("story", f"story {i} of") for i, r in enumerate(rows)])
+    assert not any("terms" in t for t in out.values()) and all(t.count("story") == 30 for t in out.values())
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, f"http://a.example/{i}", f"<nav>{i}</nav><article><p>same story</p></article>") for i in range(30)]
     out = html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
