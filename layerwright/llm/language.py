@@ -9,7 +9,8 @@ language at most and ``MOST`` in all, whatever the corpus; that bounds what is b
 
 The prediction is the language with the lowest cross-entropy per character, ties to the smaller name. The score is the
 posterior of that language for a typical character times ``SHARPNESS``. A text is rejected if its cross-entropy is further
-above the usual one of its predicted language than the documents learnt from justify; the limit comes from them.
+above the usual one of its predicted language than the documents learnt from justify; the limit comes from those of them
+that are predicted to be in their own language, so texts without a language, however many, do not move it.
 
 Defined results. Text that is null or has no letter: ``und``, score 0, not accepted. Without a document to learn from
 all is ``und``. A null doc_id or lang is not learnt from; a null doc_id is not held out. Repeated rows count each.
@@ -168,7 +169,7 @@ def read_models(counts: DataFrame) -> dict[str, KneserNey]:
     return {lang: KneserNey(keys[codes == i], n[codes == i]) for lang, i in sorted(by_name.items())}
 
 
-SCORED = "doc_id long, lang_pred string, score double, bits double, n_letters long"
+SCORED = "doc_id long, lang string, lang_pred string, score double, bits double, n_letters long"
 
 
 def _score(texts: pa.StringArray, models: dict[str, KneserNey]) -> tuple[list, list, list, np.ndarray]:
@@ -197,14 +198,8 @@ def _predict(rows: Iterator[pa.RecordBatch], models) -> Iterator[pa.RecordBatch]
     for batch in rows:
         for part in pieces_of(batch, "text", SLICE):
             lang, score, bits, count = _score(strings(part.column("text")), models.value)
-            doc_id = part.column("doc_id").to_pylist()
-            yield from batches({"doc_id": doc_id, "lang_pred": lang, "score": score, "bits": bits, "n_letters": count}, schema)
-
-
-def scored(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
-    """``doc_id, lang_pred, score, bits, n_letters`` of each document, from its text alone."""
-    models = docs.sparkSession.sparkContext.broadcast(read_models(gram_counts(learn_from)))
-    return map_batches(docs.select("doc_id", "text"), partial(_predict, models=models), SCORED)
+            own = {c: part.column(c).to_pylist() for c in ("doc_id", "lang")}
+            yield from batches({**own, "lang_pred": lang, "score": score, "bits": bits, "n_letters": count}, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -212,22 +207,37 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def learnt(docs: DataFrame) -> DataFrame:
+    return docs.filter(~held_out()).filter("doc_id is not null")
+
+
+def scored(docs: DataFrame, models) -> DataFrame:
+    """``doc_id, lang, lang_pred, score, bits, n_letters`` of each document, predicted from its text alone."""
+    return map_batches(docs.select("doc_id", "lang", "text"), partial(_predict, models=models), SCORED)
+
+
+def limits(found: DataFrame, deviations: float = 12.0, least_margin: float = 2.0) -> DataFrame:
+    """``lang_pred, limit``, from the scored documents that were learnt from and are predicted to be in their own language:
+    the median of their bits plus ``deviations`` standard deviations, ``least_margin`` at least. The deviation is that
+    of a normal distribution with their median absolute deviation, so odd documents do not move it."""
+    own = learnt(found).filter("lang = lang_pred")
+    middle = lambda value: F.percentile_approx(value, 0.5, 10_000)
+    usual = own.groupBy("lang_pred").agg(middle("bits").alias("middle"))
+    # one row per learnt language
+    far = own.join(F.broadcast(usual), "lang_pred").groupBy("lang_pred", "middle")
+    spread = 1.4826 * middle(F.abs(F.col("bits") - F.col("middle")))
+    return far.agg(spread.alias("spread")).select(
+        "lang_pred", (F.col("middle") + F.greatest(deviations * F.col("spread"), F.lit(least_margin))).alias("limit")
+    )
+
+
 def identified(docs: DataFrame, deviations: float = 12.0, least_margin: float = 2.0, chance: float = 16.0) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, bits, n_letters, accepted``, learning from the documents that are not
-    held out. Accepted: the bits are at most the mean of the learnt documents with this prediction plus ``deviations``
-    standard deviations, ``least_margin`` at least, plus ``chance`` over the root of the number of letters, as the mean
-    of a short text varies more."""
-    learnt = docs.filter(~held_out()).filter("doc_id is not null")
-    found = stage_table(scored(docs, learnt), "languages").withColumn("held_out", held_out())
-    usual = (
-        found.filter("not held_out and lang_pred <> 'und'")
-        .groupBy("lang_pred")
-        .agg(F.avg("bits").alias("mean"), F.coalesce(F.stddev("bits"), F.lit(0.0)).alias("spread"))
-        .withColumn("limit", F.col("mean") + F.greatest(deviations * F.col("spread"), F.lit(least_margin)))
-        .select("lang_pred", "limit")
-    )
-    # one row per learnt language
-    joined = found.join(F.broadcast(usual), "lang_pred", "left")
+    held out. Accepted: the bits are at most the limit of the predicted language plus ``chance`` over the root of the
+    number of letters, as the mean of a short text varies more."""
+    models = docs.sparkSession.sparkContext.broadcast(read_models(gram_counts(learnt(docs))))
+    found = stage_table(scored(docs, models), "languages").withColumn("held_out", held_out())
+    joined = found.join(F.broadcast(limits(found, deviations, least_margin)), "lang_pred", "left")
     return joined.select(
         "doc_id", "held_out", "lang_pred", "score", "bits", "n_letters",
         F.coalesce(F.col("bits") <= F.col("limit") + chance / F.sqrt("n_letters"), F.lit(False)).alias("accepted"),

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from layerwright.llm import language
 
@@ -93,6 +94,14 @@ def test_prediction_uses_the_text_alone_and_not_the_held_out(spark, docs):
     assert all(again[i] == out[i].score for i, _, _ in rows)
 
 
+@pytest.mark.parametrize("share", [0.01, 0.1, 0.33])
+def test_any_share_of_foreign_documents_is_rejected(docs, share):
+    rows = corpus()
+    foreign = [(1000 + i, f"жщю яцф {'ъыэ' * (i % 7 + 1)} " * 40, None) for i in range(round(300 * share / (1 - share)))]
+    out = {r.doc_id: r.accepted for r in language.identified(docs(*rows, *foreign)).collect()}
+    assert all(out[i] for i, _, _ in rows) and not any(out[i] for i, _, _ in foreign)
+
+
 def test_held_out_accuracy(sample):
     truth = {r.doc_id: r.lang for r in sample.collect()}
     out = [r for r in language.identified(sample).collect() if r.held_out]
