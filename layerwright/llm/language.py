@@ -4,8 +4,8 @@ Text is lower-cased, every run of other characters than letters becomes one spac
 every letter has a full context. The job counts, over all documents to learn from, the 4-grams of each language; the
 lower orders follow from these, as Kneser-Ney counts in how many contexts an n-gram occurs. A model keeps its
 n-grams as sorted arrays of 64-bit keys with their discounted shares and, per context, the weight of the next
-lower order. N-grams below a share of their language's text are left out, so there are ``1 / LEAST_SHARE`` per
-language at most and ``MOST`` in all, whatever the corpus; that bounds what is broadcast.
+lower order. No n-gram is left out, so the counts of counts and the discounts are those of the whole text at every size.
+The models are built on the driver and broadcast, so the distinct 4-grams of all languages have to fit there.
 
 The prediction is the language with the lowest cross-entropy per character, ties to the smaller name. The score is the
 posterior of that language for a typical character times ``SHARPNESS``. A text is rejected if its cross-entropy is further
@@ -30,8 +30,6 @@ from layerwright.llm.spark import arrow_schema, batches, map_batches, pieces_of,
 from layerwright.llm.words import code_points, text_bytes
 
 ORDER = 4
-LEAST_SHARE = 1e-6
-MOST = 20_000_000
 SLICE = 2 << 20  # bytes of text that are worked on at once
 SHARPNESS = 8.0
 UNKNOWN = "und"
@@ -115,12 +113,9 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, key, n``: the 4-grams of all documents with a language, without those too rare to keep."""
+    """``lang, key, n``: the 4-grams of all documents with a language."""
     known = docs.filter("lang is not null and text is not null").select("lang", "text")
-    counts = stage_table(map_batches(known, _count, GRAMS).groupBy("lang", "key").agg(F.sum("n").alias("n")), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    least = F.greatest(F.lit(LEAST_SHARE), F.lit(max(1, totals.count()) / MOST))
-    return counts.join(totals, "lang").filter(F.col("n") >= least * F.col("total")).select("lang", "key", "n")
+    return stage_table(map_batches(known, _count, GRAMS).groupBy("lang", "key").agg(F.sum("n").alias("n")), "grams")
 
 
 class KneserNey:
@@ -157,7 +152,7 @@ class KneserNey:
 
 
 def read_models(counts: DataFrame) -> dict[str, KneserNey]:
-    """The models, from at most ``MOST`` rows; see ``gram_counts``."""
+    """The models, from all counts."""
     table = counts.toArrow() if counts.take(1) else None
     if table is None:
         return {}

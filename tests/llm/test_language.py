@@ -67,6 +67,12 @@ def test_counts_cover_all_documents(spark, docs):
     assert got == {(lang, key_of(g)): n for (lang, g), n in want.items()}
 
 
+def test_rare_grams_of_a_large_language_are_kept(docs):
+    rows = [(i, "ab cd " * 50_000, "xx") for i in range(6)] + [(9, "rare", "xx")]
+    got = {r.key: r.n for r in language.gram_counts(docs(*rows)).collect()}
+    assert all(got.get(key_of(g)) == 1 for g in plain_grams("rare"))
+
+
 def corpus():
     rng = random.Random(1)
     parts = {"xx": "ba ko ri tu ma".split(), "yy": "sch ung der ein icht".split(), "zz": "éau oux tré ais".split()}
