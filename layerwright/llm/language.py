@@ -13,7 +13,8 @@ above the usual one of its predicted language than the documents learnt from jus
 that are predicted to be in their own language, so texts without a language, however many, do not move it.
 
 Defined results. Text that is null or has no letter: ``und``, score 0, not accepted. Without a document to learn from
-all is ``und``. A null doc_id or lang is not learnt from; a null doc_id is not held out. Repeated rows count each.
+all is ``und``. A null doc_id or lang is not learnt from; a null doc_id is not held out. Repeated rows count each. Rows with
+a null or repeated doc_id are accepted or not by their own text.
 """
 
 from __future__ import annotations
@@ -239,7 +240,21 @@ def identified(docs: DataFrame, deviations: float = 12.0, least_margin: float =
     )
 
 
-def accepted(docs: DataFrame) -> DataFrame:
-    """The documents in a language that was learnt, with their columns."""
-    good = identified(docs).filter("accepted").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi").select(*docs.columns)
+def accepted(docs: DataFrame, chance: float = 16.0) -> DataFrame:
+    """The documents in a language that was learnt, with their columns, in one more pass over the text and no shuffle.
+    Each row is judged by its own text, so rows without doc_id and rows that repeat one are kept or not like others."""
+    models = docs.sparkSession.sparkContext.broadcast(read_models(gram_counts(learnt(docs))))
+    found = stage_table(scored(learnt(docs), models), "languages")
+    most = {r["lang_pred"]: r["limit"] for r in limits(found).collect()}  # one row per learnt language
+    return map_batches(docs, partial(_keep, models=models, most=most, chance=chance), docs.schema)
+
+
+def _keep(rows: Iterator[pa.RecordBatch], models, most: dict[str, float], chance: float) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        for part in pieces_of(batch, "text", SLICE):
+            lang, _, bits, count = _score(strings(part.column("text")), models.value)
+            verdicts = [
+                x is not None and name in most and x <= most[name] + chance / n**0.5
+                for name, x, n in zip(lang, bits, count.tolist(), strict=True)
+            ]
+            yield part.filter(pa.array(verdicts, pa.bool_()))

@@ -120,6 +120,15 @@ def test_accepted_keeps_columns(docs):
     assert out.columns == frame.columns and {r.doc_id for r in out.collect()} == set(range(300))
 
 
+def test_accepted_judges_each_row(docs):
+    rows = corpus()
+    foreign = "жщю яцф " * 40
+    odd = [(None, rows[0][1], "xx"), (None, rows[1][1], None), (None, foreign, None), (7, foreign, None), (8, rows[8][1], rows[8][2])]
+    out = [(r.doc_id, r.text) for r in language.accepted(docs(*rows, *odd)).collect()]
+    want = [(i, t) for i, t, _ in [*rows, *odd] if t != foreign]
+    assert sorted(out, key=str) == sorted(want, key=str)
+
+
 def test_nothing_to_learn_from_and_empty_table(docs):
     assert [r.lang_pred for r in language.identified(docs((1, "abc", None), (2, "x", None))).collect()] == ["und", "und"]
     assert language.identified(docs().limit(0)).collect() == []
