@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from layerwright.functions.predicates import member, number, outside
+from layerwright.functions.scalars import soft_cast
+from layerwright.operators import multiset
 
 
 @dataclass(frozen=True)
@@ -101,26 +103,57 @@ def run_all_tests(frames: dict[str, DataFrame], plan: dict[str, list[TableTest]]
     return reduce(DataFrame.unionByName, (run_table_tests(frames[t], t, tests) for t, tests in plan.items()))
 
 
+def _facts(df: DataFrame, invariants: dict[str, Column], values: list[Column] | None = None) -> DataFrame:
+    """One row: the violations of each invariant, and the checksum of ``values``."""
+    counts = {name: F.count_if(bad) for name, bad in invariants.items()}
+    counts |= {multiset.ROWS: F.count_if(F.lit(True))} if values is None else multiset.checksum(values)
+    return df.agg(*(count.alias(name) for name, count in counts.items()))
+
+
+def _found(table: str, facts: Column, invariants: dict[str, Column]) -> list[Column]:
+    empty = F.when(facts.getField(multiset.ROWS) == 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+    broken = {"not_empty": empty} | {name: facts.getField(name) for name in invariants}
+    return [_invariant(table, name, n) for name, n in broken.items()]
+
+
 def run_invariants(df: DataFrame, table: str, invariants: dict[str, Column]) -> DataFrame:
     """Row-level truths of a table: counts the rows where the condition of a named invariant is true (a
     violation), and reports ``not_empty`` as well. One pass; one row tells that a table is not empty."""
-    names = list(invariants)
-    counts = (df if names else df.limit(1)).agg(
-        F.count_if(F.lit(True)).alias("rows"), *(F.count_if(bad).alias(name) for name, bad in invariants.items())
+    facts = _facts(df if invariants else df.limit(1), invariants).select(F.struct("*").alias("facts"))
+    return facts.select(F.inline(F.array(*_found(table, F.col("facts"), invariants))))
+
+
+def conservation(
+    whole: DataFrame,
+    parts: dict[str, DataFrame],
+    columns: dict[str, str] | None = None,
+    invariants: dict[str, dict[str, Column]] | None = None,
+    whole_name: str = "whole",
+) -> DataFrame:
+    """No row lost, doubled or changed: the parts together hold the rows of the whole, each as often. Rows are compared by
+    ``columns`` (name and the type to compare it as; default: all columns of the whole that each part has with the
+    same type), through checksums that merge map-side.
+
+    Violations are the rows that are missing or too many, or 1 where as many rows hold something else. With
+    ``invariants`` of the whole and of parts, by name, these are counted in the same scan of each table."""
+    frames = {whole_name: whole, **parts}
+    if columns is None:
+        kinds = [dict(part.dtypes) for part in parts.values()]
+        columns = {name: kind for name, kind in whole.dtypes if all(kind == other.get(name) for other in kinds)}
+    wanted = {name: (invariants or {}).get(name, {}) for name in frames}
+    facts = {}
+    for name, df in frames.items():
+        values = [soft_cast(F.col(f"`{c}`"), df.schema[c].dataType, kind) for c, kind in columns.items()]
+        facts[name] = _facts(df, wanted[name], values).select(F.struct("*")).scalar().alias(name)
+    one_row = whole.sparkSession.range(0, 1, 1, numPartitions=1).select(*facts.values())
+    first, *rest = (F.col(f"`{name}`") for name in frames)
+    violations = F.when(multiset.same_rows(first, rest), F.lit(0).cast("long")).otherwise(
+        F.greatest(F.abs(multiset.surplus(first, rest)), F.lit(1).cast("long"))
     )
-    broken = {"not_empty": F.when(F.col("rows") == 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))}
-    broken |= {name: F.col(name) for name in names}
-    return counts.select(F.inline(F.array(*(_invariant(table, name, n) for name, n in broken.items()))))
-
-
-def conservation(whole: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
-    """No row lost, none doubled: the parts together have as many rows as the whole."""
-    counts = whole.agg(F.count("*").alias("missing"))
-    for part in parts.values():
-        counts = counts.unionByName(part.agg((-F.count("*")).alias("missing")))
-    missing = F.abs(F.sum("missing"))
-    named = f"whole = {' + '.join(parts)}"
-    return counts.agg(missing.alias("missing")).select(F.inline(F.array(_invariant("all", named, F.col("missing")))))
+    found = [_invariant("all", f"whole = {' + '.join(parts)}", violations)]
+    if invariants is not None:
+        found += [row for name in frames for row in _found(name, F.col(f"`{name}`"), wanted[name])]
+    return one_row.select(F.inline(F.array(*found)))
 
 
 def _invariant(table: str, name: str, violations: Column) -> Column:

@@ -202,6 +202,20 @@ class Refresh:
         return self._put({("quality", "table_tests"): self.tests(), ("quality", "invariants"): self.invariants()})
 
 
+def conserved_columns(bronze: DataFrame, parts: dict[str, DataFrame], spec: TableSpec = tx.SPEC) -> dict[str, str]:
+    """The columns that a row keeps on its way through the split, with the type in which both sides can be compared:
+    all that no rule derives anew, and those that a rule merely casts."""
+    derived = {rule.column: rule for rule in spec.derivations}
+    kept = {}
+    for name, kind in bronze.dtypes:
+        rule = derived.get(name)
+        if all(name in part.columns for part in parts.values()) and (
+            rule is None or (rule.transform == "cast" and rule.source == name)
+        ):
+            kept[name] = kind if rule is None else rule.type
+    return kept
+
+
 def invariants(
     bronze: DataFrame,
     silver: DataFrame,
@@ -210,12 +224,9 @@ def invariants(
     spec: TableSpec = tx.SPEC,
 ) -> DataFrame:
     """Row conservation, the row-level truths of both sides of the split, and that no table is empty."""
-    result = (
-        checks.conservation(bronze, {"silver": silver, "quarantine": rejected})
-        .unionByName(checks.run_invariants(bronze, "bronze", {}))
-        .unionByName(checks.run_invariants(silver, "silver", tx.clean_invariants(spec)))
-        .unionByName(checks.run_invariants(rejected, "quarantine", tx.reject_invariants(spec)))
-    )
+    own = {"silver": tx.clean_invariants(spec), "quarantine": tx.reject_invariants(spec)}
+    parts = {"silver": silver, "quarantine": rejected}
+    result = checks.conservation(bronze, parts, conserved_columns(bronze, parts, spec), own, "bronze")
     for table, frame in (gold or {}).items():
         result = result.unionByName(checks.run_invariants(frame, table, {}))
     return result

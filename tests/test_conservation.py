@@ -1,0 +1,105 @@
+"""Row conservation by multiset checksums."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerwright.operators import checks, multiset
+from layerwright.operators.enrich import enrich
+from layerwright.operators.validate import split
+from layerwright.plans import refresh
+from layerwright.plans import transactions as t
+
+ROWS = "a int, b string, c double, d decimal(18,2)"
+
+
+def verdict(whole, **parts):
+    return checks.conservation(whole, parts).first()
+
+
+@pytest.fixture
+def table(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), ROWS)
+
+
+SOUND = [(1, "x", 1.5, None), (1, "x", 1.5, None), (2, None, float("nan"), None), (None, "2", 0.0, None)]
+
+
+def test_a_split_in_any_order_passes(table):
+    whole = table(*SOUND)
+    row = verdict(whole.repartition(3), left=table(*SOUND[2:]), right=table(*SOUND[:2]))
+    assert (row.violations, row.status, row.invariant) == (0, "PASS", "whole = left + right")
+    assert verdict(whole.limit(0), part=whole.limit(0)).status == "PASS"
+
+
+def test_one_row_lost_and_another_doubled_fails(table):
+    """As many rows as before, and each part looks sound by itself."""
+    assert verdict(table(*SOUND), part=table(*SOUND[:3], SOUND[2])).violations == 1
+    # the exclusive or alone would not see two copies of one row take the place of two of another
+    assert verdict(table(*SOUND), part=table(SOUND[2], SOUND[2], *SOUND[2:])).status == "FAIL"
+
+
+def test_lost_and_doubled_rows_are_counted(table):
+    assert verdict(table(*SOUND), part=table(*SOUND[1:])).violations == 1
+    assert verdict(table(*SOUND), part=table(*SOUND, *SOUND)).violations == 4
+
+
+def test_a_value_that_moves_to_another_column_fails(spark):
+    schema = "a string, b string"
+    whole = spark.createDataFrame([("x", None)], schema)
+    assert verdict(whole, part=spark.createDataFrame([(None, "x")], schema)).status == "FAIL"
+    assert verdict(whole, part=spark.createDataFrame([("", "x")], schema)).status == "FAIL"
+
+
+def test_checksums_tell_random_bags_apart(spark):
+    rng = random.Random(3)
+    bags = [[(rng.randrange(3), rng.choice("xy"), 0.5, None) for _ in range(rng.randrange(4))] for _ in range(60)]
+    sums = {}
+    frames = [spark.createDataFrame(bag, ROWS).withColumn("bag", F.lit(i)) for i, bag in enumerate(bags) if bag]
+    union = frames[0]
+    for frame in frames[1:]:
+        union = union.unionAll(frame)
+    values = multiset.checksum([F.col(c) for c in ("a", "b", "c", "d")])
+    for row in union.groupBy("bag").agg(*(v.alias(k) for k, v in values.items())).collect():
+        sums[row["bag"]] = tuple(row[f] for f in multiset.FIELDS)
+    for i in sums:
+        for j in sums:
+            assert (sums[i] == sums[j]) == (Counter(bags[i]) == Counter(bags[j]))
+
+
+def test_the_sum_of_many_hashes_does_not_overflow(spark):
+    values = multiset.checksum([F.col("id")])
+    row = spark.range(2_000_000).agg(*(v.alias(k) for k, v in values.items())).first()
+    assert row[multiset.ROWS] == 2_000_000 and all(0 < row[s] < 2_000_000 << 22 for s in multiset.SUMS)
+
+
+def test_layers_are_compared_by_what_a_row_keeps(rows):
+    raw = rows({}, {"amount": 0.0}, {"anomaly": None}, {"risk_score": float("nan")}, {"amount": 3.0}).withColumn(
+        "amount", F.col("amount").cast("decimal(18,2)")
+    )
+    valid, rejected = split(raw, t.SPEC)
+    parts = {"silver": enrich(valid, t.SPEC.derivations), "quarantine": rejected}
+    kept = refresh.conserved_columns(raw, parts)
+    assert kept["amount"] == "double" and "transaction_date" not in kept and len(kept) == len(raw.columns)
+    result = {r.invariant: r for r in refresh.invariants(raw, parts["silver"], rejected).collect()}
+    assert result["whole = silver + quarantine"].violations == 0
+    changed = parts["silver"].withColumn("age_group", F.lit("other"))
+    result = {r.invariant: r for r in refresh.invariants(raw, changed, rejected).collect()}
+    assert result["whole = silver + quarantine"].status == "FAIL"
+
+
+def test_one_scan_per_table(spark, rows, tmp_path):
+    raw = rows({}, {"amount": 0.0})
+    valid, rejected = split(raw, t.SPEC)
+    for name, frame in (("b", raw), ("s", enrich(valid, t.SPEC.derivations)), ("q", rejected)):
+        frame.write.parquet(f"{tmp_path}/{name}")
+    frames = [spark.read.parquet(f"{tmp_path}/{name}") for name in "bsq"]
+    result = refresh.invariants(*frames)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    result.collect()
+    for name in "bsq":
+        assert plan.count(f"/{name}]") <= 2  # a scan, and perhaps a reused one
+    found = {(r.table_name, r.invariant) for r in result.collect()}
+    assert ("bronze", "not_empty") in found and ("quarantine", "reason_known") in found

@@ -292,6 +292,26 @@ def _invariants() -> str:
     return f"SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({results})"
 
 
+def _conservation_cases() -> str:
+    """Rows missing or too many; where there are none, 1 if the two bags of rows differ."""
+    chosen = "(transaction_type IS NOT DISTINCT FROM 'sale' AND location_region IS NOT DISTINCT FROM 'Asia')"
+    valid = "SELECT * EXCLUDE (ok) FROM marked WHERE ok"
+    cases = {
+        "intact": valid,
+        "lost": f"{valid} AND NOT {chosen}",
+        "doubled": f"{valid} UNION ALL {valid} AND {chosen}",
+        "exchanged": f"""SELECT * EXCLUDE (ok) REPLACE (CASE WHEN {chosen} THEN receiving_address ELSE sending_address END AS sending_address,
+  CASE WHEN {chosen} THEN sending_address ELSE receiving_address END AS receiving_address) FROM marked WHERE ok""",
+    }
+    parts = []
+    for name, side in cases.items():
+        both = f"({side} UNION ALL SELECT * EXCLUDE (ok) FROM marked WHERE NOT ok)"
+        other = f"(SELECT count(*) FROM (SELECT * FROM bronze EXCEPT ALL SELECT * FROM {both}))"
+        parts.append(f"""SELECT '{name}' AS case_name, CAST(greatest(abs((SELECT count(*) FROM bronze) - (SELECT count(*) FROM {both})),
+  CASE WHEN {other} > 0 THEN 1 ELSE 0 END) AS BIGINT) AS violations""")
+    return f"SELECT *, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({' UNION ALL '.join(parts)})"
+
+
 TEXT_RISK = "TRY_CAST(risk_score AS DOUBLE) < 0 OR TRY_CAST(risk_score AS DOUBLE) > 100"
 TEXT_ROWS = """text_rows AS MATERIALIZED (
   SELECT CASE WHEN login_frequency IN (6, 7) THEN 'junk ' || CAST(amount AS VARCHAR) ELSE CAST(amount AS VARCHAR) END AS amount,
@@ -488,6 +508,7 @@ CROSS JOIN (SELECT CAST(unnest(range(7)) AS INTEGER) AS no)""",
         f"bronze_quality_distributions AS MATERIALIZED ({_all_distributions('bronze')})",
     ),
     "invariants": q(_invariants(), *GOLD_CTES),
+    "conservation_cases": q(_conservation_cases()),
     **{
         f"chart_{name}": q(body, *GOLD_CTES)
         for name, body in {

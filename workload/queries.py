@@ -434,6 +434,27 @@ def invariants(spark, sf):
     return refresh.invariants(tx.bronze(spark, sf), tx.silver(spark, sf), tx.rejected(spark, sf), gold)
 
 
+@query
+def conservation_cases(spark, sf):
+    """The split as it is, and spoilt: sale rows of one region lost, doubled, and with sender and receiver exchanged,
+    which leaves every count as it was."""
+    raw = tx.bronze(spark, sf)
+    valid, rejected = split(raw, t.SPEC)
+    chosen = F.col("transaction_type").eqNullSafe("sale") & F.col("location_region").eqNullSafe("Asia")
+    exchanged = {"sending_address": "receiving_address", "receiving_address": "sending_address"}
+    cases = {
+        "intact": valid,
+        "lost": valid.filter(~chosen),
+        "doubled": valid.unionAll(valid.filter(chosen)),
+        "exchanged": valid.withColumns({a: F.when(chosen, F.col(b)).otherwise(F.col(a)) for a, b in exchanged.items()}),
+    }
+    frames = [
+        checks.conservation(raw, {"silver": side, "quarantine": rejected}).select(F.lit(case).alias("case_name"), "violations", "status")
+        for case, side in cases.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _text_rows(spark, sf) -> DataFrame:
     """The raw rows as text, with cells that are no numbers and no known values."""
     rows = tx.bronze(spark, sf).select("amount", "risk_score", "location_region", "anomaly", "login_frequency")
