@@ -1,15 +1,16 @@
 """Full refresh of all layers from a raw file: raw -> validated and rejected -> summaries, reports, tests.
 
 Each layer is written as a table before the next one reads it, so a lost executor costs the tasks of one layer
-and a second run replaces every table with the same content.
+and a second run replaces every table with the same content. The tables of a run become visible together, at its end; a
+run that was stopped goes on after the last layer it finished.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from dataclasses import dataclass, field, replace
+from datetime import UTC, datetime, timedelta
 from functools import partial
 from typing import Any
 
@@ -20,15 +21,18 @@ from layerwright.operators.columns import apply_column_ops, with_audit
 from layerwright.operators.enrich import enrich
 from layerwright.operators.validate import split
 from layerwright.plans import transactions as tx
+from layerwright.plans.manifest import Manifest, fingerprint
 from layerwright.sources.files import read_csv
 from layerwright.sources.scratch import written
 from layerwright.sources.tables import (
     ensure_namespace,
+    publish,
     read_table,
     read_table_or_empty,
-    replace_table,
+    stage_table,
     write_json_document,
 )
+from layerwright.sources.versions import RETAIN, Version
 from layerwright.spec import TableSpec
 
 LAYERS = ("bronze", "silver", "quarantine", "gold", "quality")  # fixed values: namespaces
@@ -37,7 +41,7 @@ LAYERS = ("bronze", "silver", "quarantine", "gold", "quality")  # fixed values:
 @dataclass(frozen=True)
 class Layout:
     """Where the layers live: an optional configured catalog, a prefix for the namespaces, an optional root
-    folder for them; format, codec and properties of the tables."""
+    folder for them; format, codec and properties of the tables; how long replaced versions stay."""
 
     catalog: str | None = None
     prefix: str = ""
@@ -45,6 +49,7 @@ class Layout:
     source_format: str = "parquet"
     codec: str = "snappy"
     properties: Mapping[str, str] = field(default_factory=dict)
+    retain: timedelta = RETAIN
 
     def namespace(self, layer: str) -> str:
         name = f"{self.prefix}{layer}"
@@ -122,68 +127,132 @@ def _write_all(jobs: list[Callable[[], Any]]) -> list:
         return list(pool.map(lambda job: job(), jobs))
 
 
+Tables = dict[tuple[str, str], Version]
+
+
 @dataclass(frozen=True)
 class Refresh:
     """The steps of a refresh. Each reads the tables of the step before and replaces its own, so steps can be run
-    one by one, in separate applications, or again. They return the row counts of the tables they wrote."""
+    one by one, in separate applications, or again; the tables of a step become visible together. ``run`` does all
+    steps and lets all tables become visible together. They return the row counts of the tables they wrote."""
 
     spark: SparkSession
     layout: Layout = Layout()
     spec: TableSpec = tx.SPEC
+    #: Versions that this run has written and not yet published; its later steps read them.
+    pending: Mapping[tuple[str, str], Version] = field(default_factory=dict)
 
     def __post_init__(self):
         zone = self.spark.conf.get("spark.sql.session.timeZone")
         if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
             raise ValueError(f"dates of a refresh are UTC dates: set spark.sql.session.timeZone to UTC, not {zone}")
 
-    def _put(self, frames: dict[tuple[str, str], DataFrame], **how) -> dict[str, int]:
+    def _stage(self, frames: dict[tuple[str, str], DataFrame], **how) -> Tables:
         for layer in dict.fromkeys(layer for layer, _ in frames):
             ensure_namespace(self.spark, self.layout.namespace(layer), self.layout.location(layer))
         how |= {"source_format": self.layout.source_format, "codec": self.layout.codec}
         how["properties"] = dict(self.layout.properties)
         jobs = [
-            partial(replace_table, df, self.layout.table(layer, table), compact=layer == "quarantine", **how)
+            partial(stage_table, df, self.layout.table(layer, table), compact=layer == "quarantine", **how)
             for (layer, table), df in frames.items()
         ]
-        return dict(zip(map(".".join, frames), _write_all(jobs)))
+        return dict(zip(frames, _write_all(jobs), strict=True))
+
+    def _publish(self, tables: Tables) -> dict[str, int]:
+        publish(self.spark, list(tables.values()), dict(self.layout.properties), self.layout.retain)
+        return {".".join(name): version.rows for name, version in tables.items()}
 
     def table(self, layer: str, table: str | None = None) -> DataFrame:
-        return read_table(self.spark, self.layout.table(layer, table or self.spec.table))
+        name = (layer, table or self.spec.table)
+        return read_table(self.spark, self.pending[name].table if name in self.pending else self.layout.table(*name))
 
     def rejected(self, like: DataFrame) -> DataFrame:
         """The rejected rows; none where that table was never written."""
+        if ("quarantine", self.spec.table) in self.pending:
+            return self.table("quarantine")
         schema = split(like, self.spec).rejected.schema
         return read_table_or_empty(self.spark, self.layout.table("quarantine", self.spec.table), schema)
 
-    def write_raw(self, path: str, batch_id: str | None = None) -> dict[str, int]:
+    def stage_raw(self, path: str, batch_id: str | None = None) -> Tables:
         rows = ingest(self.spark, path, self.spec, batch_id)
         how = {"partition_by": self.spec.partition_by, "sort_by": self.spec.sort_by}
-        return self._put({("bronze", self.spec.table): rows}, **how)
+        return self._stage({("bronze", self.spec.table): rows}, **how)
 
-    def write_clean(self) -> dict[str, int]:
+    def stage_clean(self) -> Tables:
         valid, rejected = split(self.table("bronze"), self.spec)
         silver = enrich(valid, self.spec.derivations)
-        return self._put({("silver", self.spec.table): silver, ("quarantine", self.spec.table): rejected})
+        return self._stage({("silver", self.spec.table): silver, ("quarantine", self.spec.table): rejected})
 
-    def write_summaries(self) -> dict[str, int]:
+    def stage_summaries(self) -> Tables:
         silver = self.table("silver")
         with written(shared_rollup(silver), "rollup") as rolled:
-            return self._put({("gold", t): summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
+            return self._stage({("gold", t): summaries.stamped(df) for t, df in gold_frames(silver, rolled).items()})
+
+    def stage_reports(self, now: str) -> Tables:
+        frames = report_frames(self.table("bronze"), self.table("silver"), now, self.spec)
+        return self._stage({("quality", table): df for table, df in frames.items()})
+
+    def write_document(self, path: str, now: str) -> None:
+        silver, results = self.table("silver"), self.table("quality", "silver_report")
+        document = report_document(silver, self.rejected(self.table("bronze")), now, self.spec, results)
+        write_json_document(document, path)
+
+    def write_raw(self, path: str, batch_id: str | None = None) -> dict[str, int]:
+        return self._publish(self.stage_raw(path, batch_id))
+
+    def write_clean(self) -> dict[str, int]:
+        return self._publish(self.stage_clean())
+
+    def write_summaries(self) -> dict[str, int]:
+        return self._publish(self.stage_summaries())
 
     def write_reports(self, document_path: str | None = None) -> dict[str, int]:
-        bronze, silver = self.table("bronze"), self.table("silver")
         now = datetime.now(UTC).isoformat()
-        frames = report_frames(bronze, silver, now, self.spec)
-        counts = self._put({("quality", table): df for table, df in frames.items()})
+        counts = self._publish(self.stage_reports(now))
         if document_path:
-            results = self.table("quality", "silver_report")
-            document = report_document(silver, self.rejected(bronze), now, self.spec, results)
-            write_json_document(document, document_path)
+            self.write_document(document_path, now)
         return counts
 
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, f"{self.layout.namespace('bronze')}__versions.run_{self.spec.table}")
+
     def run(self, path: str, document_path: str | None = None) -> dict[str, int]:
-        """Rebuild every table from the raw file or folder at ``path``."""
-        return self.write_raw(path) | self.write_clean() | self.write_summaries() | self.write_reports(document_path)
+        """Rebuild every table from the raw file or folder at ``path``. All tables show their new rows at one moment, after
+        the last one is written. If an earlier run over the same files and spec was stopped, the layers it had finished
+        are taken over. (Tables of a configured catalog are replaced one by one, each in one commit.)"""
+        self.layout.create(self.spark)
+        now = datetime.now(UTC).isoformat()
+        steps = {
+            "raw": lambda run: run.stage_raw(path),
+            "clean": lambda run: run.stage_clean(),
+            "summaries": lambda run: run.stage_summaries(),
+            "reports": lambda run: run.stage_reports(now),
+        }
+        own_catalog = self.layout.catalog is not None
+        mark = "" if own_catalog else fingerprint(self.spark, path, repr(self.spec), repr(self.layout))
+        done = {} if own_catalog else self.manifest().finished(mark)
+        run = self
+        for step, stage in steps.items():
+            if step in done:
+                tables = run._known(done[step])
+            else:
+                tables = stage(run)
+                done[step] = list(tables.values())
+                if not own_catalog:
+                    self.manifest().record(mark, done)
+            run = replace(run, pending={**run.pending, **tables})
+        counts = self._publish(dict(run.pending))
+        if document_path:
+            run.write_document(document_path, now)
+        if not own_catalog:
+            self.manifest().clear()
+        return counts
+
+    def _known(self, found: list[Version]) -> Tables:
+        """The versions of a finished step by layer and table."""
+        layers = {self.layout.namespace(layer): layer for layer in LAYERS}
+        names = [version.name.rpartition(".") for version in found]
+        return {(layers[namespace], table): version for (namespace, _, table), version in zip(names, found, strict=True)}
 
     def tests(self) -> DataFrame:
         """All declared tests over the tables of a finished refresh."""
@@ -199,7 +268,8 @@ class Refresh:
 
     def write_tests(self) -> dict[str, int]:
         """The results of all tests and invariants as tables ``table_tests`` and ``invariants`` of the quality layer."""
-        return self._put({("quality", "table_tests"): self.tests(), ("quality", "invariants"): self.invariants()})
+        results = {("quality", "table_tests"): self.tests(), ("quality", "invariants"): self.invariants()}
+        return self._publish(self._stage(results))
 
 
 def conserved_columns(bronze: DataFrame, parts: dict[str, DataFrame], spec: TableSpec = tx.SPEC) -> dict[str, str]:

@@ -1,18 +1,16 @@
-"""Catalog tables: scans and create-or-replace writes."""
+"""Catalog tables: scans and create-or-replace writes. In the session catalog a table is a name over versions."""
 
 from __future__ import annotations
 
-from uuid import uuid4
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from layerwright.sources.scratch import remove
-
-
-def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+from layerwright.sources import versions
+from layerwright.sources.versions import quoted as _quoted
 
 
 def _has_own_catalog(spark: SparkSession, name: str) -> bool:
@@ -37,12 +35,6 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quoted(name)}{where}")
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    namespace, _, table = name.rpartition(".")
-    found = spark.catalog.getDatabase(_quoted(namespace or spark.catalog.currentDatabase()))
-    return f"{found.locationUri.rstrip('/')}/{table}"
-
-
 def _order(terms) -> list[Column]:
     """Columns to sort by, from terms such as ``day``, ``day desc`` or ``region, day desc``."""
     directions = {"": F.asc, "asc": F.asc, "desc": F.desc}
@@ -59,20 +51,7 @@ def _order(terms) -> list[Column]:
 CODEC_PROPERTY, ORDER_PROPERTY = "write.parquet.compression-codec", "write.sort-by"
 
 
-def _old_folders(spark: SparkSession, folder: str) -> list[str]:
-    """The folders of earlier contents of a table, also those that a catalog in memory has forgotten."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}--*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return [str(status.getPath().toString()) for status in found or ()]
-
-
-def _swap(spark: SparkSession, name: str, fresh: str) -> None:
-    """Give the table ``fresh`` the name; what had it before goes. Metadata only."""
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
-    spark.sql(f"ALTER TABLE {_quoted(fresh)} RENAME TO {_quoted(name)}")
-
-
-def replace_table(
+def stage_table(
     df: DataFrame,
     name: str,
     *,
@@ -82,20 +61,19 @@ def replace_table(
     source_format: str = "parquet",
     codec: str = "snappy",
     properties: dict[str, str] | None = None,
-) -> int:
-    """Write ``df`` as the whole new content of a table and return its row count.
+) -> versions.Version:
+    """Write ``df`` as the next version of a table, which nobody sees before it is published. Its rows are counted
+    while they are written. A write that fails leaves nothing behind.
 
-    A configured catalog replaces the table in one commit; codec and write order become table properties there. The
-    session catalog gets a new table in a new folder, which takes over the name once it is complete, and then the
-    files of the old content are removed: a write that fails leaves the old content as it was, and nothing of
-    it can shine through, whatever the session's partition overwrite mode.
+    In a configured catalog there are no versions: the table is replaced in one commit, at once; codec and write order
+    become table properties there.
 
     Partition columns may be skewed (one value with a third of all rows) or rare. The rebalance hint lets
     adaptive execution split the first kind over many tasks and merge the second kind, so neither one huge
     task nor a flood of small files appears. ``compact`` does the same without columns, for rows that are few
     compared with the scan they come from and would else leave one tiny file per scan task. Other writes do
-    not shuffle. The rows are counted while they are written; the count sits above every shuffle, so a stage
-    that is run again after a lost executor does not count twice.
+    not shuffle. The count sits above every shuffle, so a stage that is run again after a lost executor does not
+    count twice.
     """
     spark = df.sparkSession
     if partition_by or compact:
@@ -113,27 +91,46 @@ def replace_table(
         if partition_by:
             writer = writer.partitionedBy(*(F.col(c) for c in partition_by))
         writer.createOrReplace()
-    else:
-        mark = uuid4().hex
-        folder, fresh = _folder(spark, name), f"{name}__{mark}"
-        path = f"{folder}--{mark}"
-        writer = df.write.format(source_format).option("compression", codec).option("path", path)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        try:
-            writer.saveAsTable(_quoted(fresh))
-        except BaseException:
-            spark.sql(f"DROP TABLE IF EXISTS {_quoted(fresh)}")
-            remove(spark, path)
-            raise
-        _swap(spark, name, fresh)
-        if properties:
-            listed = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())
-            spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ({listed})")
-        for old in _old_folders(spark, folder):
-            if not old.endswith(f"--{mark}"):
-                remove(spark, old)
-    return written.get["rows"]
+        return versions.Version(name, name, "", written.get["rows"])
+    version = versions.fresh(spark, name)
+    writer = df.write.format(source_format).option("compression", codec).option("path", version.path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        writer.saveAsTable(_quoted(version.table))
+    except BaseException:
+        versions.discard(spark, version)
+        raise
+    return replace(version, rows=written.get["rows"])
+
+
+def publish(
+    spark: SparkSession,
+    staged: list[versions.Version],
+    properties: dict[str, str] | None = None,
+    retain: timedelta = versions.RETAIN,
+) -> None:
+    """Let the names of all staged versions show them, at one moment; see ``sources/versions.py``."""
+    versions.publish(spark, [v for v in staged if v.path], properties, retain)
+
+
+def replace_table(
+    df: DataFrame,
+    name: str,
+    *,
+    properties: dict[str, str] | None = None,
+    retain: timedelta = versions.RETAIN,
+    **how,
+) -> int:
+    """Write ``df`` as the whole new content of a table and return its row count. ``how`` is that of ``stage_table``.
+
+    A configured catalog replaces the table in one commit. In the session catalog a new version is written and then
+    shown under the name by one metadata call: a write that fails leaves the old content as it was, the name is
+    never missing, nothing of the old content can shine through, whatever the session's partition overwrite mode,
+    and who still reads the old version can do so until it is collected, ``retain`` after the swap."""
+    version = stage_table(df, name, properties=properties, **how)
+    publish(df.sparkSession, [version], properties, retain)
+    return version.rows
 
 
 def replace_table_from_sql(

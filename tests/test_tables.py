@@ -3,6 +3,7 @@
 import datetime
 import json
 from dataclasses import replace
+from datetime import timedelta
 from pathlib import Path
 from uuid import uuid4
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from layerwright.__main__ import main
 from layerwright.plans import transactions as t
 from layerwright.plans.refresh import Layout, Refresh, ingest
-from layerwright.sources import tables
+from layerwright.sources import tables, versions
 from layerwright.sources.files import read_csv
 from layerwright.sources.scratch import written, new_path, shared_folder, write_once
 from test_spec import as_file_entry
@@ -93,7 +94,7 @@ def test_a_forgotten_table_is_replaced_too(spark, layout):
     tables.ensure_namespace(spark, layout.namespace("gold"))
     name = layout.table("gold", "tb")
     tables.replace_table(spark.range(5), name)
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
     assert tables.replace_table(spark.range(3), name) == 3
     assert tables.read_table(spark, name).count() == 3
     assert tables.replace_table(spark.range(4).withColumn("k", F.lit("x")), name, partition_by=["k"]) == 4
@@ -305,7 +306,10 @@ def test_nothing_of_the_old_content_stays(spark, layout, mode):
     stored = tables.read_table(spark, name)
     assert stored.count() == 1 and len(stored.inputFiles()) == 1
     folder = Path(stored.inputFiles()[0].removeprefix("file://")).parents[1]
-    assert [p.name for p in folder.parent.glob("parts--*")] == [folder.name]
+    # the old version stays for those who read it, until it is collected
+    assert len(list(folder.parent.glob("parts--*"))) == 2
+    assert len(versions.collect(spark, name, timedelta(0))) == 1
+    assert [p.name for p in folder.parent.glob("parts--*")] == [folder.name] and stored.count() == 1
 
 
 def test_a_table_can_be_replaced_from_itself(spark, layout):

@@ -544,6 +544,14 @@ FROM risk_profile GROUP BY 1, 2""",
 FROM ({PLAIN_BRONZE})"""),
     "partitioned_table": q("""SELECT location_region, count(*) AS row_count, """ + TOTAL + """,
   (SELECT count(*) FROM silver) AS written_rows FROM silver WHERE location_region IN ('Asia', 'Europe') GROUP BY 1"""),
+    "published_together": q(" UNION ALL ".join(
+        f"SELECT '{moment}' AS moment, '{layer}' AS layer, count(*) AS row_count FROM {table}" + (where if moment == "afterwards" else "")
+        for moment in ("while written", "afterwards", "reader from before")
+        for layer, table, where in (
+            ("silver", "silver", " WHERE location_region = 'Asia'"),
+            ("quarantine", "rejected", " WHERE _rejection_reason = 'invalid_amount'"),
+        )
+    )),
     "sql_model_table": q("""SELECT purchase_pattern, count(*) AS row_count, count(location_region) AS with_region
 FROM bronze GROUP BY 1"""),
     "codec_table": q("SELECT count(*) AS row_count, count(*) AS zstd_rows FROM bronze"),

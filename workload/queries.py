@@ -609,6 +609,31 @@ def partitioned_table(spark, sf):
     )
 
 
+@query
+def published_together(spark, sf):
+    """Two tables get new versions that are published at one moment: what their names show while the versions are being
+    written, and afterwards, and what a reader sees who resolved the names before."""
+    layout = _fresh_layout(spark)
+    layout.create(spark)
+    clean, rejected = tx.silver(spark, sf).drop("_processing_time"), tx.rejected(spark, sf)
+    names = {layer: layout.table(layer, t.SPEC.table) for layer in ("silver", "quarantine")}
+    tables.publish(spark, [tables.stage_table(df, name) for df, name in zip((clean, rejected), names.values(), strict=True)])
+    pinned = {layer: tables.read_table(spark, name) for layer, name in names.items()}
+    fresh = (clean.filter("location_region = 'Asia'"), rejected.filter("_rejection_reason = 'invalid_amount'"))
+    staged = [tables.stage_table(df, name) for df, name in zip(fresh, names.values(), strict=True)]
+    moments = {"while written": {layer: tables.read_table(spark, name) for layer, name in names.items()}}
+    tables.publish(spark, staged)
+    moments |= {"afterwards": {layer: tables.read_table(spark, name) for layer, name in names.items()}, "reader from before": pinned}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.lit(moment).alias("moment"), F.lit(layer).alias("layer"), F.count("*").alias("row_count"))
+            for moment, frames in moments.items()
+            for layer, df in frames.items()
+        ],
+    )
+
+
 SQL_MODEL = """
 SELECT purchase_pattern, count(*) AS row_count, count(location_region) AS with_region
 FROM {raw} GROUP BY purchase_pattern
