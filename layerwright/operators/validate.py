@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from layerwright.functions.predicates import compare, every, first_match, holds, member, number, outside
 from layerwright.functions.scalars import percent
-from layerwright.spec import Condition, Requirement, TableSpec
+from layerwright.spec import RAW_RECORD, Condition, Requirement, TableSpec
 
 
 class Split(NamedTuple):
@@ -34,7 +34,12 @@ def _required(requirement: Requirement, spec: TableSpec, schema: StructType) ->
 
 def valid_mask(spec: TableSpec, schema: StructType) -> Column:
     """True for a row that meets every requirement. NULL (not false) where a NULL leaves it open."""
-    return every(_required(r, spec, schema) for r in spec.requirements)
+    sound = [F.col(RAW_RECORD).isNull()] if _rejects_malformed(spec, schema) else []
+    return every([*(_required(r, spec, schema) for r in spec.requirements), *sound])
+
+
+def _rejects_malformed(spec: TableSpec, schema: StructType) -> bool:
+    return spec.rejects.malformed is not None and RAW_RECORD in schema.names
 
 
 def _matches(condition: Condition, spec: TableSpec, schema: StructType) -> Column:
@@ -49,6 +54,8 @@ def _matches(condition: Condition, spec: TableSpec, schema: StructType) -> Colum
 def reject_reason(spec: TableSpec, schema: StructType) -> Column:
     """Reason of the first matching rule, else ``other``. A NULL matches no list rule."""
     cases = [(_matches(rule.condition, spec, schema), rule.reason) for rule in spec.rejects.rules]
+    if _rejects_malformed(spec, schema):
+        cases.insert(0, (F.col(RAW_RECORD).isNotNull(), spec.rejects.malformed))
     return first_match(cases, F.lit("other"))
 
 

@@ -33,7 +33,7 @@ from layerwright.sources.tables import (
     write_json_document,
 )
 from layerwright.sources.versions import RETAIN, Version
-from layerwright.spec import TableSpec
+from layerwright.spec import RAW_RECORD, TableSpec
 
 LAYERS = ("bronze", "silver", "quarantine", "gold", "quality")  # fixed values: namespaces
 
@@ -66,9 +66,11 @@ class Layout:
             ensure_namespace(spark, self.namespace(layer), self.location(layer))
 
 
-def ingest(spark: SparkSession, path: str, spec: TableSpec, batch_id: str | None = None) -> DataFrame:
-    """Raw rows with declared types and audit columns."""
-    raw = apply_column_ops(read_csv(spark, path, spec), spec)
+def ingest(
+    spark: SparkSession, path: str | list[str], spec: TableSpec, batch_id: str | None = None, raw_record: bool = False
+) -> DataFrame:
+    """Raw rows with declared types and audit columns; with ``raw_record``, also the lines that did not fit."""
+    raw = apply_column_ops(read_csv(spark, path, spec, raw_record), spec)
     return with_audit(raw, spec.key, batch_id or datetime.now().strftime("%Y%m%d_%H%M%S"))
 
 
@@ -174,13 +176,13 @@ class Refresh:
         return read_table_or_empty(self.spark, self.layout.table("quarantine", self.spec.table), schema)
 
     def stage_raw(self, path: str, batch_id: str | None = None) -> Tables:
-        rows = ingest(self.spark, path, self.spec, batch_id)
+        rows = ingest(self.spark, path, self.spec, batch_id, raw_record=True)
         how = {"partition_by": self.spec.partition_by, "sort_by": self.spec.sort_by}
         return self._stage({("bronze", self.spec.table): rows}, **how)
 
     def stage_clean(self) -> Tables:
         valid, rejected = split(self.table("bronze"), self.spec)
-        silver = enrich(valid, self.spec.derivations)
+        silver = enrich(valid.drop(RAW_RECORD), self.spec.derivations)
         return self._stage({("silver", self.spec.table): silver, ("quarantine", self.spec.table): rejected})
 
     def stage_summaries(self) -> Tables:

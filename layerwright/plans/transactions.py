@@ -336,7 +336,7 @@ def clean_invariants(spec: TableSpec = SPEC) -> dict[str, Column]:
 def reject_invariants(spec: TableSpec = SPEC) -> dict[str, Column]:
     """Violations that a table of rejected rows must not show."""
     reason = F.col(spec.rejects.reason_column)
-    reasons = [*(rule.reason for rule in spec.rejects.rules), "other"]
+    reasons = [*(rule.reason for rule in spec.rejects.rules), spec.rejects.malformed or "other", "other"]
     return {
         "reason_not_null": reason.isNull(),
         "reason_known": ~reason.isin(reasons),

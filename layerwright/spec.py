@@ -19,6 +19,9 @@ TRANSFORMS = ("cast", "to_timestamp", "to_date", "isin", "threshold", "buckets",
 CONDITIONS = ("null_or_threshold", "not_in", "null_or_range")
 REQUIREMENTS = ("not_null", "above", "in", "between")
 
+#: The column with the line of a raw file that does not fit the declared columns.
+RAW_RECORD = "_raw_record"
+
 
 def _known(word: str | None, allowed, what: str) -> None:
     if word not in allowed:
@@ -127,11 +130,13 @@ class RejectRule:
 
 @dataclass(frozen=True)
 class Rejects:
-    """How invalid rows are labelled: the first rule that matches gives the reason."""
+    """How invalid rows are labelled: the first rule that matches gives the reason. With ``malformed``, a row whose raw
+    record did not fit the declared columns is invalid, and that is its reason before all rules."""
 
     reason_column: str = "_rejection_reason"
     time_column: str = "_quarantine_time"
     rules: tuple[RejectRule, ...] = ()
+    malformed: str | None = None
 
     @classmethod
     def from_dict(cls, raw: Mapping) -> Rejects:
@@ -139,6 +144,7 @@ class Rejects:
             reason_column=raw["rejection_column"],
             time_column=raw["timestamp_column"],
             rules=tuple(RejectRule(r["reason"], Condition(**r["condition"])) for r in raw.get("rules") or ()),
+            malformed=raw.get("malformed_reason"),
         )
 
 

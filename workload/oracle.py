@@ -390,7 +390,32 @@ PAGE_NUMBER = """row_number() OVER (ORDER BY transaction_datetime DESC, location
 PLAIN_BRONZE = """SELECT * REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp", CAST(amount AS DOUBLE) AS amount) FROM bronze"""
 NAN_AS_MINUS_ONE = "CASE WHEN isnan(risk_score) THEN -1.0 ELSE risk_score END AS risk_score"
 
+SOURCE_COLUMNS = (
+    "timestamp", "sending_address", "receiving_address", "amount", "transaction_type", "location_region", "ip_prefix",
+    "login_frequency", "session_duration", "purchase_pattern", "age_group", "risk_score", "anomaly",
+)
+
+
+def _malformed() -> str:
+    """Lines as they stand in the files: even login frequencies in reverse order and with a note."""
+    cells = {c: f"""coalesce(CAST({'CAST(epoch("timestamp") AS BIGINT)' if c == 'timestamp' else c} AS VARCHAR), '')""" for c in SOURCE_COLUMNS}
+    cells["session_duration"] = f"CASE WHEN login_frequency = 5 THEN 'x' || {cells['session_duration']} ELSE {cells['session_duration']} END"
+    line = lambda order: " || ',' || ".join(f"({cells[c]})" for c in order)
+    back = SOURCE_COLUMNS[::-1]
+    raw = f"""CASE WHEN login_frequency = 3 THEN {line(SOURCE_COLUMNS[:8])} WHEN login_frequency = 4 THEN {line(back)} || ',n,more'
+  ELSE {line(SOURCE_COLUMNS)} END"""
+    marks = f"""odd AS MATERIALIZED (
+  SELECT *, coalesce(login_frequency IN (3, 4, 5) AND session_duration < 10, FALSE) AS misfit FROM marked
+), parts AS (
+  SELECT 'raw_record' AS section, {raw} AS value FROM odd WHERE misfit
+  UNION ALL SELECT 'reason', CASE WHEN misfit THEN 'malformed_record' ELSE {REASON} END FROM odd WHERE misfit OR NOT ok
+  UNION ALL SELECT 'receiver', receiving_address FROM odd WHERE ok AND NOT misfit
+)"""
+    return q("SELECT section, value, count(*) AS row_count FROM parts GROUP BY ALL", marks)
+
+
 ORACLE: dict[str, str] = {
+    "csv_malformed": _malformed(),
     "ingest_column_ops": """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts,
   CAST(user_id AS INTEGER) AS account_id, event_type, CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(12,1)) AS DOUBLE) AS value
 FROM events""",

@@ -585,6 +585,53 @@ def csv_roundtrip(spark, sf):
     return tx.as_text(stored, "timestamp").withColumn("risk_score", F.nanvl("risk_score", F.lit(-1.0)))
 
 
+#: Which rows get a line that does not fit, by the condition on the source row.
+MALFORMED = {
+    "short": "login_frequency = 3 AND session_duration < 10",
+    "long": "login_frequency = 4 AND session_duration < 10",
+    "cell": "login_frequency = 5 AND session_duration < 10",
+}
+
+
+def _malformed_files(spark, sf) -> list[str]:
+    """CSV folders with short lines, long lines and cells of the wrong type. Rows with an even login frequency go to files
+    that name the columns in reverse, with one more that nobody declared."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = tx.source_rows(spark, sf)
+    names, paths = rows.columns, []
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names}
+    cells["session_duration"] = F.when(F.expr(MALFORMED["cell"]), F.concat(F.lit("x"), cells["session_duration"])).otherwise(cells["session_duration"])
+    cells["note"] = F.lit("n")
+    for order, chosen in ((names, "login_frequency % 2 = 1"), ([*reversed(names), "note"], "login_frequency % 2 = 0")):
+        short = F.concat_ws(",", *(cells[c] for c in order[:8]))
+        whole = F.concat_ws(",", *(cells[c] for c in order))
+        line = F.when(F.expr(MALFORMED["short"]), short).when(F.expr(MALFORMED["long"]), F.concat(whole, F.lit(",more"))).otherwise(whole)
+        path = new_path(spark, "malformed")
+        # one column that is the whole line, named by the whole header
+        rows.filter(chosen).select(line.alias(",".join(order))).write.options(header=True, sep="\u0001", quote="").csv(path)
+        paths.append(path)
+    return paths
+
+
+@query
+def csv_malformed(spark, sf):
+    """Lines and cells that do not fit, in files with different headers: the raw records in quarantine, the reasons of all
+    rejected rows, and who received the valid ones."""
+    spec = replace(t.SPEC, rejects=replace(t.SPEC.rejects, malformed="malformed_record"))
+    layout = _fresh_layout(spark)
+    run = refresh.Refresh(spark, layout, spec)
+    run.write_raw(_malformed_files(spark, sf), "batch_1")
+    run.write_clean()
+    rejected, valid = run.table("quarantine"), run.table("silver")
+    frames = {
+        "raw_record": rejected.filter(f"_rejection_reason = 'malformed_record'").groupBy(F.col("_raw_record").alias("value")),
+        "reason": rejected.groupBy(F.col("_rejection_reason").alias("value")),
+        "receiver": valid.groupBy(F.col("receiving_address").alias("value")),
+    }
+    counted = [df.agg(F.count("*").alias("row_count")).select(F.lit(k).alias("section"), "value", "row_count") for k, df in frames.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def partitioned_table(spark, sf):
     """A table partitioned by region and written twice, where the session overwrites single partitions; the second
