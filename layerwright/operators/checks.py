@@ -93,7 +93,9 @@ def run_table_tests(df: DataFrame, table: str, tests) -> DataFrame:
         frames.append(counts.select(F.inline(results)))
     for test in tests:
         if test.kind == "unique":
-            counts = _repeated(df, test.column).agg(F.count("*").alias("failures"))
+            keys = multiset.short_keys(df, [test.column])
+            copies = df.filter(F.col(f"`{test.column}`").isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_records"))
+            counts = copies.agg(F.count_if(F.col("n_records") > 1).alias("failures"))
             frames.append(counts.select(F.inline(F.array(_result(table, test, F.col("failures"))))))
     return reduce(DataFrame.unionByName, frames)
 

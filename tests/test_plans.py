@@ -33,13 +33,21 @@ def pushed(plan):
 
 def shuffled_records(df) -> int:
     """Rows that the exchanges of a collected frame wrote."""
+    return _shuffled(df, "shuffleRecordsWritten")
+
+
+def shuffled_bytes(df) -> int:
+    return _shuffled(df, "shuffleBytesWritten")
+
+
+def _shuffled(df, metric: str) -> int:
     def walk(node):
         name = node.getClass().getSimpleName()
         if name == "AdaptiveSparkPlanExec":
             return walk(node.executedPlan())
         if name.endswith("QueryStageExec"):
             return walk(node.plan())
-        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        own = node.metrics().apply(metric).value() if name == "ShuffleExchangeExec" else 0
         children = node.children()
         return own + sum(walk(children.apply(i)) for i in range(children.size()))
 
