@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from layerwright.operators.summaries import aggregated
+
 
 @dataclass(frozen=True)
 class Chart:
@@ -23,7 +25,7 @@ class Chart:
 def chart_data(df: DataFrame, chart: Chart) -> DataFrame:
     """Long form: one row per key (and series value)."""
     keys = [*chart.keys, *([chart.series] if chart.series else [])]
-    return df.groupBy(*keys).agg(getattr(F, chart.aggregate)(chart.column).alias(chart.label))
+    return df.groupBy(*keys).agg(aggregated(chart.aggregate, chart.column, df.schema).alias(chart.label))
 
 
 def chart_matrix(df: DataFrame, chart: Chart, series_values, rest: str = "other") -> DataFrame:
@@ -34,7 +36,7 @@ def chart_matrix(df: DataFrame, chart: Chart, series_values, rest: str = "other"
         raise ValueError(f"the column {rest!r} for other values is a series value")
     series = F.when(F.col(chart.series).isin(values), F.col(chart.series)).otherwise(rest)
     grouped = df.withColumn(chart.series, series).groupBy(*chart.keys).pivot(chart.series, [*values, rest])
-    return grouped.agg(getattr(F, chart.aggregate)(chart.column))
+    return grouped.agg(aggregated(chart.aggregate, chart.column, df.schema))
 
 
 def listing_page(df: DataFrame, columns, newest_first: str, after: Row | None = None, size: int = 25) -> DataFrame:

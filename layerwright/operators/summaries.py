@@ -1,6 +1,7 @@
 """Grouped summaries, row extracts and latest-per-key top lists.
 
-A summary is data: its keys and its measures. Two plans compute it, with the same result:
+A summary is data: its keys and its measures. Sums and averages of doubles do not depend on the order or the partitions
+of the rows (``functions/exact.py``). Two plans compute it, with the same result:
 
 * ``summarise`` groups the rows directly. Map-side partial aggregation sends one row per group and task over
   the network, so a key that owns a third of all rows costs no more than any other.
@@ -16,6 +17,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType, StructType
+
+from layerwright.functions import exact
 
 
 @dataclass(frozen=True)
@@ -46,24 +50,41 @@ def _ordered(df: DataFrame, summary: Summary) -> DataFrame:
     return df.orderBy(F.desc(summary.order_by_desc), *summary.keys)
 
 
-def _direct(measure: Measure) -> Column:
+def _is_double(schema: StructType, measure: Measure) -> bool:
+    return measure.kind in ("sum", "avg") and isinstance(schema[measure.column].dataType, FractionalType) and not isinstance(
+        schema[measure.column].dataType, DecimalType
+    )
+
+
+def aggregated(kind: str, column: str, schema: StructType) -> Column:
+    """A sum, average, minimum or maximum; sums and averages of doubles do not depend on the order of rows."""
+    if _is_double(schema, Measure("", kind, column)):
+        return exact.exact_sum(F.col(column)) if kind == "sum" else exact.exact_avg(F.col(column))
+    return getattr(F, kind)(column)
+
+
+def _direct(measure: Measure, schema: StructType) -> Column:
     match measure.kind:
         case "rows":
             return F.count("*")
         case "rows_where":
             return F.count_if(F.expr(measure.where))
         case "sum" | "avg" | "min" | "max":
-            return getattr(F, measure.kind)(measure.column)
+            return aggregated(measure.kind, measure.column, schema)
     raise ValueError(f"unknown kind of measure {measure.kind!r}")
 
 
 def summarise(df: DataFrame, summary: Summary) -> DataFrame:
     """One row per key combination, rows grouped directly."""
-    measures = [_rounded(_direct(m), m) for m in summary.measures]
+    measures = [_rounded(_direct(m, df.schema), m) for m in summary.measures]
     return _ordered(df.groupBy(*summary.keys).agg(*measures), summary)
 
 
-def _parts(measure: Measure) -> dict[str, Column]:
+def _exact_name(column: str, part: str) -> str:
+    return f"exact {part} of {column}"
+
+
+def _parts(measure: Measure, schema: StructType) -> dict[str, Column]:
     """Mergeable parts of a measure, by the column name they have in the rollup."""
     c = measure.column
     match measure.kind:
@@ -71,6 +92,8 @@ def _parts(measure: Measure) -> dict[str, Column]:
             return {"rows": F.count("*")}
         case "rows_where":
             return {f"rows where {measure.where}": F.count_if(F.expr(measure.where))}
+        case "sum" | "avg" if _is_double(schema, measure):
+            return {_exact_name(c, name): part for name, part in exact.sum_parts(F.col(c)).items()}
         case "sum":
             return {f"sum of {c}": F.sum(c)}
         case "avg":
@@ -82,26 +105,33 @@ def _parts(measure: Measure) -> dict[str, Column]:
     raise ValueError(f"unknown kind of measure {measure.kind!r}")
 
 
-def _merged(measure: Measure) -> Column:
-    names = [f"`{name}`" for name in _parts(measure)]
+def _merged(measure: Measure, columns: list[str]) -> Column:
+    c = measure.column
+    if measure.kind in ("sum", "avg") and _exact_name(c, "count") in columns:
+        parts = {name: F.sum(f"`{_exact_name(c, name)}`") for name in exact.PARTS}
+        return exact.total(parts) if measure.kind == "sum" else F.try_divide(exact.total(parts), parts["count"])
     match measure.kind:
+        case "rows":
+            return F.sum("rows")
+        case "rows_where":
+            return F.sum(f"`rows where {measure.where}`")
         case "min" | "max":
-            return getattr(F, measure.kind)(names[0])
+            return getattr(F, measure.kind)(f"`{measure.kind} of {c}`")
         case "avg":
-            return F.try_divide(F.sum(names[0]).cast("double"), F.sum(names[1]))
-    return F.sum(names[0])
+            return F.try_divide(F.sum(f"`sum of {c}`").cast("double"), F.sum(f"`count of {c}`"))
+    return F.sum(f"`sum of {c}`")
 
 
 def rollup(df: DataFrame, summaries) -> DataFrame:
     """Mergeable parts of the summaries, grouped by the union of their keys: one scan, one shuffle."""
     keys = list(dict.fromkeys(key for s in summaries for key in s.keys))
-    parts = {name: part for s in summaries for m in s.measures for name, part in _parts(m).items()}
+    parts = {name: part for s in summaries for m in s.measures for name, part in _parts(m, df.schema).items()}
     return df.groupBy(*keys).agg(*(part.alias(name) for name, part in parts.items()))
 
 
 def summarise_rollup(rolled: DataFrame, summary: Summary) -> DataFrame:
     """The summary from a ``rollup`` that covers it; equals ``summarise`` on the rows."""
-    measures = [_rounded(_merged(m), m) for m in summary.measures]
+    measures = [_rounded(_merged(m, rolled.columns), m) for m in summary.measures]
     return _ordered(rolled.groupBy(*summary.keys).agg(*measures), summary)
 
 

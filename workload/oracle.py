@@ -22,6 +22,18 @@ def n_where(condition: str) -> str:
     return f"count(*) FILTER (WHERE {condition})"
 
 
+def exact_sum(value: str, where: str = "TRUE") -> str:
+    """A sum of doubles without an order: halves of the whole part and of the fraction in units of 2^-52, as integers."""
+    whole, fraction = f"CAST(floor({value}) AS BIGINT)", f"CAST(floor(({value} - floor({value})) * 4503599627370496) AS BIGINT)"
+    part = lambda x: f"CAST(sum({x}) FILTER (WHERE {where}) AS DOUBLE)"
+    return f"""(({part(f'({whole}) >> 26')} * 67108864 + {part(f'({whole}) & 67108863')})
+  + ({part(f'({fraction}) >> 26')} / 67108864 + {part(f'({fraction}) & 67108863')} / 4503599627370496))"""
+
+
+def exact_avg(value: str, where: str = "TRUE") -> str:
+    return f"({exact_sum(value, where)} / nullif(count({value}) FILTER (WHERE {where}), 0))"
+
+
 # Fixed values, written out here again so that a slip in the plan shows.
 RISK_CLASSES = ("low_risk", "moderate_risk", "high_risk")
 REGIONS = _list(("Africa", "Asia", "Europe", "North America", "South America"))
@@ -373,10 +385,6 @@ MATRIX_COLUMNS = {c: f"anomaly = '{c}'" for c in ("moderate_risk", "high_risk")}
 }
 
 
-def _avg_of(condition: str) -> str:
-    return f"avg(avg_risk_score) FILTER (WHERE {condition})"
-
-
 LISTING = """SELECT transaction_datetime, location_region, transaction_type, amount, risk_score, anomaly, age_group,
   purchase_pattern, is_fraudulent
 FROM high_risk_transactions
@@ -450,6 +458,10 @@ WHERE NOT coalesce(ts IS NOT NULL AND event_type IN ('view', 'click', 'purchase'
 GROUP BY 1""",
     **{name: q(body) for name, body in GOLD.items()},
     **{f"{name}_from_rollup": q(GOLD[name]) for name in ("region_risk_ranking", "fraud_by_region", "fraud_by_type", "risk_profile")},
+    "sums_by_partitioning": q(f"""SELECT dealt, location_region, {exact_sum('amount')} AS sum_amount, {exact_avg('amount')} AS avg_amount,
+  {exact_sum('odd')} AS sum_odd, {exact_avg('odd')} AS avg_odd
+FROM (SELECT location_region, amount, amount / 7 - risk_score AS odd FROM silver),
+  (VALUES ('as read'), ('one'), ('many'), ('rollup')) AS ways(dealt) GROUP BY 1, 2"""),
     "latest_sale_per_receiver": q("""SELECT receiving_address, max(amount) AS amount, CAST("timestamp" AS VARCHAR) AS "timestamp"
 FROM silver s
 WHERE transaction_type = 'sale' AND "timestamp" = (SELECT max("timestamp") FROM silver l
@@ -541,17 +553,17 @@ CROSS JOIN (SELECT CAST(unnest(range(7)) AS INTEGER) AS no)""",
 FROM fraud_by_region GROUP BY 1""",
             "anomaly_distribution": """SELECT anomaly, CAST(sum(transaction_count) AS BIGINT) AS "Count"
 FROM fraud_by_region GROUP BY 1""",
-            "avg_risk_by_region": f"""SELECT location_region, {rnd('avg(avg_risk_score)', 4)} AS "Avg Risk Score" FROM fraud_by_region GROUP BY 1""",
-            "amount_by_type": f"""SELECT transaction_type, {rnd('sum(total_amount)', 4)} AS "Total Amount" FROM fraud_by_type GROUP BY 1""",
+            "avg_risk_by_region": f"""SELECT location_region, {exact_avg('avg_risk_score')} AS "Avg Risk Score" FROM fraud_by_region GROUP BY 1""",
+            "amount_by_type": f"""SELECT transaction_type, {exact_sum('total_amount')} AS "Total Amount" FROM fraud_by_type GROUP BY 1""",
             "count_by_type_and_anomaly": """SELECT transaction_type, anomaly, CAST(sum(transaction_count) AS BIGINT) AS "Count"
 FROM fraud_by_type GROUP BY 1, 2""",
             "daily_volume": """SELECT transaction_date, location_region, CAST(sum(total_transactions) AS BIGINT) AS "Total Transactions"
 FROM daily_fraud_metrics GROUP BY 1, 2""",
             "daily_high_risk": """SELECT transaction_date, CAST(sum(high_risk_count) AS BIGINT) AS "High Risk"
 FROM daily_fraud_metrics GROUP BY 1""",
-            "risk_heatmap": f"""SELECT location_region, anomaly, {rnd('avg(avg_risk_score)', 4)} AS "Avg Risk Score"
+            "risk_heatmap": f"""SELECT location_region, anomaly, {exact_avg('avg_risk_score')} AS "Avg Risk Score"
 FROM fraud_by_region GROUP BY 1, 2""",
-            "risk_by_segment": f"""SELECT age_group, purchase_pattern, {rnd('avg(avg_risk_score)', 4)} AS "Avg Risk Score"
+            "risk_by_segment": f"""SELECT age_group, purchase_pattern, {exact_avg('avg_risk_score')} AS "Avg Risk Score"
 FROM risk_profile GROUP BY 1, 2""",
             "count_matrix": "SELECT transaction_type, "
             + ", ".join(
@@ -559,7 +571,7 @@ FROM risk_profile GROUP BY 1, 2""",
             )
             + " FROM fraud_by_type GROUP BY 1",
             "risk_matrix": "SELECT location_region, "
-            + ", ".join(f"{rnd(_avg_of(of), 4)} AS {c}" for c, of in MATRIX_COLUMNS.items())
+            + ", ".join(f"{exact_avg('avg_risk_score', of)} AS {c}" for c, of in MATRIX_COLUMNS.items())
             + " FROM fraud_by_region GROUP BY 1",
             "detail_page": f"SELECT *, {PAGE_NUMBER} FROM ({LISTING} LIMIT 25)",
             "detail_second_page": f"SELECT *, {PAGE_NUMBER} FROM ({LISTING} LIMIT 25 OFFSET 25)",

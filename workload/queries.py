@@ -181,6 +181,18 @@ def _summary_from_rollup(name: str, spark, sf) -> DataFrame:
     return summaries.summarise_rollup(refresh.shared_rollup(tx.silver(spark, sf)), t.SUMMARIES[name])
 
 
+@query
+def sums_by_partitioning(spark, sf):
+    """Sums and averages of doubles, unrounded, over three ways to deal the rows; all digits are compared."""
+    rows = tx.silver(spark, sf).select("location_region", "amount", (F.col("amount") / 7 - F.col("risk_score")).alias("odd"))
+    measures = [summaries.Measure(f"{kind}_{c}", kind, c) for kind in ("sum", "avg") for c in ("amount", "odd")]
+    summary = summaries.Summary(("location_region",), tuple(measures))
+    dealt = {"as read": rows, "one": rows.coalesce(1), "many": rows.repartition(50)}
+    frames = [summaries.summarise(df, summary).withColumn("dealt", F.lit(name)) for name, df in dealt.items()]
+    frames.append(summaries.summarise_rollup(summaries.rollup(rows, [summary]), summary).withColumn("dealt", F.lit("rollup")))
+    return reduce(DataFrame.unionByName, frames)
+
+
 for _name in t.SUMMARIES:
     QUERIES[_name] = partial(_summary, _name)
 for _name in t.SHARED_ROLLUP:
@@ -501,13 +513,7 @@ def whole_numbers_from_text(spark, sf):
 # --- Charts -------------------------------------------------------------------------------------------------
 def _chart(name: str, spark, sf) -> DataFrame:
     chart = t.CHARTS[name]
-    rows = charts.chart_data(_summary(chart.table, spark, sf), chart)
-    return _rounded(rows, chart.label) if chart.aggregate == "avg" or "amount" in chart.column else rows
-
-
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """The order in which a group-by adds doubles shows in their last digits."""
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+    return charts.chart_data(_summary(chart.table, spark, sf), chart)
 
 
 for _name in t.CHARTS:
@@ -527,8 +533,7 @@ def chart_count_matrix(spark, sf):
 @query
 def chart_risk_matrix(spark, sf):
     chart = t.CHARTS["risk_heatmap"]
-    rows = charts.chart_matrix(_summary(chart.table, spark, sf), chart, MATRIX_CLASSES)
-    return _rounded(rows, *MATRIX_CLASSES, "other")
+    return charts.chart_matrix(_summary(chart.table, spark, sf), chart, MATRIX_CLASSES)
 
 
 def _detail(spark, sf, after=None) -> DataFrame:
