@@ -71,38 +71,57 @@ def offending(df: DataFrame, test: TableTest) -> DataFrame:
     return rows.select(column) if test.kind == "not_null" else rows
 
 
-def _result(table: str, test: TableTest, failures: Column) -> Column:
-    return F.struct(
+def _result(table: str, test: TableTest, failures: Column, examples: Column | None = None) -> Column:
+    parts = [
         F.lit(table).alias("table_name"),
         F.lit(test.column).alias("column_name"),
         F.lit(test.kind).alias("test"),
         failures.alias("failures"),
         F.when(failures == 0, "PASS").otherwise("FAIL").alias("status"),
-    )
+    ]
+    return F.struct(*parts, *([] if examples is None else [examples.alias("examples")]))
+
 
+def _examples(test: TableTest, df: DataFrame, most: int) -> list[Column]:
+    """Aggregates for up to ``most`` rows that the test objects to: of each of so many classes of rows by their hash, the
+    row with the least hash. They merge map-side, and the choice does not depend on the order of rows."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    mark = F.xxhash64(*columns)
+    row = F.struct(mark.alias("mark"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row"))
+    chosen = [_offends(test, df.schema) & (F.pmod(mark, F.lit(most)) == i) for i in range(most)]
+    return [F.min(F.when(of, row)).getField("row") for of in chosen]
 
-def run_table_tests(df: DataFrame, table: str, tests) -> DataFrame:
+
+def run_table_tests(df: DataFrame, table: str, tests, examples: int = 0) -> DataFrame:
     """One row per test: (table_name, column_name, test, failures, status). Failures are rows, for unique they
-    are repeated values. All but unique tests share a single aggregate, so a table is scanned once."""
+    are repeated values. All but unique tests share a single aggregate, so a table is scanned once.
+
+    ``examples`` adds a column with rows, as JSON, that the test objects to: one at least if it fails and so many at
+    most, found in the same scan. ``offending`` gives all of them. A unique test has no examples."""
     tests = list(tests)
     simple = [t for t in tests if t.kind != "unique"]
+    none = F.array().cast("array<string>") if examples else None
     frames = []
     if simple:
-        counts = df.agg(*(F.count_if(_offends(t, df.schema)).alias(str(i)) for i, t in enumerate(simple)))
-        results = F.array(*(_result(table, t, F.col(f"`{i}`")) for i, t in enumerate(simple)))
+        found = {str(i): F.count_if(_offends(t, df.schema)) for i, t in enumerate(simple)}
+        if examples:
+            found |= {f"{i} {k}": e for i, t in enumerate(simple) for k, e in enumerate(_examples(t, df, examples))}
+        counts = df.agg(*(column.alias(name) for name, column in found.items()))
+        shown = [F.array_compact(F.array(*(F.col(f"`{i} {k}`") for k in range(examples)))) if examples else None for i in range(len(simple))]
+        results = F.array(*(_result(table, t, F.col(f"`{i}`"), shown[i]) for i, t in enumerate(simple)))
         frames.append(counts.select(F.inline(results)))
     for test in tests:
         if test.kind == "unique":
             keys = multiset.short_keys(df, [test.column])
             copies = df.filter(F.col(f"`{test.column}`").isNotNull()).groupBy(*keys).agg(F.count("*").alias("n_records"))
             counts = copies.agg(F.count_if(F.col("n_records") > 1).alias("failures"))
-            frames.append(counts.select(F.inline(F.array(_result(table, test, F.col("failures"))))))
+            frames.append(counts.select(F.inline(F.array(_result(table, test, F.col("failures"), none)))))
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_all_tests(frames: dict[str, DataFrame], plan: dict[str, list[TableTest]]) -> DataFrame:
+def run_all_tests(frames: dict[str, DataFrame], plan: dict[str, list[TableTest]], examples: int = 0) -> DataFrame:
     """The tests of every planned table, as one frame."""
-    return reduce(DataFrame.unionByName, (run_table_tests(frames[t], t, tests) for t, tests in plan.items()))
+    return reduce(DataFrame.unionByName, (run_table_tests(frames[t], t, tests, examples) for t, tests in plan.items()))
 
 
 def _facts(df: DataFrame, invariants: dict[str, Column], values: list[Column] | None = None) -> DataFrame:

@@ -41,7 +41,8 @@ LAYERS = ("bronze", "silver", "quarantine", "gold", "quality")  # fixed values:
 @dataclass(frozen=True)
 class Layout:
     """Where the layers live: an optional configured catalog, a prefix for the namespaces, an optional root
-    folder for them; format, codec and properties of the tables; how long replaced versions stay."""
+    folder for them; format, codec and properties of the tables; how long replaced versions stay; whether the raw table
+    is dealt by ranges of its sort columns."""
 
     catalog: str | None = None
     prefix: str = ""
@@ -50,6 +51,7 @@ class Layout:
     codec: str = "snappy"
     properties: Mapping[str, str] = field(default_factory=dict)
     retain: timedelta = RETAIN
+    clustered: bool = False
 
     def namespace(self, layer: str) -> str:
         name = f"{self.prefix}{layer}"
@@ -177,7 +179,7 @@ class Refresh:
 
     def stage_raw(self, path: str, batch_id: str | None = None) -> Tables:
         rows = ingest(self.spark, path, self.spec, batch_id, raw_record=True)
-        how = {"partition_by": self.spec.partition_by, "sort_by": self.spec.sort_by}
+        how = {"partition_by": self.spec.partition_by, "sort_by": self.spec.sort_by, "clustered": self.layout.clustered}
         return self._stage({("bronze", self.spec.table): rows}, **how)
 
     def stage_clean(self) -> Tables:
@@ -256,12 +258,12 @@ class Refresh:
         names = [version.name.rpartition(".") for version in found]
         return {(layers[namespace], table): version for (namespace, _, table), version in zip(names, found, strict=True)}
 
-    def tests(self) -> DataFrame:
+    def tests(self, examples: int = 0) -> DataFrame:
         """All declared tests over the tables of a finished refresh."""
         plan = tx.table_tests(self.spec)
         layer = {name: "quality" if name.startswith("bronze_") else "gold" for name in plan}
         frames = {name: self.table(layer[name], name) for name in plan if name != "silver"}
-        return checks.run_all_tests({"silver": self.table("silver"), **frames}, plan)
+        return checks.run_all_tests({"silver": self.table("silver"), **frames}, plan, examples)
 
     def invariants(self) -> DataFrame:
         bronze = self.table("bronze")
@@ -269,8 +271,9 @@ class Refresh:
         return invariants(bronze, self.table("silver"), self.rejected(bronze), gold, self.spec)
 
     def write_tests(self) -> dict[str, int]:
-        """The results of all tests and invariants as tables ``table_tests`` and ``invariants`` of the quality layer."""
-        results = {("quality", "table_tests"): self.tests(), ("quality", "invariants"): self.invariants()}
+        """The results of all tests, with examples, and invariants as tables ``table_tests`` and ``invariants`` of the
+        quality layer."""
+        results = {("quality", "table_tests"): self.tests(examples=3), ("quality", "invariants"): self.invariants()}
         return self._publish(self._stage(results))
 
 

@@ -57,6 +57,7 @@ def stage_table(
     *,
     partition_by=(),
     sort_by=(),
+    clustered: bool = False,
     compact: bool = False,
     source_format: str = "parquet",
     codec: str = "snappy",
@@ -72,11 +73,19 @@ def stage_table(
     adaptive execution split the first kind over many tasks and merge the second kind, so neither one huge
     task nor a flood of small files appears. ``compact`` does the same without columns, for rows that are few
     compared with the scan they come from and would else leave one tiny file per scan task. Other writes do
-    not shuffle. The count sits above every shuffle, so a stage that is run again after a lost executor does not
+    not shuffle.
+
+    ``sort_by`` alone orders the rows inside each file. ``clustered`` also deals them by ranges of the sort columns, so that
+    files do not overlap and a filter on them reads a few files: Spark samples the rows for the bounds (one more pass
+    over the input) and shuffles them once. A hash of the row comes last among the range columns, so a value that a third
+    of all rows share spans many files instead of one. The count sits above every shuffle, so a stage that is run again after a lost executor does not
     count twice.
     """
     spark = df.sparkSession
-    if partition_by or compact:
+    if clustered and (partition_by or sort_by):
+        row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+        df = df.repartitionByRange(*(F.col(f"`{c}`") for c in partition_by), *_order(sort_by), row_hash)
+    elif partition_by or compact:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *_order(sort_by))

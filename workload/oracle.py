@@ -505,6 +505,16 @@ GROUP BY receiving_address, "timestamp" """),
         _test("bronze", "login_frequency", "accepted_range", "login_frequency > 6"),
     )),
     "tests_unique": q(_tests(_unique("bronze", "sending_address"), _unique("bronze", "timestamp"))),
+    "table_test_examples": q(f"""SELECT column_name, test, failures, failures > 0 AS has_examples, TRUE AS few_enough, TRUE AS all_offend
+FROM ({_tests(
+        *(_test("bronze", c, "not_null", f'"{c}" IS NULL') for c in ("timestamp", "sending_address", "amount", "location_region", "ip_prefix")),
+        _test("bronze", "location_region", "accepted_values", f"location_region NOT IN {REGIONS}"),
+        _test("bronze", "anomaly", "accepted_values", f"anomaly NOT IN {CLASSES}"),
+        _test("bronze", "transaction_type", "accepted_values", f"transaction_type NOT IN {TYPES}"),
+        _test("bronze", "risk_score", "accepted_range", "risk_score < 0 OR risk_score > 100"),
+        _test("bronze", "amount", "accepted_range", "amount < 0"),
+        _test("bronze", "login_frequency", "accepted_range", "login_frequency > 6"),
+    )})"""),
     "offending_values": q(f"""SELECT location_region AS value, count(*) AS n_records FROM bronze
 WHERE location_region NOT IN {REGIONS} GROUP BY 1"""),
     "offending_repeats": q("""SELECT CAST("timestamp" AS VARCHAR) AS value, count(*) AS n_records FROM bronze
@@ -581,6 +591,8 @@ FROM risk_profile GROUP BY 1, 2""",
 FROM ({PLAIN_BRONZE})"""),
     "partitioned_table": q("""SELECT location_region, count(*) AS row_count, """ + TOTAL + """,
   (SELECT count(*) FROM silver) AS written_rows FROM silver WHERE location_region IN ('Asia', 'Europe') GROUP BY 1"""),
+    "clustered_table": q("""SELECT location_region, count(*) AS row_count, CAST(0 AS BIGINT) AS overlapping_files, TRUE AS reads_a_part
+FROM silver GROUP BY 1"""),
     "published_together": q(" UNION ALL ".join(
         f"SELECT '{moment}' AS moment, '{layer}' AS layer, count(*) AS row_count FROM {table}" + (where if moment == "afterwards" else "")
         for moment in ("while written", "afterwards", "reader from before")

@@ -381,6 +381,35 @@ for _name in RAW_TESTS:
     QUERIES[f"tests_{_name}"] = partial(_raw_tests, _name)
 
 
+@query
+def table_test_examples(spark, sf):
+    """Tests of the raw rows with up to five examples each, found in the same scan; every example must be a row that the
+    test objects to."""
+    kinds = [test for kind in ("not_null", "accepted_values", "accepted_range") for test in RAW_TESTS[kind]]
+    found = checks.run_table_tests(tx.bronze(spark, sf), "bronze", kinds, examples=5)
+    objects = {
+        "not_null": lambda v: v.isNull(),
+        "location_region": lambda v: ~v.isin(*t.REGIONS),
+        "anomaly": lambda v: ~v.isin(*t.RISK_CLASSES),
+        "transaction_type": lambda v: ~v.isin(*t.TRANSACTION_TYPES),
+        "risk_score": lambda v: (v == "NaN") | (v.try_cast("double") < 0) | (v.try_cast("double") > 100),
+        "amount": lambda v: v.try_cast("double") < 0,
+        "login_frequency": lambda v: v.try_cast("int") > 6,
+    }
+
+    def all_offend(test):
+        rule = objects["not_null" if test.kind == "not_null" else test.column]
+        own = (F.col("column_name") == test.column) & (F.col("test") == test.kind)
+        return own & F.forall("examples", lambda row: F.coalesce(rule(F.get_json_object(row, f"$.{test.column}")), F.lit(False)))
+
+    sound = reduce(lambda a, b: a | b, map(all_offend, kinds))
+    n = F.size("examples")
+    return found.select(
+        "column_name", "test", "failures", (n > 0).alias("has_examples"), (n <= F.least(F.col("failures"), F.lit(5))).alias("few_enough"),
+        sound.alias("all_offend"),
+    )
+
+
 @query
 def offending_values(spark, sf):
     (test,) = checks.accepted_values("location_region", t.REGIONS)
@@ -661,6 +690,31 @@ def partitioned_table(spark, sf):
     )
 
 
+@query
+def clustered_table(spark, sf):
+    """A table whose files hold ranges of its sort columns: rows per region, the files that share a range with the file
+    before them, and whether a filter on a region reads a part of the files only."""
+    layout = replace(_fresh_layout(spark), clustered=True)
+    layout.create(spark)
+    name = layout.table("silver", t.SPEC.table)
+    rows = tx.silver(spark, sf).drop("_processing_time")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "false")  # several files of small tables, too
+    try:
+        tables.replace_table(rows, name, sort_by=("location_region", "transaction_date desc"), clustered=True)
+    finally:
+        spark.conf.set(merged, before)
+    stored = tables.read_table(spark, name).withColumn("file", F.input_file_name())
+    bounds = stored.groupBy("file").agg(F.min("location_region").alias("low"), F.max("location_region").alias("high"))
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    overlapping = bounds.withColumn("before", before).agg(F.count_if(F.col("before") > F.col("low"))).scalar()
+    files = bounds.agg(F.count("*")).scalar()
+    return stored.groupBy("location_region").agg(F.count("*").alias("row_count"), F.countDistinct("file").alias("files")).select(
+        "location_region", "row_count", overlapping.alias("overlapping_files"), (F.col("files") < files).alias("reads_a_part")
+    )
+
+
 @query
 def published_together(spark, sf):
     """Two tables get new versions that are published at one moment: what their names show while the versions are being
