@@ -39,7 +39,8 @@ class WordIds(dict):
     """Token ids, as bytes, of strings between white space, which this kind of tokenizer encodes one by one.
 
     Normaliser, splitter and model are those of the ``tokenizers`` library; the dictionaries only remember. They are
-    emptied when full, so a worker's memory is bounded."""
+    emptied when full, so a worker's memory is bounded. A text that holds one of the tokenizer's added tokens, which count
+    before anything is normalised or split, is left to the library as a whole."""
 
     def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
@@ -47,6 +48,8 @@ class WordIds(dict):
         tokenizer = Tokenizer.from_file(path)
         self.normalize, self.split = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
         self.tokenize, self.most, self.parts = tokenizer.model.tokenize, most, {}
+        self.whole = tokenizer.encode
+        self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
@@ -71,6 +74,9 @@ class WordIds(dict):
 
     def encode(self, text: str, odd: bool = False) -> bytes:
         """odd: the text may hold characters that ``str.split`` takes for white space and the tokenizer does not."""
+        for token in self.added:
+            if token in text:
+                return np.array(self.whole(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, _ASCII_SPACE.split(text) if odd else text.split()))
 
 

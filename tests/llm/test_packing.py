@@ -13,14 +13,13 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(PATH)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize(
     "text",
-    ["", "it's I'LL don't''s x's", "a\x1cb c\x85d\xa0e\u2003f", "Ä́ é é ́x ΑΣ ΑΣ. İx 12a3 ½²", "漢字 ﬁ ⅷ Ⅷ", "a,.b ..,!! ;", "<|startoftext|> hi", " \n\t "],
+    ["", "it's I'LL don't''s x's", "a\x1cb c\x85d\xa0e\u2003f", "Ä́ é é ́x ΑΣ ΑΣ. İx 12a3 ½²", "漢字 ﬁ ⅷ Ⅷ", "a,.b ..,!! ;", "<|startoftext|> hi", " \n\t ",
+     "<|endoftext|> ok", "a<|endoftext|>b <|endoftext|><|startoftext|>", "<|endoftext", "< |endoftext|>", "É<|ENDOFTEXT|>é  <|endoftext|>  é"],
 )
 def test_ids_are_those_of_the_library(tokenizer, text):
     ids = packing.WordIds(PATH).encode(text, odd=True)
