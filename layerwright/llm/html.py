@@ -13,7 +13,9 @@ scripts, comments. If a page has ``article`` or ``main`` elements, the text is t
 
 Defined results. Null or empty html: empty text. Pages without a host form one host. Of pages of a host with the same main text one
 counts for its template; hosts with fewer than ``MIN_PAGES`` such pages have no constant nodes. Repeated rows each give a row.
-Broken mark-up never fails: open elements end with the page, end tags without start are ignored.
+Broken mark-up never fails: open elements end with the page, end tags without start are ignored, elements deeper than
+``MAX_DEPTH`` are taken as siblings. A page of any length is one value of its task. An empty table gives no rows. Other columns
+than page_id, url and html are not looked at.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -73,6 +74,14 @@ DROPPED_WORDS = set(
     "recommendations pagination pager toolbar masthead copyright disclaimer skip search teaser teasers banner alert topbar".split()
 )
 WORDS_OUTSIDE = set("header head top".split())  # as class words, outside the article only
+# Words that say nothing about content: a class such as site-footer or ad-slot-2 is no article, share-price or ad-hoc may be.
+NEUTRAL_WORDS = set(
+    "area bar block bottom box btn button center col column container content div field fixed global group head header holder icon "
+    "icons inner item items label left link links list local main mobile outer page panel post row section site slot small sticky "
+    "title top right unit user wrap wrapper".split()
+)
+#: Elements nested deeper are taken as siblings of the one at this depth, as browsers do; no text is lost, its order kept.
+MAX_DEPTH = 200
 
 
 class Node:
@@ -85,6 +94,16 @@ class Node:
         self.has_article = False
 
 
+def _meaning(token: str) -> list[str]:
+    """The words of one class or id if they tell what the element is for, else the whole token as one word: a word of
+    ``DROPPED_WORDS`` counts only where the others are of that kind, too, or neutral."""
+    words = [w.lower() for w in _NAME.findall(token)]
+    known = [w for w in words if w in DROPPED_WORDS or w in WORDS_OUTSIDE]
+    if known and any(w not in DROPPED_WORDS and w not in NEUTRAL_WORDS for w in words):
+        return ["-".join(words) + "-"]
+    return words
+
+
 @lru_cache(20_000)
 def _attributes(raw: str) -> tuple[tuple[str, ...], bool]:
     """The words of class and id, and whether the element is hidden or has another role than content."""
@@ -94,7 +113,7 @@ def _attributes(raw: str) -> tuple[tuple[str, ...], bool]:
         if name == "role":
             dropped |= value.lower() in DROPPED_ROLES
         elif name in ("class", "id"):
-            words += [w.lower() for w in _NAME.findall(value)]
+            words += [word for token in value.split() for word in _meaning(token)]
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             dropped = True
         elif name == "style":
@@ -106,18 +125,33 @@ def parse(page: str) -> Node:
     """The tree of block elements. Inline elements are part of their block's text, unless they are to be dropped."""
     root = Node("html")
     stack, inline_drop = [root], []
+    open_tags: Counter = Counter()
     buffer: list[str] = []
     at = 0
 
+    def attach(node: Node):
+        """Below the innermost open element, or next to it where that is as deep as trees go; it is dropped with it."""
+        outer = stack[-1]
+        if len(stack) > MAX_DEPTH:
+            node.dropped |= outer.dropped or any(w in DROPPED_WORDS for w in outer.words)
+        stack[min(len(stack), MAX_DEPTH) - 1].children.append(node)
+
     def flush():
         if buffer:
             text = " ".join(entities.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
+                if len(stack) > MAX_DEPTH and stack[MAX_DEPTH - 1].children[-1] is not stack[-1]:
+                    # another element has come since: the text stands in a continuation of its own, behind it
+                    old = stack.pop()
+                    fresh = Node(old.tag, old.words, old.dropped)
+                    attach(fresh)
+                    stack.append(fresh)
                 stack[-1].children.append(text)
 
     def close_to(depth: int):
         flush()
+        open_tags.subtract(node.tag for node in stack[depth:])
         del stack[depth:]
 
     end = len(page)
@@ -136,7 +170,7 @@ def parse(page: str) -> Node:
             if inline_drop and inline_drop[-1] == tag:
                 inline_drop.pop()
             elif tag not in INLINE:
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1, 0, -1) if open_tags[tag] > 0 else ():
                     if stack[depth].tag == tag:
                         close_to(depth)
                         break
@@ -168,7 +202,7 @@ def parse(page: str) -> Node:
             if stack[-1].tag == "p":
                 close_to(len(stack) - 1)
         elif tag in ENDS_SAME:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if any(open_tags[t] > 0 for t in ENDS_SAME[tag]) else ():
                 if stack[depth].tag in ENDS_SAME[tag]:
                     close_to(depth)
                     break
@@ -179,8 +213,9 @@ def parse(page: str) -> Node:
             root.words += words if tag == "body" else ()
             continue
         node = Node(tag, words, dropped or tag in DROPPED_TAGS)
-        stack[-1].children.append(node)
+        attach(node)
         stack.append(node)
+        open_tags[tag] += 1
     if at < end and not inline_drop:
         buffer.append(page[at:])
     flush()
@@ -195,7 +230,7 @@ def skeleton(root: Node) -> list:
     """The tree of places ``[label, children]``; sets the place of each node, numbered in the order of a walk."""
     places: list[list] = []
 
-    def build(nodes: list[Node]) -> list:
+    def build(nodes: list[Node], depth: int) -> list:
         number = len(places)
         place = [label(nodes[0]), []]
         places.append(place)
@@ -206,15 +241,15 @@ def skeleton(root: Node) -> list:
             for child in node.children:
                 if isinstance(child, Node):
                     name = label(child)
-                    if name != last:
+                    if name != last and depth < MAX_DEPTH:  # where all deeper elements are, one place per label
                         seen[name] += 1
                         last = name
                     runs.setdefault((name, seen[name]), []).append(child)
         for run in runs.values():
-            place[1].append(build(run))
+            place[1].append(build(run, depth + 1))
         return place
 
-    return build([root])
+    return build([root], 1)
 
 
 def simple_tree_matching(one: list, other: list, memo: dict) -> int:
@@ -302,8 +337,7 @@ def texts_of(root: Node, places: int) -> list[list[str]]:
 
 
 def digest(text: str) -> str:
-    raw = text.encode("utf-8", "surrogatepass")
-    return f"{zlib.crc32(raw):08x}{zlib.adler32(raw):08x}"
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
 def node_keys(template: list, page: list) -> list[str]:

@@ -125,3 +125,64 @@ def test_both_ways_to_the_templates_agree(spark, monkeypatch):
     first = sorted(html.extracted(pages).collect())
     monkeypatch.setattr(html, "BROADCAST_BYTES", -1)
     assert sorted(html.extracted(pages).collect()) == first and len(first) == pages.count()
+
+
+DEEP = {
+    "nested": "<div>" * 100_000 + "deep text" + "</div>" * 100_000,
+    "unclosed": "<div>" * 100_000 + "deep text",
+    "mixed": "<div><p><ul><li>" * 25_000 + "deep text",
+    "tables": "<table><tr><td>" * 20_000 + "deep text",
+    "ends without start": "<div>" * 50_000 + "</p></td></li>" * 20_000 + "deep text",
+    "inline": "<b>" * 50_000 + "deep text",
+}
+
+
+def test_pages_of_any_depth(spark):
+    rows = [(i, f"http://deep.example/{i}", page) for i, page in enumerate(DEEP.values())]
+    rows += [(100 + i, f"http://deep.example/x{i}", f"<div>page {i}</div>") for i in range(10)]
+    found = {r.page_id: r.text for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == "deep text" for i in range(len(DEEP))) and found[103] == "page 3"
+
+
+def test_text_around_deep_elements_keeps_its_order():
+    n = 700
+    page = "".join(f"<div>a{i} " for i in range(n)) + "".join(f"b{i} </div>" for i in reversed(range(n)))
+    root = html.parse(page)
+    html.skeleton(root)
+    wanted = [f"a{i}" for i in range(n - 1)] + [f"a{n - 1} b{n - 1}"] + [f"b{i}" for i in reversed(range(n - 1))]
+    assert html.main_blocks(root, {}) == wanted
+
+
+def test_what_is_dropped_stays_dropped_however_deep():
+    page = "<div>" * 300 + "<nav>menu<div>more <div>menu</div> still</div></nav>text<div class='ad'>buy<div>now</div></div>" + "</div>" * 300 + "end"
+    root = html.parse(page)
+    html.skeleton(root)
+    assert html.main_blocks(root, {}) == ["text", "end"]
+
+
+@pytest.mark.parametrize("name", ["post-comment-policy-article", "ad-hoc", "share-price", "relatedness", "headline", "adsorption"])
+def test_class_words_count_as_a_whole(name):
+    root = html.parse(f"<div class='{name}'>text</div>")
+    html.skeleton(root)
+    assert html.main_blocks(root, {}) == ["text"]
+
+
+@pytest.mark.parametrize("name", ["ad", "site-footer", "cookieBanner", "ad-slot-3", "comment_list", "x sidebar", "nav-left"])
+def test_classes_of_no_article(name):
+    root = html.parse(f"<div class='{name}'>text</div>")
+    html.skeleton(root)
+    assert html.main_blocks(root, {}) == []
+
+
+def test_a_template_alone_removes_what_its_pages_share(spark):
+    """Neutral tags and classes: only the template tells menu and notice from the article, and a page's own text stays."""
+    page = "<div class=x1>Home Products About</div><div class=x2><p>Own words of page {i} number {i}</p><p>second {j}</p></div><div class=x3>All of this is ours</div>"
+    rows = [(i, f"http://same.example/{i}", page.format(i=i, j=i * 7)) for i in range(20)]
+    frame = spark.createDataFrame(rows + [rows[0]], "page_id long, url string, html string")
+    for name in ("host", "tree", "same", "salt"):
+        frame = frame.selectExpr("*", f"'7' as {name}") if name not in frame.columns else frame
+    found = html.extracted(frame).collect()
+    assert len(found) == 21 and all(r.text == f"Own words of page {r.page_id} number {r.page_id}\nsecond {r.page_id * 7}" for r in found)
+    alone = html.extracted(frame.limit(1)).first().text
+    assert alone.startswith("Home Products About\n") and alone.endswith("All of this is ours")
+    assert html.extracted(frame.limit(0)).count() == 0
