@@ -1,6 +1,6 @@
 """Checksums of a table's rows as a multiset: the order of rows and their files do not matter, every copy counts.
 
-A checksum is the row count, the sum of one hash of each row and the exclusive or of another. Each merges map-side, so
+A checksum is the row count, the sum of a hash of each row and the exclusive or of that hash mixed again. Each merges map-side, so
 a table of any size sends one row per task, and any aggregate over the table can carry the checksum along.
 """
 
@@ -22,6 +22,13 @@ SUMS = tuple(f"checksum_sum_{i}" for i in range(_PARTS))
 FIELDS = (ROWS, *SUMS, XOR)
 
 
+def _null_masks(values: list[Column]) -> list[Column]:
+    """Which of the columns are NULL, as bits of whole numbers: a hash by itself skips NULL."""
+    bits = [F.when(value.isNull(), F.lit(1 << i % 62)).otherwise(F.lit(0)).cast("long") for i, value in enumerate(values)]
+    groups = [bits[i : i + 62] for i in range(0, len(bits), 62)]
+    return [reduce(lambda a, b: a.bitwiseOR(b), group) for group in groups] or [F.lit(0).cast("long")]
+
+
 def _marked(values: list[Column]) -> list[Column]:
     return [part for value in values for part in (value.isNull(), value)]
 
@@ -39,9 +46,9 @@ def short_keys(df: DataFrame, names) -> list[Column]:
 
 def checksum(values: list[Column]) -> dict[str, Column]:
     """Aggregates that make up the checksum of these columns. NULL differs from every value, and in each column."""
-    marked = _marked(values)
-    summed = F.xxhash64(*marked) if marked else F.lit(0).cast("long")
-    mixed = F.xxhash64(F.lit(_PARTS), *reversed(marked))
+    # one hash over the row; the exclusive or takes a mix of it, so that the generated code stays small
+    summed = F.xxhash64(*values, *_null_masks(values))
+    mixed = F.xxhash64(summed)
     parts = [F.shiftrightunsigned(summed, _BITS * i).bitwiseAND(F.lit((1 << _BITS) - 1)) for i in range(_PARTS)]
     zero = F.lit(0).cast("long")
     sums = {name: F.coalesce(F.sum(part), zero) for name, part in zip(SUMS, parts, strict=True)}
