@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_stage_names_and_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "language_id", "near_duplicates", "repeated_passages", "sequence_packing"]
-    assert {f"op{i}" for i in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
