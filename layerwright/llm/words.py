@@ -104,14 +104,26 @@ def find_words(texts: pa.StringArray, lower: bool = False) -> Words:
     return Words(data, offsets, starts, ends, span_keys(data, starts, ends), first)
 
 
+_FACTOR = 0xC2B2AE3D27D4EB4F
+
+
 def window_keys(keys: np.ndarray, size: int) -> np.ndarray:
-    """A key for each run of ``size`` words, by its first word; the last ``size - 1`` words start none."""
+    """A key for each run of ``size`` words, by its first word; the last ``size - 1`` words start none.
+
+    Runs of 1, 2, 4, ... words are doubled and joined to ``size``, so long runs cost a few passes only."""
     if len(keys) < size:
         return np.zeros(0, np.uint64)
-    out = keys[: len(keys) - size + 1].copy()
-    for k in range(1, size):
-        out = out * np.uint64(0xC2B2AE3D27D4EB4F) + keys[k : len(keys) - size + 1 + k]
-    return mix(out)
+    power, have, out, done = keys, 1, None, 0
+    while True:
+        factor = np.uint64(pow(_FACTOR, have, 1 << 64))
+        if size & have:
+            count = len(keys) - done - have + 1
+            out = power[:count] if out is None else out[:count] * factor + power[done : done + count]
+            done += have
+        if done == size:
+            return mix(out)
+        count = len(keys) - 2 * have + 1
+        power, have = power[:count] * factor + power[have : have + count], 2 * have
 
 
 def inside(words: Words, size: int) -> np.ndarray:
