@@ -8,12 +8,13 @@ their members share and those bits. A search adds up the differing shared bits a
 sum exceeds the limit. A group gives links that connect its members, not all pairs; components of these links are the
 components of all links.
 
-Groups that hold more fingerprints than ``GROUP`` are cut into chunks by Gray order, and every pair of chunks becomes
-a group, so no task holds more than two chunks.
+Groups that hold more fingerprints than ``GROUP`` are dealt into chunks by a hash, and every pair of chunks becomes
+a group, so no task holds more than about two chunks.
 
 Defined results. A null, empty or blank text has no shingle and fingerprint zero, linked like any other. Repeated rows
 are linked, as they have the same fingerprint. A null doc_id keeps its fingerprint; its component is the smallest
 doc_id that is not null, or null. Columns other than doc_id and text are not looked at. An empty table gives no rows.
+A very long text is never cut; one task holds its words and hashes.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-FINGERPRINTED = "doc_id long, code long"
+FINGERPRINTED = "doc_id long, mark long, code long"
 
 
 def _fingerprint(rows: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -73,7 +74,8 @@ def _fingerprint(rows: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Re
     for batch in rows:
         for part in pieces_of(batch, "text", 2 << 20):
             codes = fingerprints(strings(part.column("text")), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(codes)], schema=schema)
+            own = part.column("doc_id").cast(pa.int64()), part.column("mark")
+            yield pa.RecordBatch.from_arrays([*own, pa.array(codes)], schema=schema)
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -209,8 +211,13 @@ def _parts(codes: DataFrame, most: int) -> DataFrame:
 
 def linked(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
     """``doc_id, code, component_id`` of each document; ``code`` is the fingerprint as a signed 64-bit number."""
-    made = map_batches(docs.select("doc_id", "text"), partial(_fingerprint, shingle=shingle), FINGERPRINTED)
-    made = stage_table(made, "fingerprints")
+    return _grouped(docs, most, shingle).select("doc_id", "code", "component_id")
+
+
+def _grouped(docs: DataFrame, most: int, shingle: int) -> DataFrame:
+    """``doc_id, mark, code, root, component_id``: a mark of the text, and the code that stands for the component."""
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    made = stage_table(map_batches(marked, partial(_fingerprint, shingle=shingle), FINGERPRINTED), "fingerprints")
     first = made.groupBy("code").agg(F.min("doc_id").alias("first"))
     first = stage_table(first, "codes")
     parts = _parts(first.select("code"), most).repartition("part").sortWithinPartitions("part", "code")
@@ -221,8 +228,8 @@ def linked(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
     )
     # a table of its own, so that adaptive execution may split the join of a hot component
     roots = stage_table(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
-    named = rooted.join(roots, "root").select("code", "component_id")
-    return made.join(named, "code").select("doc_id", "code", "component_id")
+    named = rooted.join(roots, "root").select("code", "root", "component_id")
+    return made.join(named, "code").select("doc_id", "mark", "code", "root", "component_id")
 
 
 def hex_code(column: str = "code"):
@@ -230,10 +237,15 @@ def hex_code(column: str = "code"):
 
 
 def deduplicated(docs: DataFrame, most: int = 4, shingle: int = 4) -> DataFrame:
-    """The documents whose doc_id is the smallest of their component, with all columns. Of repeated rows with this
-    doc_id one stays. Rows without doc_id cannot be told apart and all stay."""
-    heads = linked(docs, most, shingle).filter("doc_id = component_id").select("doc_id").distinct()
-    number = fresh_name(docs, "row_number")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = docs.join(heads, "doc_id", "left_semi").select(*docs.columns).withColumn(number, F.row_number().over(order))
-    return kept.filter(F.col(number) == 1).drop(number).unionAll(docs.filter("doc_id is null"))
+    """One document of each component, with all columns: that with the smallest doc_id. Of repeated rows one stays. Rows
+    that share a doc_id and differ in text count as documents of their own, each in its text's component; where one
+    component holds several texts of its smallest doc_id, that with the smallest fingerprint stays. Rows without doc_id
+    cannot be told apart and all stay."""
+    own = _grouped(docs, most, shingle).filter("doc_id = component_id")
+    heads = own.groupBy("root").agg(F.min(F.struct("code", "doc_id", "mark")).alias("head")).select("head.doc_id", "head.mark")
+    mark, number = fresh_name(docs, "mark"), fresh_name(docs, "row_number")
+    order = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64(*docs.columns))
+    heads = heads.withColumnRenamed("mark", mark)
+    kept = docs.withColumn(mark, F.xxhash64("text")).join(heads, ["doc_id", mark], "left_semi").select(*docs.columns, mark)
+    kept = kept.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).select(*docs.columns)
+    return kept.unionAll(docs.filter("doc_id is null"))

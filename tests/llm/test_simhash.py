@@ -88,6 +88,14 @@ def test_one_document_of_each_group_stays(docs, prose):
     assert sorted(i for i in ids if i is not None) == sorted(set(want.values())) and ids.count(None) == 2
 
 
+def test_texts_that_share_a_doc_id(docs, prose):
+    one, two, three, four = (prose(80, i) for i in (1, 2, 3, 4))
+    rows = [(5, one), (5, two), (5, two), (9, one), (8, two), (7, three), (6, four), (7, four)]
+    out = simhash.deduplicated(docs(*rows, clash=True)).collect()
+    # 5 stays for both its texts, 7 for its first; its second belongs to 6
+    assert sorted((r.doc_id, r.text) for r in out) == sorted([(5, one), (5, two), (7, three), (6, four)])
+
+
 def test_null_ids_and_empty_table(docs):
     out = simhash.linked(docs((None, "a b c d e"), (5, "a b c d e"), (None, "q w e r t"))).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in out) == [(-1, -1), (-1, 5), (5, 5)]
