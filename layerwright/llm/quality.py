@@ -9,14 +9,15 @@ Defined results. A null or empty text has no words: all counts 0, ``base_failed`
 A document without a language adds to no reference but is judged like the others. Without any reference (no document
 with a language passes the count rules) the distances are null and the count rules alone decide. Repeated rows are
 judged alike, each by itself. Ties between common words go to the smaller word, between languages to the smaller name.
-Very long texts are held by one task, at some 60 bytes of memory per byte of text.
+Very long texts are held by one task, at some 60 bytes of memory per byte of text. Every language has its reference, however
+many there are; texts are compared with a bounded number of languages at once, over the words they have in common.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from layerwright.llm.words import find_words, inside, per_text, window_keys
 
 SYMBOLS = b"#*$%&|<>"
 SLICE = 2 << 20  # bytes of text that are worked on at once
+CELLS = 500_000  # distances of texts from languages that are held at once
+POSTINGS = 1_000_000  # common words of texts, once per language that has them, that are held at once
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "stop", "mark", "beyond_ascii", "control")
 _PLAIN = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 JUDGED = (
@@ -48,7 +51,6 @@ class Limits:
     word_distance: float = 0.50
     word_chance: float = 0.6
     beyond_chance: float = 0.08  # a text drawn from the reference itself is this far within the limit on average
-    languages: int = 256  # the languages with most documents get references; others are judged against these
 
 
 def _classes() -> np.ndarray:
@@ -163,33 +165,40 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    langs: list[str]
+    langs: list[str]  # sorted
     classes: np.ndarray  # language x class, shares
     keys: np.ndarray  # of all common words, sorted
-    columns: list[np.ndarray]  # per language, where its words are in keys
-    shares: list[np.ndarray]  # per language, of its words and of all others
-    chance: list[np.ndarray]  # per language, the distance by chance at LENGTHS
+    first: np.ndarray  # per key, and one more, where its languages begin in the next two
+    lang_of: np.ndarray
+    share_of: np.ndarray
+    rest: np.ndarray  # per language, the share of all other words
+    chance: np.ndarray  # language x length, the distance by chance at LENGTHS
 
 
 def read_model(refs: DataFrame, limits: Limits = Limits()) -> Model:
-    """The references on the driver: at most ``languages`` times ``common_words`` and a few rows."""
-    top = refs.filter("kind = 'documents'").orderBy(F.desc("n"), "lang").limit(limits.languages)
-    kept = [row.lang for row in top.collect()]
-    rows = refs.filter(F.col("lang").isin(kept)).collect() if kept else []
-    langs = sorted(kept)
-    by = {lang: {} for lang in langs}
-    for row in rows:
-        by[row.lang].setdefault(row.kind, {})[bytes(row.item)] = row.n
-    classes, keys, shares = [], [], []
-    for lang in langs:
-        counts = np.array([by[lang]["class"].get(c.encode(), 0) for c in CLASSES], float)
-        classes.append(counts / counts.sum())
-        total, words = by[lang]["words"][b""], sorted(by[lang]["word"].items())
-        keys.append(find_words(pa.array([w.decode() for w, _ in words])).keys)
-        n = np.array([n for _, n in words], float)
-        shares.append(np.append(n, total - n.sum()) / total)
-    every = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
-    return Model(langs, np.array(classes), every, [np.searchsorted(every, k) for k in keys], shares, [by_chance(s) for s in shares])
+    """The references of every language on the driver: ``common_words`` numbers and a few more per language."""
+    rows = refs.select("lang", "kind", "item", "n").toArrow()
+    at = {lang: i for i, lang in enumerate(sorted(set(rows.column("lang").to_pylist())))}
+    size = len(at)
+    lang = np.array([at[x] for x in rows.column("lang").to_pylist()], np.int64)
+    kind, item = np.array(rows.column("kind").to_pylist(), object), np.array(rows.column("item").to_pylist(), object)
+    n = rows.column("n").to_numpy()
+    classes = np.zeros((size, len(CLASSES)))
+    for i, name in enumerate(CLASSES):
+        mine = (kind == "class") & (item == name.encode())
+        classes[lang[mine], i] = n[mine]
+    totals = np.zeros(size)
+    totals[lang[kind == "words"]] = n[kind == "words"]
+    word = kind == "word"
+    keys = find_words(pa.array([w.decode() for w in item[word]], pa.string())).keys
+    owner, share = lang[word], n[word] / totals[lang[word]]
+    order = np.lexsort((owner, keys))
+    keys, owner, share = keys[order], owner[order], share[order]
+    every, first = np.unique(keys, return_index=True)
+    rest = np.clip(1 - np.bincount(owner, share, size), 0, 1)
+    chance = np.array([by_chance(np.append(share[owner == i], rest[i])) for i in range(size)]).reshape(size, len(LENGTHS))
+    whole = np.maximum(classes.sum(1, keepdims=True), 1)
+    return Model(list(at), classes / whole, every, np.append(first, len(keys)), owner, share, rest, chance)
 
 
 def distance(counts: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -202,23 +211,73 @@ def distance(counts: np.ndarray, share: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0, 1))
 
 
+def _part(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """What a bin with the shares p and q adds to twice the squared distance."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(p > 0, p * np.log2(2 * p / (p + q)), 0) + np.where(q > 0, q * np.log2(2 * q / (p + q)), 0)
+
+
+def class_distances(classes: np.ndarray, model: Model) -> np.ndarray:
+    """Language x text: the distance of the texts' class counts from each language."""
+    p = classes / np.maximum(classes.sum(1, keepdims=True), 1)
+    total = np.zeros((len(model.langs), len(classes)))
+    for i in range(classes.shape[1]):
+        total += _part(p[None, :, i], model.classes[:, i, None])
+    return np.sqrt(np.clip(total / 2, 0, 1))
+
+
+def word_distances(owner: np.ndarray, keys: np.ndarray, n_words: np.ndarray, model: Model) -> np.ndarray:
+    """Language x text: the distance of the texts' words from each language. Only words that a text has and a language
+    counts as common are looked at: a bin that the text leaves empty adds its share, so those add up to what is left."""
+    size, n = len(model.langs), len(n_words)
+    at = np.minimum(np.searchsorted(model.keys, keys), len(model.keys) - 1)
+    known = model.keys[at] == keys
+    pairs, times = np.unique(owner[known] * len(model.keys) + at[known], return_counts=True)
+    text, at = pairs // len(model.keys), pairs % len(model.keys)
+    seen, met = np.zeros(size * n), np.zeros(size * n)
+    found = np.zeros(size * n)
+    fan = model.first[at + 1] - model.first[at]
+    ends = np.cumsum(fan)
+    begin = 0
+    while begin < len(pairs):  # a bounded number of (text, word, language) at once
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + POSTINGS, "right")))
+        width = fan[begin:end]
+        of = np.repeat(np.arange(begin, end), width)
+        post = model.first[at[of]] + np.arange(len(of)) - np.repeat(np.cumsum(width) - width, width)
+        cell, q = model.lang_of[post] * n + text[of], model.share_of[post]
+        p = times[of] / n_words[text[of]]
+        found += np.bincount(cell, _part(p, q), size * n)
+        seen += np.bincount(cell, times[of], size * n)
+        met += np.bincount(cell, q, size * n)
+        begin = end
+    found, seen, met = (x.reshape(size, n) for x in (found, seen, met))
+    rest = np.broadcast_to(model.rest[:, None], (size, n))
+    others = np.maximum(n_words - seen, 0) / np.maximum(n_words, 1)
+    return np.sqrt(np.clip((found + _part(others, rest) + np.maximum(1 - rest - met, 0)) / 2, 0, 1))
+
+
 LENGTHS = np.array([50, 70, 100, 140, 200, 280, 400, 800, 1600, 6400])
 
 
 def by_chance(share: np.ndarray) -> np.ndarray:
-    """The usual distance from the shares of texts of LENGTHS words that are drawn from them."""
+    """The usual distance from the shares of texts of LENGTHS words that are drawn from them. A bin adds a function of
+    the words expected in it alone, over the length of the text."""
+    usual = np.log(_EXPECTED), _by_expected()
+    share = np.maximum(share[share > 0], 1e-6)
+    return np.array([(np.interp(np.log(n * share), *usual).sum() / n) ** 0.5 for n in LENGTHS])
+
+
+_EXPECTED = np.geomspace(1e-6 * LENGTHS[0], LENGTHS[-1], 2000)
+
+
+@cache
+def _by_expected() -> np.ndarray:
+    """What a bin with so many words expected adds on average, times the length, if their number is a Poisson one."""
     out = []
-    for n in LENGTHS:
-        total = 0.0
-        for s, times in zip(*np.unique(np.round(share[share > 0], 6), return_counts=True), strict=True):
-            s, mean = max(s, 1e-6), n * max(s, 1e-6)
-            k = np.arange(max(0, int(mean - 8 * mean**0.5)), int(mean + 8 * mean**0.5 + 12))
-            log_p = k * np.log(mean) - mean - np.cumsum(np.r_[_log_factorial(k[0]), np.log(k[1:])])
-            x, m = k / n, (k / n + s) / 2
-            with np.errstate(divide="ignore", invalid="ignore"):
-                part = np.where(x > 0, x * np.log2(x / m), 0) + s * np.log2(s / m)
-            total += times * float((np.exp(log_p) * part).sum()) / 2
-        out.append(max(total, 0.0) ** 0.5)
+    for mean in _EXPECTED:
+        k = np.arange(max(0, int(mean - 8 * mean**0.5)), int(mean + 8 * mean**0.5 + 12))
+        log_p = k * np.log(mean) - mean - np.cumsum(np.r_[_log_factorial(k[0]), np.log(k[1:])])
+        out.append(max(float((np.exp(log_p) * _part(k.astype(float), np.array(mean))).sum()) / 2, 0.0))
     return np.array(out)
 
 
@@ -226,6 +285,26 @@ def _log_factorial(k: int) -> float:
     return float(np.log(np.arange(1, k + 1)).sum())
 
 
+def _nearest(got: dict, rows: slice, model: Model, limits: Limits) -> tuple:
+    """Of some texts: the nearest language, how far beyond its limit they are, both distances and whether they count."""
+    words, n_words, classes = got["words"], got["n_words"][rows], got["classes"][rows]
+    keys = words.keys[words.first[rows.start] : words.first[rows.stop]]
+    by_class = class_distances(classes, model)
+    by_word = word_distances(np.repeat(np.arange(len(n_words)), n_words), keys, n_words, model)
+    n_chars = classes.sum(1)
+    enough_chars, enough_words = n_chars >= limits.min_chars, n_words >= limits.min_common
+    most_char = limits.char_distance + limits.char_chance / np.sqrt(np.maximum(n_chars, 1))
+    most_word = limits.word_distance + limits.word_chance / np.sqrt(np.maximum(n_words, 1))
+    left = np.clip(np.searchsorted(LENGTHS, n_words, "right") - 1, 0, len(LENGTHS) - 2)
+    part = np.clip((n_words - LENGTHS[left]) / (LENGTHS[left + 1] - LENGTHS[left]), 0, 1)
+    usual = model.chance[:, left] * (1 - part) + model.chance[:, left + 1] * part
+    most_word = np.maximum(most_word, usual + limits.beyond_chance)
+    excess = np.maximum(np.where(enough_chars, by_class / most_char, 0), np.where(enough_words, by_word / most_word, 0))
+    best = excess.argmin(0) * (enough_chars | enough_words)
+    at = best, np.arange(len(n_words))
+    return best, excess.min(0), by_class[at], by_word[at], enough_chars, enough_words
+
+
 def _judge(rows: Iterator[pa.RecordBatch], model: Model, limits: Limits) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(JUDGED)
     for batch in rows:
@@ -235,30 +314,13 @@ def _judge(rows: Iterator[pa.RecordBatch], model: Model, limits: Limits) -> Iter
             columns = {k: got[k].tolist() for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
             kept, chars, common, nearest = ~got["base_failed"], None, None, [None] * n
             if model.langs:
-                at = np.minimum(np.searchsorted(model.keys, words.keys), len(model.keys) - 1)
-                known = model.keys[at] == words.keys
-                size = len(model.keys)
-                bins = np.bincount(words.owner[known] * size + at[known], minlength=n * size).reshape(n, size)
-                by_class = np.array([distance(got["classes"], s) for s in model.classes])
-                by_word = []
-                for index, share in zip(model.columns, model.shares, strict=True):
-                    own = bins[:, index]
-                    by_word.append(distance(np.column_stack([own, got["n_words"] - own.sum(1)]), share))
-                by_word = np.array(by_word)
-                n_chars = got["classes"].sum(1)
-                enough_chars, enough_words = n_chars >= limits.min_chars, got["n_words"] >= limits.min_common
-                most_char = limits.char_distance + limits.char_chance / np.sqrt(np.maximum(n_chars, 1))
-                most_word = limits.word_distance + limits.word_chance / np.sqrt(np.maximum(got["n_words"], 1))
-                usual = np.array([np.interp(got["n_words"], LENGTHS, c) for c in model.chance])
-                most_word = np.maximum(most_word, usual + limits.beyond_chance)
-                excess = np.maximum(
-                    np.where(enough_chars, by_class / most_char, 0), np.where(enough_words, by_word / most_word, 0)
-                )
-                best = excess.argmin(0) * (enough_chars | enough_words)
-                pick = lambda table, ok: [float(x) if o else None for x, o in zip(table[best, np.arange(n)], ok, strict=True)]
+                step = max(1, CELLS // len(model.langs))
+                near = [_nearest(got, slice(a, min(a + step, n)), model, limits) for a in range(0, n, step)]
+                best, excess, by_class, by_word, enough_chars, enough_words = map(np.concatenate, zip(*near, strict=True))
+                pick = lambda values, ok: [x if o else None for x, o in zip(values.tolist(), ok, strict=True)]
                 chars, common = pick(by_class, enough_chars), pick(by_word, enough_words)
                 nearest = [model.langs[b] if o else None for b, o in zip(best, enough_chars | enough_words, strict=True)]
-                kept = kept & (excess.min(0) <= 1)
+                kept = kept & (excess <= 1)
             columns |= {
                 "doc_id": part.column("doc_id").to_pylist(),
                 "base_failed": got["base_failed"].tolist(),

@@ -69,3 +69,53 @@ def test_filter_keeps_columns_and_agrees_with_verdicts(sample):
 
 def test_empty_table(docs):
     assert quality.judge(docs().limit(0)).collect() == [] and quality.passed(docs().limit(0)).collect() == []
+
+
+def test_every_language_has_its_reference(docs):
+    """More languages than any list of common ones; half of the common words are shared by all."""
+    shared = [f"all{k}" for k in range(20)]
+    text = lambda lang, i: " ".join(w for k in range(60) for w in (shared[(k + i) % 20], f"w{lang}x{(k * 7 + i) % 30}"))
+    rows = [(lang * 2 + i, text(lang, i), f"l{lang:03d}") for lang in range(300) for i in range(2)]
+    out = quality.judge(docs(*rows)).collect()
+    assert len(out) == 600 and all(r.kept and r.nearest_lang == f"l{r.doc_id // 2:03d}" for r in out)
+
+
+def test_sparse_distances_by_definition(docs, prose, monkeypatch):
+    rows = [(i, prose(60 + i, i) + " " + f"own{i % 3} " * (i % 7), f"l{i % 3}") for i in range(30)]
+    refs = quality.references(docs(*rows), quality.Limits(common_words=40))
+    model = quality.read_model(refs)
+    stored = {}
+    for r in refs.collect():
+        stored.setdefault((r.lang, r.kind), {})[bytes(r.item).decode()] = r.n
+    texts = [t for _, t, _ in rows] + ["none of these " * 20]
+    got = quality._measure(quality.strings(quality.pa.array(texts)), quality.Limits())
+    words = got["words"]
+    for bound in (1_000_000, 7):
+        monkeypatch.setattr(quality, "POSTINGS", bound)
+        by_word = quality.word_distances(words.owner, words.keys, got["n_words"], model)
+        by_class = quality.class_distances(got["classes"], model)
+        for i, lang in enumerate(model.langs):
+            common, total = stored[lang, "word"], stored[lang, "words"][""]
+            share = np.array([*common.values(), total - sum(common.values())]) / total
+            classes = np.array([stored[lang, "class"].get(c, 0) for c in quality.CLASSES], float)
+            for j, text in enumerate(texts):
+                counts = Counter(text.split())
+                own = [counts[w] for w in common]
+                row = np.array([[*own, sum(counts.values()) - sum(own)]], float)
+                assert abs(by_word[i, j] - quality.distance(row, share)[0]) < 1e-7
+                assert abs(by_class[i, j] - quality.distance(got["classes"][j : j + 1], classes / classes.sum())[0]) < 1e-7
+    monkeypatch.setattr(quality, "CELLS", 5)
+    few = {r.doc_id: r for r in quality.judge(docs(*rows)).collect()}
+    monkeypatch.undo()
+    assert few == {r.doc_id: r for r in quality.judge(docs(*rows)).collect()}
+
+
+def test_distance_by_chance():
+    share = np.array([0.3, 0.2, 0.1, 0.05, 0.35])
+    rng = np.random.default_rng(1)
+    for i, n in enumerate(quality.LENGTHS[:6]):
+        drawn = rng.poisson(n * share, (20_000, len(share))) / n
+        m = (drawn + share) / 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            part = np.where(drawn > 0, drawn * np.log2(drawn / m), 0) + share * np.log2(share / m)
+        assert abs(quality.by_chance(share)[i] - (part.sum(1).mean() / 2) ** 0.5) < 2e-3
