@@ -30,6 +30,7 @@ from layerwright.llm.words import text_bytes
 
 CAPACITY = 2048
 SHARD = 2048
+SLICE = 1 << 20  # bytes of text that are worked on at once
 ISLANDS = 2
 END = 0
 _ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
@@ -92,7 +93,7 @@ def _cut(rows: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: boo
     schema = arrow_schema(PIECES + (", ids array<long>" if with_ids else ""))
     words, end = _word_ids(path), np.array([END], "<u4").tobytes()
     for batch in rows:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", SLICE):
             out = {name: [] for name in schema.names}
             texts = strings(part.column("text"))
             data, _ = text_bytes(texts)

@@ -28,7 +28,7 @@ from layerwright.llm.spark import arrow_schema, batches, map_batches, pieces_of,
 from layerwright.llm.words import find_words, inside, per_text, window_keys
 
 SYMBOLS = b"#*$%&|<>"
-SLICE = 2 << 20  # bytes of text that are worked on at once
+SLICE = 1 << 20  # bytes of text that are worked on at once
 CELLS = 500_000  # distances of texts from languages that are held at once
 POSTINGS = 1_000_000  # common words of texts, once per language that has them, that are held at once
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "stop", "mark", "beyond_ascii", "control")
