@@ -1,12 +1,13 @@
 """Repeated passages: shared seeds, collinear chains, aligned chains.
 
 1. Seeds are runs of ``k`` words (lower case), of which a text keeps the minimizers of ``w`` neighbours, so an equal
-   run of ``k + w - 1`` words shares one. Long seeds are runs of ``min_words`` words, chosen so of ``long_w`` neighbours. Within a task each
-   seed's occurrences are linked to the document before and to the first, by document number, and only those in the first go
-   on; these are linked the same way across tasks. So links grow with the occurrences, never with their square, and a seed
-   that a third of all documents hold shuffles as many rows as there are tasks. Short seeds that are scattered over many
-   documents may name other partners than the one that holds the whole passage; a long seed is a passage of its own and
-   names a document that holds all of it, so no equal run of ``min_words + long_w - 1`` words is lost, whoever else holds parts.
+   run of ``k + w - 1`` words shares one. Long seeds are runs of ``min_words`` words, chosen so of ``long_w`` neighbours; each is a
+   passage of its own. Long seeds give membership: an occurrence names the first holder and the one before. Within a task these
+   links are made first, and only occurrences in the first document go on, so they grow with the occurrences, never with their
+   square, and no equal run of ``min_words + long_w - 1`` words is lost. Words that a long seed names an earlier holder for are
+   copies; the holder stands for them. Of the short seeds all other occurrences are linked with each other, every pair of documents,
+   so passages that differ are found between all that hold one of their own. Seeds with more than ``LIGHT`` such occurrences are
+   compared in blocks, by the words around them: pairs that cannot reach ``min_identity`` there give no link.
 2. The links of a pair of documents are anchors. Anchors on one diagonal at minimizer distance are one segment. Segments that
    follow each other in both texts are chained: a segment's weight is its words, a gap costs a share of its words on both
    sides. That cost splits into a part of either end, so the best predecessor is a prefix maximum in a Fenwick tree
@@ -15,7 +16,8 @@
    A passage has ``min_words`` words or more on both sides and a share of equal words of ``min_identity`` or more. A chain
    with too few equal words is split at gaps into the parts that pass.
 
-A passage belongs to the later document (greater doc_id) and names an earlier holder, so the first holder is never cut.
+A passage belongs to the later document (greater doc_id) and names an earlier holder, so the first holder is never cut. A
+document's copy of a run that others hold too names holders of that run; its links to what is like the run are theirs.
 
 Defined results. Null, empty and short texts hold no passage. Rows without doc_id are not compared, and kept. Rows that
 repeat a doc_id with the same text count once; with different texts their seeds are taken together and positions are
@@ -95,13 +97,12 @@ def _minimizers(words: Words, k: int, w: int) -> tuple[np.ndarray, np.ndarray, n
     return owner[chosen], chosen - words.first[owner[chosen]], keys[chosen]
 
 
-def _both_seeds(words: Words, rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Short and long seeds. The last bit of a key is one for the long ones."""
-    short, long = _minimizers(words, rules.k, rules.w), _minimizers(words, rules.min_words, rules.long_w)
-    text, pos, key = (np.concatenate(x) for x in zip(short, long, strict=True))
-    key &= ~np.uint64(1)
-    key[len(short[2]) :] |= np.uint64(1)
-    return text, pos, key
+def _short(keys: np.ndarray) -> np.ndarray:
+    return (keys & ~np.uint64(1)).view(np.int64)
+
+
+def _long(keys: np.ndarray) -> np.ndarray:
+    return (keys | np.uint64(1)).view(np.int64)
 
 
 LINKS = "seed long, doc_id long, pos int, other_id long, other_pos int"
@@ -122,7 +123,7 @@ def link_sorted(seed, doc) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return np.concatenate([later, far]), np.concatenate([before, first[far]]), first, own
 
 
-def _seeds(rows: Iterator[pa.RecordBatch], rules: Rules, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+def _long_seeds(rows: Iterator[pa.RecordBatch], rules: Rules, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Of each task: the links within it, and each seed's occurrences in the first document, which link to nothing yet."""
     schema = arrow_schema(LINKS)
     held, size = [], 0
@@ -147,10 +148,10 @@ def _seeds(rows: Iterator[pa.RecordBatch], rules: Rules, most: int = 3_000_000)
         return pa.RecordBatch.from_arrays([pa.array(seed), pa.array(doc), pa.array(pos), *other], schema=schema)
 
     for batch in rows:
-        for part in pieces_of(batch, "text", 4 << 20):
-            text, pos, key = _both_seeds(find_words(strings(part.column("text")), lower=True), rules)
+        for part in pieces_of(batch, "text", 1 << 20):
+            text, pos, key = _minimizers(find_words(strings(part.column("text")), lower=True), rules.min_words, rules.long_w)
             doc = part.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
-            held.append((key.view(np.int64), doc[text], pos.astype(np.int32)))
+            held.append((_long(key), doc[text], pos.astype(np.int32)))
             size += len(key)
             if size > most:
                 yield from flush()
@@ -200,16 +201,269 @@ def _complete(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from done
 
 
-def anchors(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Links between occurrences of a seed: ``doc_id, pos, other_id, other_pos, size`` with ``other_id < doc_id`` and the
-    seed's words. Rows that repeat a document repeat its links."""
-    texts = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
-    found = map_batches(texts, partial(_seeds, rules=rules), LINKS)
+def _long_links(texts: DataFrame, rules: Rules) -> DataFrame:
+    found = map_batches(texts, partial(_long_seeds, rules=rules), LINKS)
     # links that are found stay apart from their seed's other rows, so that a hot seed brings a task no more than its firsts
     key = F.when(F.col("other_id").isNull(), F.col("seed")).otherwise(F.xxhash64("doc_id", "pos"))
     dealt = found.repartition(key).sortWithinPartitions("seed", "doc_id", "pos")
-    size = F.when(F.col("seed").bitwiseAND(1) == 1, rules.min_words).otherwise(rules.k)
-    return map_batches(dealt, _complete, LINKS).withColumn("size", size).drop("seed")
+    return map_batches(dealt, _complete, LINKS)
+
+
+SEEDS = "seed long, doc_id long, pos int, size int"
+
+
+def _held_at(keys: np.ndarray, first: int, size: int, at: list[dict], of_text: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and seeds of a list that a text of ``of_text`` words really has; the others are of a row that repeats its doc_id."""
+    pos = np.array([x["pos"] for x in at], np.int64)
+    seed = np.array([x["seed"] for x in at], np.int64)
+    inner = pos + size <= of_text
+    pos, seed = pos[inner], seed[inner]
+    own = keys[first + pos] == seed
+    return pos[own], seed[own]
+
+
+def _fresh_seeds(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
+    """The short seeds of each text but those inside a long seed of ``held``, the ones with an earlier holder."""
+    schema = arrow_schema(SEEDS)
+    for batch in rows:
+        for part in pieces_of(batch, "text", 1 << 20):
+            words = find_words(strings(part.column("text")), lower=True)
+            text, pos, key = _minimizers(words, rules.k, rules.w)
+            doc = part.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
+            held = part.column("held")
+            has = np.flatnonzero(pa.compute.is_valid(held).to_numpy(zero_copy_only=False))
+            if len(has):
+                long_keys = _long(window_keys(words.keys, rules.min_words))
+                reach = np.zeros(len(words.keys) + 1, np.int64)  # of each word, the end of the last held seed that has begun
+                for i in has.tolist():
+                    first, count = int(words.first[i]), int(words.counts[i])
+                    at, _ = _held_at(long_keys, first, rules.min_words, held[i].as_py(), count)
+                    reach[first + at] = first + at + rules.min_words
+                reach = np.maximum.accumulate(reach)  # texts do not overlap, so nor do their ends
+                at = words.first[text] + pos
+                fresh = reach[at] < at + rules.k
+                text, pos, key = text[fresh], pos[fresh], key[fresh]
+            text, pos, key, size = stretches(text, pos, key, rules.k)
+            yield from _rows(schema, _short(key), doc[text], pos, size)
+
+
+def stretches(text: np.ndarray, pos: np.ndarray, key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Occurrences of a seed that follow each other by half its words or less as one, with its words. Such a seed has their
+    distances as periods, so it tells the words of the whole stretch (as in a word that is said a hundred times)."""
+    order = np.lexsort((pos, key, text))
+    text, pos, key = text[order], pos[order], key[order]
+    new = np.r_[True, (text[1:] != text[:-1]) | (key[1:] != key[:-1]) | (pos[1:] - pos[:-1] > k // 2)][: len(pos)]
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(pos)][: len(first)] - 1
+    return text[first], pos[first], key[first], pos[last] - pos[first] + k
+
+
+def _rows(schema: pa.Schema, *columns, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), rows):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + rows], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+LIGHT = 64  # occurrences of a seed that are linked as they come
+BLOCK = 1024  # occurrences of a seed with more that a task compares with as many others
+
+
+PAIRS = "seed long, doc_id long, pos int, other_id long, other_pos int, size int"
+
+
+def _pairs(rows: Iterator[pa.RecordBatch], k: int, light: int = LIGHT) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by seed, document and position. All pairs of different documents of each seed with up to ``light`` rows, by the
+    starts of their stretches and, if these differ in length, by their ends. Of other seeds both ends, linked to nothing."""
+    schema = arrow_schema(PAIRS)
+    carry = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+    hot = None  # the open seed, if it has more rows than that
+
+    def single(seed, doc, pos, size):
+        longer = size > k
+        seed, doc, pos = np.r_[seed, seed[longer]], np.r_[doc, doc[longer]], np.r_[pos, (pos + size - k)[longer]]
+        for at in range(0, len(seed), 100_000):
+            own = [pa.array(x[at : at + 100_000], f.type) for x, f in zip((seed, doc, pos), schema, strict=False)]
+            n = len(own[0])
+            nothing = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())
+            yield pa.RecordBatch.from_arrays([*own, *nothing], schema=schema)
+
+    def linked(seed, doc, pos, size):
+        edges = np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]])
+        sizes = np.diff(np.r_[edges, len(seed)])
+        many = np.repeat(sizes > light, sizes)
+        if many.any():
+            yield from single(seed[many], doc[many], pos[many], size[many])
+        first, later = np.repeat(edges, sizes), np.flatnonzero(~many)
+        for back in range(1, light):
+            later = later[later - back >= first[later]]
+            if not len(later):
+                break
+            a = later[doc[later] != doc[later - back]]
+            b = a - back
+            yield from _rows(schema, seed[a], doc[a], pos[a], doc[b], pos[b], np.minimum(size[a], size[b]))
+            a = a[size[a] != size[b]]
+            b = a - back
+            least = np.minimum(size[a], size[b])
+            yield from _rows(schema, seed[a], doc[a], (pos + size)[a] - least, doc[b], (pos + size)[b] - least, least)
+
+    for batch in rows:
+        own = [np.concatenate([c, batch.column(n).to_numpy(zero_copy_only=False)]) for c, n in zip(carry, ("seed", "doc_id", "pos", "size"), strict=True)]
+        if hot is not None:
+            more = int(np.searchsorted(own[0], hot, side="right"))
+            yield from single(*(c[:more] for c in own))
+            own = [c[more:] for c in own]
+            carry = own
+        if not len(own[0]):
+            continue
+        cut = int(np.searchsorted(own[0], own[0][-1]))
+        hot = None
+        if cut:
+            yield from linked(*(c[:cut] for c in own))
+        carry = [c[cut:] for c in own]
+        if len(carry[0]) > light:
+            hot = int(carry[0][0])
+            yield from single(*carry)
+            carry = [c[:0] for c in carry]
+    if len(carry[0]):
+        yield from linked(*carry)
+
+
+CONTEXTS = "seed long, doc_id long, pos int, before long, back int, words binary"
+
+
+def _drift(rules: Rules) -> int:
+    """Words by which the two sides of ``min_words`` words can be shifted at ``min_identity``."""
+    return int(rules.min_words / rules.min_identity) - rules.min_words
+
+
+def _contexts(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
+    """Of each seed in ``held`` the words around it as 16-bit keys, as far as ``min_words`` words with it and their drift reach, and
+    the seed of the list before it. 0 stands for no word."""
+    schema, side = arrow_schema(CONTEXTS), rules.min_words - rules.k + _drift(rules)
+    width = 2 * side + rules.k
+    for batch in rows:
+        for part in pieces_of(batch, "text", 1 << 20):
+            words = find_words(strings(part.column("text")), lower=True)
+            short_keys = _short(window_keys(words.keys, rules.k))
+            small = (words.keys >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
+            out = {name: [] for name in schema.names}
+            for i, (doc, held) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("held").to_pylist(), strict=True)):
+                first, count = int(words.first[i]), int(words.counts[i])
+                pos, seed = _held_at(short_keys, first, rules.k, sorted(held, key=lambda x: x["pos"]), count)
+                padded = np.r_[np.zeros(side, np.uint16), small[first : first + count], np.zeros(side, np.uint16)]
+                for n, (at, own) in enumerate(zip(pos.tolist(), seed.tolist(), strict=True)):
+                    before = (int(seed[n - 1]), at - int(pos[n - 1])) if n else (0, 0)
+                    for name, value in zip(schema.names, (own, doc, at, *before, padded[at : at + width].tobytes()), strict=True):
+                        out[name].append(value)
+            yield from batches(out, schema, 2_000)
+
+
+def _features(words: np.ndarray) -> np.ndarray:
+    """For each row counts of (word, how many of it came before in the row), hashed to 1,024 columns. The product of two rows is at
+    least the number of words they share, each as often as both have it."""
+    n, width = words.shape
+    order = np.argsort(words, axis=1, kind="stable")
+    ranked = np.take_along_axis(words, order, 1).astype(np.int64)
+    start = np.c_[np.ones((n, 1), bool), ranked[:, 1:] != ranked[:, :-1]]
+    at = np.arange(width)
+    nth = at - np.maximum.accumulate(np.where(start, at, 0), axis=1)
+    column = ((ranked * 40503 + nth * 2654435761) >> 5) & 1023
+    row = np.broadcast_to(np.arange(n)[:, None], column.shape)
+    counted = np.bincount((row * 1024 + column)[ranked > 0], minlength=n * 1024)
+    return counted.reshape(n, 1024).astype(np.float32)
+
+
+def alike(a: np.ndarray, b: np.ndarray, rules: Rules) -> np.ndarray:
+    """Of pairs of contexts, where the last ``min_words`` words with the seed begin of which a share of ``min_identity`` is in the
+    other context too, shifted by no more than the drift; -1 if there are none. It counts from where the first could begin."""
+    side, drift = rules.min_words - rules.k, _drift(rules)
+    inner = slice(drift, drift + 2 * side + rules.k)
+    own = a[:, inner]
+    there = np.zeros(own.shape, bool)
+    for shift in range(2 * drift + 1):
+        there |= own == b[:, shift : shift + own.shape[1]]
+    there &= own > 0
+    sums = np.cumsum(np.c_[np.zeros(len(a), np.int32), there.astype(np.int32)], axis=1)
+    enough = sums[:, rules.min_words :] - sums[:, : -rules.min_words] >= int(rules.min_words * rules.min_identity)
+    return np.where(enough, np.arange(enough.shape[1]), -1).max(axis=1)
+
+
+ANCHORS = "doc_id long, pos int, other_id long, other_pos int, size int"
+
+
+def _compare(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by seed and pair of blocks. The pairs that are alike, with the equal words from the seed on; a pair that is
+    equal back to the seed before, which both have, was given there."""
+    schema, side = arrow_schema(ANCHORS), rules.min_words - rules.k + _drift(rules)
+    names = ("seed", "low", "high", "block", "doc_id", "pos", "before", "back")
+
+    def compared(columns, words):
+        low, high, block, doc, pos, before, back = columns[1:]
+        words = np.frombuffer(b"".join(words), np.uint16).reshape(len(doc), -1)
+        features = _features(words)
+        left = np.flatnonzero(block == low[0])
+        right = left if low[0] == high[0] else np.flatnonzero(block == high[0])
+        least = int(rules.min_words * rules.min_identity)
+        for at in range(0, len(left), 256):
+            some = left[at : at + 256]
+            a, b = np.nonzero(features[some] @ features[right].T >= least)
+            a, b = some[a], right[b]
+            wanted = (doc[a] != doc[b]) if low[0] != high[0] else (doc[a] > doc[b])
+            a, b = a[wanted], b[wanted]
+            a, b = np.where(doc[a] > doc[b], a, b), np.where(doc[a] > doc[b], b, a)
+            for begin in range(0, len(a), 20_000):
+                x, y = a[begin : begin + 20_000], b[begin : begin + 20_000]
+                begins = np.maximum(alike(words[x], words[y], rules), alike(words[y], words[x], rules))
+                x, y, begins = x[begins >= 0], y[begins >= 0], begins[begins >= 0]
+                if not len(x):
+                    continue
+                same = (words[x] == words[y]) & (words[x] > 0)
+                ahead = np.cumprod(same[:, side + rules.k :], axis=1, dtype=np.int32).sum(axis=1)
+                behind = np.cumprod(same[:, :side][:, ::-1], axis=1, dtype=np.int32).sum(axis=1)
+                given = (before[x] == before[y]) & (back[x] == back[y]) & (back[x] > 0) & (behind >= back[x]) & (behind < side - rules.k)
+                given &= begins <= rules.min_words - rules.k - back[x]  # all that is alike here holds the seed before, too
+                x, y, ahead = x[~given], y[~given], ahead[~given]
+                yield from _rows(schema, doc[x], pos[x], doc[y], pos[y], rules.k + ahead)
+
+    held, texts = [np.zeros(0, np.int64)] * len(names), []
+    for batch in rows:
+        held = [np.concatenate([h, batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64)]) for h, n in zip(held, names, strict=True)]
+        texts += batch.column("words").to_pylist()
+        edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in held[:3]], axis=0)) + 1
+        for a, b in zip(np.r_[0, edges[:-1]], edges, strict=True) if len(edges) else ():
+            yield from compared([c[a:b] for c in held], texts[a:b])
+        if len(edges):
+            held, texts = [c[edges[-1] :] for c in held], texts[edges[-1] :]
+    if texts:
+        yield from compared(held, texts)
+
+
+def _hot_pairs(texts: DataFrame, rows: DataFrame, rules: Rules) -> DataFrame:
+    """Links among the occurrences of seeds that have many. They are dealt to blocks by hash, and every pair of blocks of a
+    seed is a group of its own, so what a task holds and what it sends on does not grow with a seed's rows."""
+    of_doc = rows.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "seed")).alias("held"))
+    blocks = rows.groupBy("seed").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    around = map_batches(texts.join(of_doc, "doc_id"), partial(_contexts, rules=rules), CONTEXTS)
+    block = F.pmod(F.xxhash64("doc_id", "pos"), "blocks")
+    dealt = around.join(blocks, "seed").withColumn("block", block).withColumn("mate", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = dealt.select(
+        "seed", F.least("block", "mate").alias("low"), F.greatest("block", "mate").alias("high"), "block", "doc_id", "pos", "before", "back", "words"
+    ).repartition("seed", "low", "high")
+    return map_batches(dealt.sortWithinPartitions("seed", "low", "high"), partial(_compare, rules=rules), ANCHORS)
+
+
+def anchors(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Links between occurrences of a seed: ``doc_id, pos, other_id, other_pos, size`` with ``other_id < doc_id`` and the
+    words that are equal from there on. Rows that repeat a document repeat its links."""
+    texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    long = stage_table(_long_links(texts, rules), "long-links")
+    held = long.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "seed")).alias("held"))
+    fresh = map_batches(texts.join(held, "doc_id", "left"), partial(_fresh_seeds, rules=rules), SEEDS)
+    found = map_batches(fresh.repartition("seed").sortWithinPartitions("seed", "doc_id", "pos"), partial(_pairs, k=rules.k), PAIRS)
+    found = stage_table(found, "short-links")
+    long = long.select("doc_id", "pos", "other_id", "other_pos", F.lit(rules.min_words).alias("size"))
+    short = found.filter("other_id is not null").drop("seed")
+    hot = _hot_pairs(texts, found.filter("other_id is null").select("seed", "doc_id", "pos"), rules)
+    return long.unionAll(short).unionAll(hot)
 
 
 class Fenwick:
@@ -506,7 +760,7 @@ def passages(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``doc_id, other_id, start_word, end_word, other_start, other_end, identity``: word spans of each passage
     in the later document and in an earlier one that holds it. Ends are exclusive."""
     found = anchors(docs, rules)
-    # a document's links grow with its length alone, so they fit in a task
+    # the links of one document with all others, so that passages inside another's exact copy can be told
     dealt = found.repartition("doc_id").sortWithinPartitions(
         "doc_id", "other_id", F.col("pos") - F.col("other_pos"), "pos"
     )

@@ -164,6 +164,69 @@ def test_every_equal_run_is_covered(docs):
             assert all(len(run) < rules.long_w for run in runs), number
 
 
+def variants(prose, count, first=0):
+    """Texts that hold a passage of 80 words with every 20th changed, each in its own way, so that no two share 50 equal words."""
+    passage = prose(80, 900, 4000).split()
+    for i in range(first, first + count):
+        own = [f"w{i}x{n}" if n % 20 == 10 else word for n, word in enumerate(passage)]
+        yield i, " ".join([prose(30, 1000 + i, 4000), *own, prose(30, 3000 + i, 4000)])
+
+
+def test_every_two_documents_with_like_passages_are_linked(docs, prose):
+    rows = list(variants(prose, 12))
+    for frame in (docs(*rows).coalesce(1), docs(*rows).repartition(5)):
+        found = {(r.doc_id, r.other_id) for r in substrings.passages(frame).collect()}
+        assert found == {(a, b) for a in range(12) for b in range(a)}
+
+
+def test_links_of_seeds_that_many_documents_hold(docs, prose, monkeypatch):
+    """More documents than are linked as they come, in several blocks; others hold a part of the passage among other words."""
+    monkeypatch.setattr(substrings, "BLOCK", 30)
+    rows = list(variants(prose, substrings.LIGHT + 6))
+    part = " ".join(rows[0][1].split()[41:60])
+    rows += [(i, f"{prose(40, 5000 + i, 4000)} {part} {prose(40, 7000 + i, 4000)}") for i in range(200, 240)]
+    found = {(r.doc_id, r.other_id) for r in substrings.passages(docs(*rows).repartition(4)).collect()}
+    assert found == {(a, b) for a in range(substrings.LIGHT + 6) for b in range(a)}
+
+
+def test_pairs_of_a_seed_across_batches():
+    rng = random.Random(6)
+    rows = sorted({(rng.randrange(9) ** 2, rng.randrange(9), rng.randrange(8)): rng.choice((8, 8, 8, 11, 12)) for _ in range(250)}.items())
+    rows = [(*row, size) for row, size in rows]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    make = lambda part: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*part, strict=True), kinds, strict=True)], names=["seed", "doc_id", "pos", "size"])
+    sizes = {seed: sum(r[0] == seed for r in rows) for seed, *_ in rows}
+    light = sorted(sizes.values())[5]
+    want = [(*a[:2], at, None, None, None) for a in rows for at in {a[2], a[2] + a[3] - 8} if sizes[a[0]] > light]
+    for a, b in itertools.product(rows, rows):
+        if a[0] == b[0] and a[1] > b[1] and sizes[a[0]] <= light:
+            least = min(a[3], b[3])
+            want.append((*a[:3], *b[1:3], least))
+            if a[3] != b[3]:
+                want.append((*a[:2], a[2] + a[3] - least, b[1], b[2] + b[3] - least, least))
+    for size in (1, 2, 7, 300):
+        parts = [make(rows[i : i + size]) for i in range(0, len(rows), size)]
+        out = [tuple(r.values()) for b in substrings._pairs(iter(parts), 8, light) for r in b.to_pylist()]
+        assert sorted(out, key=str) == sorted(want, key=str)
+
+
+def test_stretches_tell_their_words():
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["a a a a a a a", "b c b c b c", "d e f", "a b c", "a"]) for _ in range(rng.randrange(60))) for _ in range(60)]
+    text, pos, key = substrings.minimizers(pa.array(texts), 8, 10, every=True)
+    text, pos, key, size = substrings.stretches(text, pos, key, 8)
+    words, seen, longer = [t.split() for t in texts], {}, 0
+    for i, at, seed, n in zip(text.tolist(), pos.tolist(), key.tolist(), size.tolist(), strict=True):
+        own = words[i][at : at + n]
+        assert len(own) == n
+        for other in seen.setdefault(seed, []):
+            least = min(n, len(other))
+            longer += n != len(other)
+            assert own[:least] == other[:least] and own[-least:] == other[-least:]
+        seen[seed].append(own)
+    assert longer > 20
+
+
 def test_a_text_that_repeats_itself_has_few_passages(docs, prose):
     line = prose(17, 900)
     rows = [(i, " ".join([prose(20, i)] + [line] * 100)) for i in range(6)]
