@@ -51,6 +51,15 @@ def _order(terms) -> list[Column]:
 CODEC_PROPERTY, ORDER_PROPERTY = "write.parquet.compression-codec", "write.sort-by"
 
 
+#: Rows that a task of a clustered write sorts, about.
+CLUSTER_ROWS = 500_000
+
+
+def _ranges(df: DataFrame) -> int:
+    """So many ranges that none of them grows with the table; those of the session at least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // CLUSTER_ROWS))
+
+
 def stage_table(
     df: DataFrame,
     name: str,
@@ -78,13 +87,14 @@ def stage_table(
     ``sort_by`` alone orders the rows inside each file. ``clustered`` also deals them by ranges of the sort columns, so that
     files do not overlap and a filter on them reads a few files: Spark samples the rows for the bounds (one more pass
     over the input) and shuffles them once. A hash of the row comes last among the range columns, so a value that a third
-    of all rows share spans many files instead of one. The count sits above every shuffle, so a stage that is run again after a lost executor does not
+    of all rows share spans many files instead of one. The rows are counted first (a pass without columns), and the ranges are as
+    many as it takes for a task to sort ``CLUSTER_ROWS`` rows or so, however large the table. The count sits above every shuffle, so a stage that is run again after a lost executor does not
     count twice.
     """
     spark = df.sparkSession
     if clustered and (partition_by or sort_by):
         row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
-        df = df.repartitionByRange(*(F.col(f"`{c}`") for c in partition_by), *_order(sort_by), row_hash)
+        df = df.repartitionByRange(_ranges(df), *(F.col(f"`{c}`") for c in partition_by), *_order(sort_by), row_hash)
     elif partition_by or compact:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     if partition_by or sort_by:

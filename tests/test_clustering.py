@@ -53,6 +53,15 @@ def test_a_hot_value_spans_files_of_like_size(spark, clustered):
     assert max(sizes) <= 2 * median(sizes)
 
 
+def test_tasks_do_not_grow_with_the_table(spark, clustered, monkeypatch):
+    monkeypatch.setattr(tables, "CLUSTER_ROWS", 1_000)
+    stored = clustered(rows(spark, F.concat(F.lit("r"), F.col("id") * 7919 % 100)), sort_by=["k"])
+    sizes = [r["count"] for r in stored.groupBy("file").count().collect()]
+    assert sum(sizes) == 60_000 and len(sizes) >= 50 and max(sizes) < 60_000 / 24
+    bounds = sorted(map(tuple, stored.groupBy("file").agg(F.min("k"), F.max("k")).drop("file").collect()))
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
 def test_order_inside_files_partitions_and_directions(spark, clustered):
     df = rows(spark, F.col("id") % 17).withColumn("part", F.when(F.col("id") % 10 < 7, "a").otherwise("b"))
     stored = clustered(df, sort_by=["k desc"], partition_by=["part"])
