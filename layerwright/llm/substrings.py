@@ -5,9 +5,9 @@
    passage of its own. Long seeds give membership: an occurrence names the first holder and the one before. Within a task these
    links are made first, and only occurrences in the first document go on, so they grow with the occurrences, never with their
    square, and no equal run of ``min_words + long_w - 1`` words is lost. Words that a long seed names an earlier holder for are
-   copies; the holder stands for them. Of the short seeds all other occurrences are linked with each other, every pair of documents,
-   so passages that differ are found between all that hold one of their own. Seeds with more than ``LIGHT`` such occurrences are
-   compared in blocks, by the words around them: pairs that cannot reach ``min_identity`` there give no link.
+   copies. Short seeds with up to ``LIGHT`` occurrences link every pair of documents. Of those with more, copies are linked to
+   the first holder and the one before, who stand for them, and all other occurrences are compared with each other in blocks, by
+   the words around them: pairs that cannot reach ``min_identity`` there give no link.
 2. The links of a pair of documents are anchors. Anchors on one diagonal at minimizer distance are one segment. Segments that
    follow each other in both texts are chained: a segment's weight is its words, a gap costs a share of its words on both
    sides. That cost splits into a part of either end, so the best predecessor is a prefix maximum in a Fenwick tree
@@ -16,8 +16,8 @@
    A passage has ``min_words`` words or more on both sides and a share of equal words of ``min_identity`` or more. A chain
    with too few equal words is split at gaps into the parts that pass.
 
-A passage belongs to the later document (greater doc_id) and names an earlier holder, so the first holder is never cut. A
-document's copy of a run that others hold too names holders of that run; its links to what is like the run are theirs.
+A passage belongs to the later document (greater doc_id) and names an earlier holder, so the first holder is never cut. Of a
+run that many hold, a document's copy names holders of it; its links to what is like the run are theirs.
 
 Defined results. Null, empty and short texts hold no passage. Rows without doc_id are not compared, and kept. Rows that
 repeat a doc_id with the same text count once; with different texts their seeds are taken together and positions are
@@ -209,7 +209,7 @@ def _long_links(texts: DataFrame, rules: Rules) -> DataFrame:
     return map_batches(dealt, _complete, LINKS)
 
 
-SEEDS = "seed long, doc_id long, pos int, size int"
+SEEDS = "seed long, doc_id long, pos int, size int, copy boolean"
 
 
 def _held_at(keys: np.ndarray, first: int, size: int, at: list[dict], of_text: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,8 +222,8 @@ def _held_at(keys: np.ndarray, first: int, size: int, at: list[dict], of_text: i
     return pos[own], seed[own]
 
 
-def _fresh_seeds(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
-    """The short seeds of each text but those inside a long seed of ``held``, the ones with an earlier holder."""
+def _short_seeds(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
+    """The short seeds of each text; those inside a long seed of ``held``, the ones with an earlier holder, are copies."""
     schema = arrow_schema(SEEDS)
     for batch in rows:
         for part in pieces_of(batch, "text", 1 << 20):
@@ -232,6 +232,7 @@ def _fresh_seeds(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.Re
             doc = part.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
             held = part.column("held")
             has = np.flatnonzero(pa.compute.is_valid(held).to_numpy(zero_copy_only=False))
+            copy = np.zeros(len(pos), bool)
             if len(has):
                 long_keys = _long(window_keys(words.keys, rules.min_words))
                 reach = np.zeros(len(words.keys) + 1, np.int64)  # of each word, the end of the last held seed that has begun
@@ -241,10 +242,9 @@ def _fresh_seeds(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.Re
                     reach[first + at] = first + at + rules.min_words
                 reach = np.maximum.accumulate(reach)  # texts do not overlap, so nor do their ends
                 at = words.first[text] + pos
-                fresh = reach[at] < at + rules.k
-                text, pos, key = text[fresh], pos[fresh], key[fresh]
-            text, pos, key, size = stretches(text, pos, key, rules.k)
-            yield from _rows(schema, _short(key), doc[text], pos, size)
+                copy = reach[at] >= at + rules.k
+            part_of, pos, key, size = stretches(2 * text + copy, pos, key, rules.k)
+            yield from _rows(schema, _short(key), doc[part_of // 2], pos, size, part_of % 2 == 1)
 
 
 def stretches(text: np.ndarray, pos: np.ndarray, key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -272,12 +272,26 @@ PAIRS = "seed long, doc_id long, pos int, other_id long, other_pos int, size int
 
 def _pairs(rows: Iterator[pa.RecordBatch], k: int, light: int = LIGHT) -> Iterator[pa.RecordBatch]:
     """Rows sorted by seed, document and position. All pairs of different documents of each seed with up to ``light`` rows, by the
-    starts of their stretches and, if these differ in length, by their ends. Of other seeds both ends, linked to nothing."""
+    starts of their stretches and, if these differ in length, by their ends. Of other seeds copies are linked to the first row and
+    the document before; the rest gives both ends, linked to nothing."""
     schema = arrow_schema(PAIRS)
-    carry = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+    names = ("seed", "doc_id", "pos", "size", "copy")
+    carry = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int32, bool)]
     hot = None  # the open seed, if it has more rows than that
-
-    def single(seed, doc, pos, size):
+    before = [c[:0] for c in carry]  # of it the first row, the last one of the document before and the last one
+
+    def single(*own):
+        nonlocal before
+        known = len(before[0]) if len(before[0]) and before[0][0] == own[0][0] else 0
+        seed, doc, pos, size, copy = own = [np.concatenate([b[:known], c]) for b, c in zip(before, own, strict=True)]
+        a, b, first, mine = link_sorted(seed, doc)
+        wanted = copy[a] & (a >= known)
+        a, b = a[wanted], b[wanted]
+        yield from _rows(schema, seed[a], doc[a], pos[a], doc[b], pos[b], np.minimum(size[a], size[b]))
+        keep = np.unique([first[-1], max(first[-1], mine[-1] - 1), len(seed) - 1])
+        before = [c[keep] for c in own]
+        rest = np.flatnonzero(~copy[known:]) + known
+        seed, doc, pos, size = seed[rest], doc[rest], pos[rest], size[rest]
         longer = size > k
         seed, doc, pos = np.r_[seed, seed[longer]], np.r_[doc, doc[longer]], np.r_[pos, (pos + size - k)[longer]]
         for at in range(0, len(seed), 100_000):
@@ -286,12 +300,12 @@ def _pairs(rows: Iterator[pa.RecordBatch], k: int, light: int = LIGHT) -> Iterat
             nothing = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())
             yield pa.RecordBatch.from_arrays([*own, *nothing], schema=schema)
 
-    def linked(seed, doc, pos, size):
+    def linked(seed, doc, pos, size, copy):
         edges = np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]])
         sizes = np.diff(np.r_[edges, len(seed)])
         many = np.repeat(sizes > light, sizes)
         if many.any():
-            yield from single(seed[many], doc[many], pos[many], size[many])
+            yield from single(seed[many], doc[many], pos[many], size[many], copy[many])
         first, later = np.repeat(edges, sizes), np.flatnonzero(~many)
         for back in range(1, light):
             later = later[later - back >= first[later]]
@@ -306,10 +320,11 @@ def _pairs(rows: Iterator[pa.RecordBatch], k: int, light: int = LIGHT) -> Iterat
             yield from _rows(schema, seed[a], doc[a], (pos + size)[a] - least, doc[b], (pos + size)[b] - least, least)
 
     for batch in rows:
-        own = [np.concatenate([c, batch.column(n).to_numpy(zero_copy_only=False)]) for c, n in zip(carry, ("seed", "doc_id", "pos", "size"), strict=True)]
+        own = [np.concatenate([c, batch.column(n).to_numpy(zero_copy_only=False)]) for c, n in zip(carry, names, strict=True)]
         if hot is not None:
             more = int(np.searchsorted(own[0], hot, side="right"))
-            yield from single(*(c[:more] for c in own))
+            if more:
+                yield from single(*(c[:more] for c in own))
             own = [c[more:] for c in own]
             carry = own
         if not len(own[0]):
@@ -457,8 +472,8 @@ def anchors(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     long = stage_table(_long_links(texts, rules), "long-links")
     held = long.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "seed")).alias("held"))
-    fresh = map_batches(texts.join(held, "doc_id", "left"), partial(_fresh_seeds, rules=rules), SEEDS)
-    found = map_batches(fresh.repartition("seed").sortWithinPartitions("seed", "doc_id", "pos"), partial(_pairs, k=rules.k), PAIRS)
+    seeds = map_batches(texts.join(held, "doc_id", "left"), partial(_short_seeds, rules=rules), SEEDS)
+    found = map_batches(seeds.repartition("seed").sortWithinPartitions("seed", "doc_id", "pos"), partial(_pairs, k=rules.k), PAIRS)
     found = stage_table(found, "short-links")
     long = long.select("doc_id", "pos", "other_id", "other_pos", F.lit(rules.min_words).alias("size"))
     short = found.filter("other_id is not null").drop("seed")

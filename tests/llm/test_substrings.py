@@ -191,15 +191,19 @@ def test_links_of_seeds_that_many_documents_hold(docs, prose, monkeypatch):
 
 def test_pairs_of_a_seed_across_batches():
     rng = random.Random(6)
-    rows = sorted({(rng.randrange(9) ** 2, rng.randrange(9), rng.randrange(8)): rng.choice((8, 8, 8, 11, 12)) for _ in range(250)}.items())
-    rows = [(*row, size) for row, size in rows]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    make = lambda part: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*part, strict=True), kinds, strict=True)], names=["seed", "doc_id", "pos", "size"])
+    rows = {(rng.randrange(9) ** 2, rng.randrange(9), rng.randrange(8)): (rng.choice((8, 8, 8, 11, 12)), rng.random() < 0.4) for _ in range(250)}
+    rows = [(*row, *rest) for row, rest in sorted(rows.items())]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+    make = lambda part: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*part, strict=True), kinds, strict=True)], names=["seed", "doc_id", "pos", "size", "copy"])
     sizes = {seed: sum(r[0] == seed for r in rows) for seed, *_ in rows}
     light = sorted(sizes.values())[5]
-    want = [(*a[:2], at, None, None, None) for a in rows for at in {a[2], a[2] + a[3] - 8} if sizes[a[0]] > light]
-    for a, b in itertools.product(rows, rows):
-        if a[0] == b[0] and a[1] > b[1] and sizes[a[0]] <= light:
+    want = [(*a[:2], at, None, None, None) for a in rows for at in {a[2], a[2] + a[3] - 8} if sizes[a[0]] > light and not a[4]]
+    for a in rows:
+        earlier = [r for r in rows if r[0] == a[0] and r[1] < a[1]]
+        if sizes[a[0]] > light:
+            want += [(*a[:3], *b[1:3], min(a[3], b[3])) for b in {*earlier[:1], *earlier[-1:]} if a[4]]
+            continue
+        for b in earlier:
             least = min(a[3], b[3])
             want.append((*a[:3], *b[1:3], least))
             if a[3] != b[3]:
