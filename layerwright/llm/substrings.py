@@ -7,7 +7,9 @@
    square, and no equal run of ``min_words + long_w - 1`` words is lost. Words that a long seed names an earlier holder for are
    copies. Short seeds with up to ``LIGHT`` occurrences link every pair of documents. Of those with more, copies are linked to
    the first holder and the one before, who stand for them, and all other occurrences are compared with each other in blocks, by
-   the words around them: pairs that cannot reach ``min_identity`` there give no link.
+   the words around them. Two that make a passage by these words alone are one class. A class is linked by a spanning tree, each member
+   to the earliest holder it is like, so links grow with the occurrences. Pairs of different classes are linked one by one,
+   unless they cannot reach ``min_identity`` there.
 2. The links of a pair of documents are anchors. Anchors on one diagonal at minimizer distance are one segment. Segments that
    follow each other in both texts are chained: a segment's weight is its words, a gap costs a share of its words on both
    sides. That cost splits into a part of either end, so the best predecessor is a prefix maximum in a Fenwick tree
@@ -17,7 +19,8 @@
    with too few equal words is split at gaps into the parts that pass.
 
 A passage belongs to the later document (greater doc_id) and names an earlier holder, so the first holder is never cut. Of a
-run that many hold, a document's copy names holders of it; its links to what is like the run are theirs.
+run that many hold, a document's copy names holders of it; its links to what is like the run are theirs. So a document with
+like passages in many earlier ones names one or some of them, and like passages are one class: rows connect all of them.
 
 Defined results. Null, empty and short texts hold no passage. Rows without doc_id are not compared, and kept. Rows that
 repeat a doc_id with the same text count once; with different texts their seeds are taken together and positions are
@@ -263,7 +266,7 @@ def _rows(schema: pa.Schema, *columns, rows: int = 100_000) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(c[at : at + rows], f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-LIGHT = 64  # occurrences of a seed that are linked as they come
+LIGHT = 4  # occurrences of a seed that are linked as they come
 BLOCK = 1024  # occurrences of a seed with more that a task compares with as many others
 
 
@@ -342,7 +345,7 @@ def _pairs(rows: Iterator[pa.RecordBatch], k: int, light: int = LIGHT) -> Iterat
         yield from linked(*carry)
 
 
-CONTEXTS = "seed long, doc_id long, pos int, before long, back int, words binary"
+CONTEXTS = "seed long, doc_id long, pos int, blocks long, lead boolean, words binary"
 
 
 def _drift(rules: Rules) -> int:
@@ -351,8 +354,8 @@ def _drift(rules: Rules) -> int:
 
 
 def _contexts(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
-    """Of each seed in ``held`` the words around it as 16-bit keys, as far as ``min_words`` words with it and their drift reach, and
-    the seed of the list before it. 0 stands for no word."""
+    """Of each seed in ``held`` the words around it as 16-bit keys, as far as ``min_words`` words with it and their drift reach.
+    0 stands for no word."""
     schema, side = arrow_schema(CONTEXTS), rules.min_words - rules.k + _drift(rules)
     width = 2 * side + rules.k
     for batch in rows:
@@ -360,16 +363,21 @@ def _contexts(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.Recor
             words = find_words(strings(part.column("text")), lower=True)
             short_keys = _short(window_keys(words.keys, rules.k))
             small = (words.keys >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
-            out = {name: [] for name in schema.names}
             for i, (doc, held) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("held").to_pylist(), strict=True)):
                 first, count = int(words.first[i]), int(words.counts[i])
-                pos, seed = _held_at(short_keys, first, rules.k, sorted(held, key=lambda x: x["pos"]), count)
+                pos, seed = _held_at(short_keys, first, rules.k, held, count)
+                known = {(x["seed"], x["pos"]): (x["blocks"], x["lead"]) for x in held}
                 padded = np.r_[np.zeros(side, np.uint16), small[first : first + count], np.zeros(side, np.uint16)]
-                for n, (at, own) in enumerate(zip(pos.tolist(), seed.tolist(), strict=True)):
-                    before = (int(seed[n - 1]), at - int(pos[n - 1])) if n else (0, 0)
-                    for name, value in zip(schema.names, (own, doc, at, *before, padded[at : at + width].tobytes()), strict=True):
-                        out[name].append(value)
-            yield from batches(out, schema, 2_000)
+                for at in range(0, len(pos), 2_000):
+                    own, where = seed[at : at + 2_000], pos[at : at + 2_000]
+                    around = np.lib.stride_tricks.sliding_window_view(padded, width)[where]
+                    edges = np.arange(len(own) + 1, dtype=np.int32) * (2 * width)
+                    binary = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(edges), pa.py_buffer(around.tobytes())])
+                    more = [known[x] for x in zip(own.tolist(), where.tolist(), strict=True)]
+                    columns = own, np.full(len(own), doc), where, *zip(*more, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)), binary], schema=schema
+                    )
 
 
 def _features(words: np.ndarray) -> np.ndarray:
@@ -403,51 +411,139 @@ def alike(a: np.ndarray, b: np.ndarray, rules: Rules) -> np.ndarray:
 
 
 ANCHORS = "doc_id long, pos int, other_id long, other_pos int, size int"
+COMPARED = 2_000  # contexts, of whole groups, that are worked on at once
+
+
+def _extended(same: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows that tell which words are equal from a seed outwards: the equal run, and what ``extension`` gives ``reach`` beyond it."""
+    run = np.cumprod(same, axis=1, dtype=np.int32).sum(axis=1)
+    score = np.cumsum(np.where(same, 1, -2), axis=1)
+    score[np.arange(same.shape[1]) >= (run + reach)[:, None]] = -2 * same.shape[1] - 1
+    best = score.argmax(axis=1)
+    row = np.arange(len(same))
+    length = np.where(score[row, best] > 0, best + 1, 0)
+    return run, length, (score[row, best] + 2 * length) // 3 * (length > 0)
+
+
+def _made(words: np.ndarray, x: np.ndarray, y: np.ndarray, rules: Rules, part: int = 10_000) -> np.ndarray:
+    """Of pairs of contexts: 1 if the seed alone makes a passage, as ``judged`` would find it, 2 if the equal runs around it do, too,
+    else 0."""
+    side = (words.shape[1] - rules.k) // 2
+    out = np.zeros(len(x), np.int8)
+    for at in range(0, len(x), part):
+        own = slice(at, at + part)
+        same = (words[x[own]] == words[y[own]]) & (words[x[own]] > 0)
+        for kind, reach in ((2, side), (1, rules.reach)):
+            behind, left, left_same = _extended(same[:, :side][:, ::-1], reach)
+            ahead, right, right_same = _extended(same[:, side + rules.k :], reach)
+            span = rules.k + left + right
+            good = (span >= rules.min_words) & (rules.k + left_same + right_same >= rules.min_identity * span)
+            out[own][good & (behind + ahead > 0)] = kind  # a seed without equal words beside it gives no chain
+    return out
+
+
+def _runs(words: np.ndarray, x: np.ndarray, y: np.ndarray, kind: np.ndarray, rules: Rules, part: int = 10_000):
+    """Of pairs of contexts the number of the pair, the begin (counted from the seed's) and the words of the run of equal words with the
+    seed, and where ``kind`` is 2 of all runs as far as the passage reaches."""
+    side = (words.shape[1] - rules.k) // 2
+    for at in range(0, len(x), part):
+        own = slice(at, at + part)
+        same = (words[x[own]] == words[y[own]]) & (words[x[own]] > 0)
+        behind, left, _ = _extended(same[:, :side][:, ::-1], side)
+        ahead, right, _ = _extended(same[:, side + rules.k :], side)
+        many = kind[own] == 2
+        low, high = side - np.where(many, left, behind), side + rules.k + np.where(many, right, ahead)
+        place = np.arange(words.shape[1])
+        same &= (place >= low[:, None]) & (place < high[:, None])
+        same[:, side : side + rules.k] = True
+        edges = np.diff(np.pad(same, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (pair, begin), (_, end) = np.nonzero(edges == 1), np.nonzero(edges == -1)
+        yield at + pair, begin - side, end - begin
+
+
+def spanning(
+    group: np.ndarray, class_of: np.ndarray, a: np.ndarray, b: np.ndarray, made
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs of rows, sorted by ``b`` and of increasing groups: those that span the classes of the pairs for which
+    ``made(pairs)`` holds, the pairs for which it does not, and the classes then. Rows come in order of their documents and
+    ``b`` is the earlier one, so each row with an earlier one in its class is linked to such a one, the first it makes a pair with."""
+    todo, kept, failed = np.arange(len(a)), [], []
+    while len(todo):
+        todo = todo[class_of[a[todo]] != class_of[b[todo]]]
+        if not len(todo):
+            break
+        own = group[b[todo]]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        pivot = np.repeat(b[todo[first]], np.diff(np.r_[first, len(todo)]))
+        now = b[todo] == pivot  # the earliest row of each group
+        asked, todo = todo[now], todo[~now]
+        good = made(asked)
+        failed.append(asked[~good])
+        asked = asked[good]
+        _, one = np.unique(class_of[a[asked]], return_index=True)
+        kept.append(asked[one])
+        merged = np.arange(len(group))
+        merged[class_of[a[asked]]] = class_of[b[asked]]
+        class_of = merged[class_of]
+    return *(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (kept, failed)), class_of
 
 
 def _compare(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by seed and pair of blocks. The pairs that are alike, with the equal words from the seed on; a pair that is
-    equal back to the seed before, which both have, was given there."""
-    schema, side = arrow_schema(ANCHORS), rules.min_words - rules.k + _drift(rules)
-    names = ("seed", "low", "high", "block", "doc_id", "pos", "before", "back")
+    """Rows sorted by seed, pair of blocks, document and position. Links of the pairs that are alike, with the run of equal words
+    that holds the seed, or all runs that a passage needs: a spanning tree of each class, and every pair of different classes. The seed's first row, which is in no
+    block, is in every group, so its class needs no links between blocks; its own links are given where a block meets itself."""
+    schema, least = arrow_schema(ANCHORS), int(rules.min_words * rules.min_identity)
+    names = ("seed", "low", "high", "block", "doc_id", "pos")
 
     def compared(columns, words):
-        low, high, block, doc, pos, before, back = columns[1:]
+        seed, low, high, block, doc, pos = columns
         words = np.frombuffer(b"".join(words), np.uint16).reshape(len(doc), -1)
-        features = _features(words)
-        left = np.flatnonzero(block == low[0])
-        right = left if low[0] == high[0] else np.flatnonzero(block == high[0])
-        least = int(rules.min_words * rules.min_identity)
-        for at in range(0, len(left), 256):
-            some = left[at : at + 256]
-            a, b = np.nonzero(features[some] @ features[right].T >= least)
-            a, b = some[a], right[b]
-            wanted = (doc[a] != doc[b]) if low[0] != high[0] else (doc[a] > doc[b])
+        new = np.r_[True, (seed[1:] != seed[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+        begins, group, class_of = np.flatnonzero(new), np.cumsum(new), np.arange(len(doc))
+        ends = np.r_[begins[1:], len(doc)]
+        features = np.concatenate([_features(words[at : at + COMPARED]) for at in range(0, len(doc), COMPARED)])
+        linked, apart = [], []
+        for after in range(0, int((ends - begins).max()), 256):  # the pairs with these rows of each group as the earlier one
+            pairs = []
+            for begin, end in zip((begins + after).tolist(), ends.tolist(), strict=True):
+                if begin < end - 1:
+                    y, x = np.nonzero(features[begin : min(begin + 256, end)] @ features[begin:end].T >= least)
+                    pairs.append((x + begin, y + begin))
+            if not pairs:
+                break
+            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            wanted = (doc[a] > doc[b]) & ((block[a] != block[b]) | (low[a] == high[a]))
             a, b = a[wanted], b[wanted]
-            a, b = np.where(doc[a] > doc[b], a, b), np.where(doc[a] > doc[b], b, a)
-            for begin in range(0, len(a), 20_000):
-                x, y = a[begin : begin + 20_000], b[begin : begin + 20_000]
-                begins = np.maximum(alike(words[x], words[y], rules), alike(words[y], words[x], rules))
-                x, y, begins = x[begins >= 0], y[begins >= 0], begins[begins >= 0]
-                if not len(x):
-                    continue
-                same = (words[x] == words[y]) & (words[x] > 0)
-                ahead = np.cumprod(same[:, side + rules.k :], axis=1, dtype=np.int32).sum(axis=1)
-                behind = np.cumprod(same[:, :side][:, ::-1], axis=1, dtype=np.int32).sum(axis=1)
-                given = (before[x] == before[y]) & (back[x] == back[y]) & (back[x] > 0) & (behind >= back[x]) & (behind < side - rules.k)
-                given &= begins <= rules.min_words - rules.k - back[x]  # all that is alike here holds the seed before, too
-                x, y, ahead = x[~given], y[~given], ahead[~given]
-                yield from _rows(schema, doc[x], pos[x], doc[y], pos[y], rules.k + ahead)
+            kept, failed, class_of = spanning(group, class_of, a, b, lambda asked, a=a, b=b: _made(words, a[asked], b[asked], rules) > 0)
+            linked.append((a[kept], b[kept]))
+            apart.append((a[failed], b[failed]))
+        if not linked:
+            return
+        a, b = (np.concatenate(x) for x in zip(*apart, strict=True))
+        different = class_of[a] != class_of[b]
+        a, b = a[different], b[different]
+        for at in range(0, len(a), 20_000):
+            x, y = a[at : at + 20_000], b[at : at + 20_000]
+            close = np.maximum(alike(words[x], words[y], rules), alike(words[y], words[x], rules)) >= 0
+            linked.append((x[close], y[close]))
+        x, y = (np.concatenate(x) for x in zip(*linked, strict=True))
+        fresh = (block[y] >= 0) | (low[y] == high[y])
+        x, y = x[fresh], y[fresh]
+        for pair, begin, size in _runs(words, x, y, _made(words, x, y, rules), rules):
+            one, other = x[pair], y[pair]
+            yield from _rows(schema, doc[one], pos[one] + begin, doc[other], pos[other] + begin, size)
 
     held, texts = [np.zeros(0, np.int64)] * len(names), []
     for batch in rows:
         held = [np.concatenate([h, batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64)]) for h, n in zip(held, names, strict=True)]
         texts += batch.column("words").to_pylist()
         edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in held[:3]], axis=0)) + 1
-        for a, b in zip(np.r_[0, edges[:-1]], edges, strict=True) if len(edges) else ():
-            yield from compared([c[a:b] for c in held], texts[a:b])
-        if len(edges):
-            held, texts = [c[edges[-1] :] for c in held], texts[edges[-1] :]
+        done = 0
+        while done < len(held[0]) and len(edges) and edges[-1] > done:
+            end = int(edges[max(np.searchsorted(edges, done + COMPARED, side="right") - 1, np.searchsorted(edges, done, side="right"))])
+            yield from compared([c[done:end] for c in held], texts[done:end])
+            done = end
+        held, texts = [c[done:] for c in held], texts[done:]
     if texts:
         yield from compared(held, texts)
 
@@ -455,15 +551,20 @@ def _compare(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.Record
 def _hot_pairs(texts: DataFrame, rows: DataFrame, rules: Rules) -> DataFrame:
     """Links among the occurrences of seeds that have many. They are dealt to blocks by hash, and every pair of blocks of a
     seed is a group of its own, so what a task holds and what it sends on does not grow with a seed's rows."""
-    of_doc = rows.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "seed")).alias("held"))
-    blocks = rows.groupBy("seed").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = rows.groupBy("seed").agg(
+        F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min(F.struct("doc_id", "pos")).alias("lead"), F.max("doc_id").alias("last")
+    ).filter("lead.doc_id < last")
+    lead = F.expr("struct(doc_id, pos) = lead").alias("lead")
+    of_doc = rows.join(blocks, "seed").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "seed", "blocks", lead)).alias("held"))
     around = map_batches(texts.join(of_doc, "doc_id"), partial(_contexts, rules=rules), CONTEXTS)
-    block = F.pmod(F.xxhash64("doc_id", "pos"), "blocks")
-    dealt = around.join(blocks, "seed").withColumn("block", block).withColumn("mate", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    block = F.when(F.col("lead"), -1).otherwise(F.pmod(F.xxhash64("doc_id", "pos"), "blocks"))
+    pairs = F.expr("""if(lead, flatten(transform(sequence(0L, blocks - 1), x -> transform(sequence(x, blocks - 1), y -> struct(x as x, y as y)))),
+        transform(sequence(0L, blocks - 1), z -> struct(least(z, block) as x, greatest(z, block) as y)))""")
+    dealt = around.withColumn("block", block).withColumn("both", F.explode(pairs))
     dealt = dealt.select(
-        "seed", F.least("block", "mate").alias("low"), F.greatest("block", "mate").alias("high"), "block", "doc_id", "pos", "before", "back", "words"
+        "seed", F.col("both.x").alias("low"), F.col("both.y").alias("high"), "block", "doc_id", "pos", "words"
     ).repartition("seed", "low", "high")
-    return map_batches(dealt.sortWithinPartitions("seed", "low", "high"), partial(_compare, rules=rules), ANCHORS)
+    return map_batches(dealt.sortWithinPartitions("seed", "low", "high", "doc_id", "pos"), partial(_compare, rules=rules), ANCHORS)
 
 
 def anchors(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -752,11 +853,44 @@ def judged(starts, others, words, own, other, rules: Rules) -> list[tuple[int, i
 PASSAGES = "doc_id long, other_id long, start_word long, end_word long, other_start long, other_end long, identity double"
 
 
+def _ends(keys: pa.ListArray, sizes: pa.ListArray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of chains the words before, read backwards, and those after, as rows of ``reach`` words; -1 where there are none."""
+    flat = np.append(keys.values.to_numpy(), np.int32(0)).astype(np.int64)
+    counts, of = sizes.values.to_numpy(), sizes.offsets.to_numpy()
+    begin, end = keys.offsets.to_numpy()[:-1, None], keys.offsets.to_numpy()[1:, None]
+    before, after = counts[of[:-1]][:, None], counts[of[1:] - 1][:, None]
+    at = np.arange(reach)
+    return tuple(
+        np.where(at < n, flat[np.clip(place, 0, len(flat) - 1)], -1)
+        for n, place in ((before, begin + before - 1 - at), (after, end - after + at))
+    )
+
+
+def _long_enough(batch: pa.RecordBatch, rules: Rules) -> np.ndarray:
+    """Of chains where both sides have ``min_words`` words with the ends by which ``judged`` extends them."""
+    kept = batch.num_rows
+    own = _ends(batch.column("keys"), batch.column("sizes"), rules.reach)
+    other = _ends(batch.column("other_keys"), batch.column("other_sizes"), rules.reach)
+    beside = np.zeros(kept, np.int64)
+    for a, b in zip(own, other, strict=True):
+        score = np.cumsum(np.where((a >= 0) & (b >= 0), np.where(a == b, 1, -2), -2), axis=1)
+        best = score.argmax(axis=1)
+        beside += np.where(score[np.arange(kept), best] > 0, best + 1, 0)
+    of, words = batch.column("words").offsets.to_numpy(), batch.column("words").values.to_numpy()
+    least = np.full(kept, np.iinfo(np.int64).max)
+    for side in ("starts", "others"):
+        starts, at = batch.column(side).values.to_numpy(), batch.column(side).offsets.to_numpy()
+        least = np.minimum(least, starts[at[1:] - 1].astype(np.int64) + words[of[1:] - 1] - starts[at[:-1]] + beside)
+    return least >= rules.min_words
+
+
 def _align(rows: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(PASSAGES)
     for batch in rows:
+        if not batch.num_rows:
+            continue
         out = {name: [] for name in schema.names}
-        for row in batch.to_pylist():
+        for row in batch.filter(pa.array(_long_enough(batch, rules))).to_pylist():
             own, other = (
                 np.split(np.array(row[keys], np.int32), np.cumsum(row[sizes])[:-1])
                 for keys, sizes in (("keys", "sizes"), ("other_keys", "other_sizes"))

@@ -172,21 +172,101 @@ def variants(prose, count, first=0):
         yield i, " ".join([prose(30, 1000 + i, 4000), *own, prose(30, 3000 + i, 4000)])
 
 
-def test_every_two_documents_with_like_passages_are_linked(docs, prose):
-    rows = list(variants(prose, 12))
-    for frame in (docs(*rows).coalesce(1), docs(*rows).repartition(5)):
-        found = {(r.doc_id, r.other_id) for r in substrings.passages(frame).collect()}
-        assert found == {(a, b) for a in range(12) for b in range(a)}
+def classes(links):
+    """The documents that links connect, as sets."""
+    out = []
+    for link in links:
+        hit = [c for c in out if c & set(link)]
+        out = [c for c in out if c not in hit] + [set(link).union(*hit)]
+    return out
+
+
+def test_documents_with_like_passages_are_one_class(docs, prose):
+    """Every document but the first names an earlier one over the whole passage; links grow with the documents, not with their pairs."""
+    for count in (3, 12, 40):
+        rows = list(variants(prose, count))
+        for frame in (docs(*rows).coalesce(1), docs(*rows).repartition(5)):
+            out = substrings.passages(frame).collect()
+            assert all(r.other_id < r.doc_id and r.start_word <= 32 and r.end_word >= 108 for r in out if r.other_id == 0)
+            found = {(r.doc_id, r.other_id) for r in out}
+            assert {a for a, b in found if b == 0} == set(range(1, count))
+            assert classes(found) == [set(range(count))] and len(out) < 2 * count
+
+
+def test_like_passages_without_a_common_one_stay_linked(docs, prose):
+    """Each document holds the like of its neighbours' words only, so every pair of neighbours is linked."""
+    passage = prose(600, 900, 4000).split()
+    rows = []
+    for i in range(7):
+        own = [f"w{i}x{n}" if n % 20 == 10 else word for n, word in enumerate(passage)][60 * i : 60 * i + 120]
+        rows += [(10 * i + n, " ".join([prose(30, 70 * i + n, 4000), *own, prose(30, 1000 + 70 * i + n, 4000)])) for n in range(3)]
+    found = {(r.doc_id, r.other_id) for r in substrings.passages(docs(*rows)).collect()}
+    assert {(a // 10, b // 10) for a, b in found} >= {(i + 1, i) for i in range(6)} and classes(found) == [{r[0] for r in rows}]
+    assert all(a // 10 - b // 10 <= 1 for a, b in found)
+
+
+def test_spanning_links_keep_classes():
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        group = np.sort(rng.integers(0, 5, 40))
+        a, b = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(40)))
+        wanted = (a > b) & (group[a] == group[b]) & (rng.random(1600) < 0.8)
+        order = np.lexsort((a[wanted], b[wanted]))
+        a, b = a[wanted][order], b[wanted][order]
+        good = rng.random(len(a)) < rng.choice([0.05, 0.2, 0.7])
+        made = lambda asked: good[asked]  # noqa: B023, E731
+        kept, rest, class_of = substrings.spanning(group, np.arange(40), a, b, made)
+        true = classes(zip(a[good].tolist(), b[good].tolist(), strict=True))
+        assert sorted(map(sorted, classes(zip(a[kept].tolist(), b[kept].tolist(), strict=True)))) == sorted(map(sorted, true))
+        assert good[kept].all() and len(kept) == sum(len(c) - 1 for c in true) and set(a[kept]) == set(a[good])
+        of = {row: n for n, c in enumerate(true) for row in c}
+        apart = [i for i in range(len(a)) if of.get(a[i], -1 - a[i]) != of.get(b[i], -1 - b[i])]
+        assert sorted(rest[class_of[a[rest]] != class_of[b[rest]]].tolist()) == apart
+
+
+def test_links_of_a_class_make_a_passage():
+    rng, rules = np.random.default_rng(13), substrings.Rules()
+    side = rules.min_words - rules.k + substrings._drift(rules)
+    words = rng.integers(1, 9000, (300, 2 * side + rules.k)).astype(np.uint16)
+    words[1::2] = np.where(rng.random(words[1::2].shape) < rng.choice([0.02, 0.1, 0.2, 0.3], (150, 1)), words[1::2], words[::2])
+    words[1::2, side : side + rules.k] = words[::2, side : side + rules.k]
+    words[1::6, side + rules.k + 3 :] = words[::6, side + rules.k + 3 :] = 0  # texts that end there
+    x, y = np.arange(0, 300, 2), np.arange(1, 300, 2)
+    made, runs = substrings._made(words, x, y, rules), {}
+    for pair, begin, size in substrings._runs(words, x, y, made, rules):
+        for n, *run in zip(pair.tolist(), (begin + side).tolist(), size.tolist(), strict=True):
+            runs.setdefault(n, []).append(run)
+    for i in range(150):
+        one, other = words[2 * i], words[2 * i + 1]
+        assert all((one[a : a + n] == other[a : a + n]).all() and (one[a : a + n] > 0).all() for a, n in runs[i])
+        text = [w[: int((w > 0).sum())] for w in (one, other)]
+        regions = substrings._regions([a for a, _ in runs[i]], [n for _, n in runs[i]], rules.reach)
+        found = substrings.judged(*([a for a, _ in runs[i]],) * 2, [n for _, n in runs[i]], *([t[a:b] for a, b in regions] for t in text), rules)
+        assert len(found) > 0 if made[i] else len(runs[i]) == 1
+        if len(runs[i]) == 1 and runs[i][0][1] > rules.k:
+            assert (made[i] == 1) == (len(found) > 0)
+    assert (made == 0).sum() > 10 and (made == 1).sum() > 30 and (made == 2).sum() > 5
 
 
 def test_links_of_seeds_that_many_documents_hold(docs, prose, monkeypatch):
     """More documents than are linked as they come, in several blocks; others hold a part of the passage among other words."""
     monkeypatch.setattr(substrings, "BLOCK", 30)
-    rows = list(variants(prose, substrings.LIGHT + 6))
+    count = 70
+    rows = list(variants(prose, count))
     part = " ".join(rows[0][1].split()[41:60])
     rows += [(i, f"{prose(40, 5000 + i, 4000)} {part} {prose(40, 7000 + i, 4000)}") for i in range(200, 240)]
     found = {(r.doc_id, r.other_id) for r in substrings.passages(docs(*rows).repartition(4)).collect()}
-    assert found == {(a, b) for a in range(substrings.LIGHT + 6) for b in range(a)}
+    assert classes(found) == [set(range(count))] and {a for a, _ in found} == set(range(1, count))
+
+
+def test_links_between_blocks_grow_with_the_documents(docs, prose, monkeypatch):
+    """The seeds' first holder is in every block, so a document of its class needs no links between blocks."""
+    rows = list(variants(prose, 70))
+    found = {}
+    for size in (1024, 10):
+        monkeypatch.setattr(substrings, "BLOCK", size)
+        found[size] = {(r.doc_id, r.other_id) for r in substrings.passages(docs(*rows).repartition(4)).collect()}
+    assert found[10] == found[1024] and len(found[10]) < 2 * 70
 
 
 def test_pairs_of_a_seed_across_batches():
@@ -294,3 +374,24 @@ def test_first_holder_keeps_the_passage(docs, prose):
 
 def test_empty_table(docs):
     assert substrings.passages(docs().limit(0)).collect() == [] and substrings.without_repeats(docs().limit(0)).collect() == []
+
+
+def test_chains_that_are_too_short_are_told_by_their_ends():
+    rng, rules = np.random.default_rng(14), substrings.Rules(min_words=30)
+    rows, want = [], []
+    for _ in range(400):
+        n = rng.integers(1, 4)
+        words, gaps = rng.integers(9, 13, n), rng.integers(0, 5, (2, n - 1))
+        starts, others = (int(rng.integers(0, 40)) + np.r_[0, np.cumsum(words[:-1] + gaps[side])] for side in (0, 1))
+        sides = [[rng.integers(0, rng.choice([1, 2, 50]), k) for k in (rng.integers(0, 33), *gaps[side], rng.integers(0, 33))] for side in (0, 1)]
+        row = {"starts": starts, "others": others, "words": words}
+        for name, own in (("", sides[0]), ("other_", sides[1])):
+            row |= {f"{name}sizes": [len(x) for x in own], f"{name}keys": np.concatenate(own)}
+        rows.append({k: [int(x) for x in v] for k, v in row.items()})
+        left, right = (substrings.extension(*x)[0] for x in ((sides[0][0][::-1], sides[1][0][::-1]), (sides[0][-1], sides[1][-1])))
+        want.append(left + right + min(starts[-1] - starts[0], others[-1] - others[0]) + words[-1] >= rules.min_words)
+        assert want[-1] or not substrings.judged(starts, others, words, *sides, rules)
+    kind = pa.list_(pa.int32())
+    batch = pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c in rows[0]], names=list(rows[0]))
+    assert substrings._long_enough(batch, rules).tolist() == want and 50 < sum(want) < 350
+    assert substrings._long_enough(batch.slice(100, 50), rules).tolist() == want[100:150]
