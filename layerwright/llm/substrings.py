@@ -434,7 +434,7 @@ def _made(words: np.ndarray, x: np.ndarray, y: np.ndarray, rules: Rules, part: i
         own = slice(at, at + part)
         same = (words[x[own]] == words[y[own]]) & (words[x[own]] > 0)
         for kind, reach in ((2, side), (1, rules.reach)):
-            behind, left, left_same = _extended(same[:, :side][:, ::-1], reach)
+            behind, left, left_same = _extended(same[:, :side][:, ::-1], reach - (rules.w - rules.k))
             ahead, right, right_same = _extended(same[:, side + rules.k :], reach)
             span = rules.k + left + right
             good = (span >= rules.min_words) & (rules.k + left_same + right_same >= rules.min_identity * span)
@@ -444,7 +444,8 @@ def _made(words: np.ndarray, x: np.ndarray, y: np.ndarray, rules: Rules, part: i
 
 def _runs(words: np.ndarray, x: np.ndarray, y: np.ndarray, kind: np.ndarray, rules: Rules, part: int = 10_000):
     """Of pairs of contexts the number of the pair, the begin (counted from the seed's) and the words of the run of equal words with the
-    seed, and where ``kind`` is 2 of all runs as far as the passage reaches."""
+    seed, and where ``kind`` is 2 of all runs as far as the passage reaches. Runs begin so late that the unequal words before them are
+    not taken for the unknown ones between two seeds; those of the seed keep a word more than it has, which a chain needs."""
     side = (words.shape[1] - rules.k) // 2
     for at in range(0, len(x), part):
         own = slice(at, at + part)
@@ -458,7 +459,10 @@ def _runs(words: np.ndarray, x: np.ndarray, y: np.ndarray, kind: np.ndarray, rul
         same[:, side : side + rules.k] = True
         edges = np.diff(np.pad(same, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         (pair, begin), (_, end) = np.nonzero(edges == 1), np.nonzero(edges == -1)
-        yield at + pair, begin - side, end - begin
+        whole = (begin <= side) & (end >= side + rules.k)
+        begin = begin + np.minimum(rules.w - rules.k, np.where(whole, np.maximum(end - begin - rules.k - 1, 0), end - begin))
+        some = end > begin
+        yield at + pair[some], begin[some] - side, (end - begin)[some]
 
 
 def spanning(
@@ -771,8 +775,8 @@ def _fetch(rows: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatc
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """Words of the longest common subsequence of two short runs."""
-    if len(a) == len(b) and len(a) <= 2:
-        return int((a == b).sum())
+    if len(a) == len(b) and ((same := int((a == b).sum())) >= len(a) - 1 or len(a) <= 2):
+        return same
     before = np.zeros(len(b) + 1, np.int64)
     for x in a:
         now = before.copy()
