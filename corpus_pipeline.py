@@ -26,7 +26,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Workers that ran the stages before hold memory already, so they remember the ids of fewer strings than alone."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), most=200_000)
 
 
 STAGES = [

@@ -33,6 +33,7 @@ SHARD = 2048
 SLICE = 1 << 20  # bytes of text that are worked on at once
 ISLANDS = 2
 END = 0
+REMEMBERED = 800_000  # strings whose ids a worker remembers
 _ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
 
 
@@ -43,7 +44,7 @@ class WordIds(dict):
     emptied when full, so a worker's memory is bounded. A text that holds one of the tokenizer's added tokens, which count
     before anything is normalised or split, is left to the library as a whole."""
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -54,9 +55,9 @@ class WordIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
-            ids = self._part(chunk.lower())
+            ids = self._tokens(chunk) if chunk.islower() else self[chunk.lower()]
         elif chunk.isascii() and chunk.endswith((",", ".")) and chunk[:-1].isalpha():
-            ids = self._part(chunk[:-1].lower()) + self._part(chunk[-1])
+            ids = self[chunk[:-1].lower()] + self._part(chunk[-1])
         else:
             ids = b"".join([self._part(part) for part, _ in self.split(self.normalize(chunk))])
         if len(self) >= self.most:
@@ -64,10 +65,15 @@ class WordIds(dict):
         self[chunk] = ids
         return ids
 
+    def _tokens(self, part: str) -> bytes:
+        return b"".join([token.id.to_bytes(4, "little") for token in self.tokenize(part)])
+
     def _part(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha() and part.islower():  # a string between white space by itself
+            return self[part]
         ids = self.parts.get(part)
         if ids is None:
-            ids = b"".join([token.id.to_bytes(4, "little") for token in self.tokenize(part)])
+            ids = self._tokens(part)
             if len(self.parts) >= self.most:
                 self.parts.clear()
             self.parts[part] = ids
@@ -82,16 +88,16 @@ class WordIds(dict):
 
 
 @cache
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _word_ids(path: str, most: int) -> WordIds:
+    return WordIds(path, most)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _cut(rows: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _cut(rows: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(PIECES + (", ids array<long>" if with_ids else ""))
-    words, end = _word_ids(path), np.array([END], "<u4").tobytes()
+    words, end = _word_ids(path, most), np.array([END], "<u4").tobytes()
     for batch in rows:
         for part in pieces_of(batch, "text", SLICE):
             out = {name: [] for name in schema.names}
@@ -112,10 +118,11 @@ def _cut(rows: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: boo
             yield from batches(out, schema)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False, most: int = REMEMBERED) -> DataFrame:
     """The documents' token ids and an end token, cut at ``capacity``; the ids themselves on demand. ``path`` is a
-    tokenizer file that encodes strings between white space one by one."""
-    run = partial(_cut, path=path, capacity=capacity, with_ids=with_ids)
+    tokenizer file that encodes strings between white space one by one; a worker remembers the ids of ``most`` of them, some 200
+    bytes each."""
+    run = partial(_cut, path=path, capacity=capacity, with_ids=with_ids, most=most)
     return map_batches(docs.select("doc_id", "text"), run, PIECES + (", ids array<long>" if with_ids else ""))
 
 
@@ -293,8 +300,8 @@ def packed(rows: DataFrame, capacity: int = CAPACITY, islands: int = ISLANDS, ge
     return out
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False, most: int = REMEMBERED) -> DataFrame:
     """One row per piece of a document: ``doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset``."""
-    cut = pieces(docs, path, capacity, with_ids)
+    cut = pieces(docs, path, capacity, with_ids, most)
     cut = stage_table(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     return cut.join(packed(cut, capacity), "row").drop("row")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import cache, partial
 from pathlib import Path
 
 import pyarrow as pa
@@ -40,9 +42,30 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str):
-    """``mapInArrow`` with the package shipped to the executors."""
+    """``mapInArrow`` with the package shipped to the executors. A worker stays for the next task, so at a task's end it gives
+    the memory it no longer uses back."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(partial(_tidy, function=function), schema)
+
+
+def _tidy(rows: Iterator[pa.RecordBatch], function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    yield from function(rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory that Arrow and the C library keep goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+@cache
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
 
 
 ARROW_TYPES = {

@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from layerwright.llm import packing
+from layerwright.llm import spark as spark_helpers
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -110,3 +111,19 @@ def test_shards_of_one_third_equal_rows(spark):
     assert sorted(r.row for r in out) == list(range(6000))
     total = rows.groupBy().sum("length").first()[0]
     assert len({r.sequence_id for r in out}) <= total / 2048 * 1.01 + 1
+
+
+def test_words_are_remembered_once():
+    ids = packing.WordIds(PATH)
+    ids.encode("Word word WORD, word. (word) other-word x1")
+    assert not [part for part in ids.parts if part.isalpha() and part.islower()] and "word" in ids and "other" in ids
+
+
+def test_a_task_gives_memory_back_at_its_end(monkeypatch):
+    calls = []
+    monkeypatch.setattr(spark_helpers, "give_back", lambda: calls.append(1))
+    rows = spark_helpers._tidy(iter([1, 2, 3]), lambda part: (x + 1 for x in part))
+    assert next(rows) == 2 and not calls
+    assert list(rows) == [3, 4] and calls == [1]
+    monkeypatch.undo()
+    spark_helpers.give_back()
